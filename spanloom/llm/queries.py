@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.llm.bpe import encode_decode
+from spanloom.llm.decontaminate import find_overlaps
+from spanloom.llm.license_scan import scan_licenses
 from spanloom.llm.line_rules import line_frequency_rules
+from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.session import table
 
 
+#: Production parameter: a run names its own key; pseudonyms link within one key.
+PSEUDONYM_KEY = "spanloom-production-key-1"
+
+
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, key=PSEUDONYM_KEY)
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency_rules(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), outputs=("ids_sha256", "decoded_sha256"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
