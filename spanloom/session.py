@@ -32,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    Clusters ship the package (``--py-files``) or install it; a local session may
+    have been started without its folder on ``PYTHONPATH``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; only where it is unset
     (local runs) is a temporary folder chosen and set."""
