@@ -5,12 +5,15 @@ from __future__ import annotations
 from spanloom.llm import queries, reference_sql
 
 QUERIES = {
+    "op1_chat_format": queries.op1_chat_format,
     "op2_feistel_pseudonyms": queries.op2_feistel_pseudonyms,
     "op3_line_frequency": queries.op3_line_frequency,
+    "op4_fourier_quality": queries.op4_fourier_quality,
     "op6_spaced_seeds": queries.op6_spaced_seeds,
     "op9_bpe": queries.op9_bpe,
     "op10_license_scan": queries.op10_license_scan,
 }
 ORACLE_SQL = {
+    "op1_chat_format": reference_sql.OP1,
     "op3_line_frequency": reference_sql.OP3,
 }

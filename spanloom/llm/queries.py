@@ -2,18 +2,55 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.llm.bpe import encode_decode
+from spanloom.llm.chat import fold_events, format_conversations, read_back, unescape
 from spanloom.llm.decontaminate import find_overlaps
 from spanloom.llm.license_scan import scan_licenses
 from spanloom.llm.line_rules import line_frequency_rules
 from spanloom.llm.pseudonyms import pseudonymise
+from spanloom.llm.quality import document_features, fit, remainder, score_documents
 from spanloom.session import table
 
 
+#: The contract's own conversation, whose texts hold control strings.
+OWN_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contract's columns, all read back from the formatted text and mask."""
+    for batch in batches:
+        rows = []
+        for conv, formatted, spans in zip(*(column.to_pylist() for column in batch.columns)):
+            turns = read_back(formatted)
+            trained = "".join(unescape(formatted[s["start"] : s["end"]]) for s in spans)
+            whole = hashlib.sha256()
+            for role, text in turns:
+                whole.update(f"{role}\n{text}\n".encode())
+            rows.append((conv, len(turns), whole.hexdigest(), len(trained), hashlib.sha256(trained.encode()).hexdigest(), len(formatted)))
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.createDataFrame(OWN_CONVERSATION, "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
+    # Every row is a message of its own, also where turns are repeated.
+    place = F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    events = rows.select("conv_id", place.alias("turn"), place.alias("seq"), "role", F.lit("message").alias("kind"), "text")
+    formatted = format_conversations(fold_events(events))
+    return formatted.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 #: Production parameter: a run names its own key; pseudonyms link within one key.
 PSEUDONYM_KEY = "spanloom-production-key-1"
 
@@ -27,6 +64,14 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency_rules(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op4_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = remainder("doc_id", 4)
+    model = fit(document_features(docs), table(spark, sf_dir, "labels"), ridge_rows=part.isin(0, 1), calibration_rows=part == 3)
+    scored = score_documents(docs, model)
+    return scored.select("doc_id", (part == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -33,3 +33,16 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        not base_failed and n_words_left >= 10 and n_words_left >= 0.5 * n_words as kept, n_words_left
 from b
 """
+
+_ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]'), '</s>', '<\\/s>')"
+OP1 = f"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(20 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}))::bigint as formatted_chars
+from c group by conv_id
+"""
