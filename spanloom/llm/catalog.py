@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_frequency": queries.op3_line_frequency,
     "op4_fourier_quality": queries.op4_fourier_quality,
     "op6_spaced_seeds": queries.op6_spaced_seeds,
+    "op7_jaccard_forest": queries.op7_jaccard_forest,
     "op9_bpe": queries.op9_bpe,
     "op10_license_scan": queries.op10_license_scan,
 }

@@ -16,6 +16,7 @@ from spanloom.llm.chat import fold_events, format_conversations, read_back, unes
 from spanloom.llm.decontaminate import find_overlaps
 from spanloom.llm.license_scan import scan_licenses
 from spanloom.llm.line_rules import line_frequency_rules
+from spanloom.llm.near import near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.llm.quality import document_features, fit, remainder, score_documents
 from spanloom.session import table
@@ -76,6 +77,10 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), outputs=("ids_sha256", "decoded_sha256"))
 
