@@ -11,10 +11,12 @@ QUERIES = {
     "op4_fourier_quality": queries.op4_fourier_quality,
     "op6_spaced_seeds": queries.op6_spaced_seeds,
     "op7_jaccard_forest": queries.op7_jaccard_forest,
+    "op8_suffix_automata": queries.op8_suffix_automata,
     "op9_bpe": queries.op9_bpe,
     "op10_license_scan": queries.op10_license_scan,
 }
 ORACLE_SQL = {
     "op1_chat_format": reference_sql.OP1,
     "op3_line_frequency": reference_sql.OP3,
+    "op8_suffix_automata": reference_sql.OP8,
 }

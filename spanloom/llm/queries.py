@@ -19,6 +19,7 @@ from spanloom.llm.line_rules import line_frequency_rules
 from spanloom.llm.near import near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.llm.quality import document_features, fit, remainder, score_documents
+from spanloom.llm.substrings import remove_repeats
 from spanloom.session import table
 
 
@@ -81,6 +82,11 @@ def op7_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), outputs=("ids_sha256", "decoded_sha256"))
 

@@ -46,3 +46,19 @@ select conv_id, count(*) as n_turns,
        sum(20 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}))::bigint as formatted_chars
 from c group by conv_id
 """
+
+OP8 = rf"""
+with d as (select doc_id, {WORDS} as w from documents),
+g as (
+  select doc_id, unnest(range(1, greatest(len(w) - 11, 1))) as i,
+         unnest(list_transform(range(1, greatest(len(w) - 11, 1)), lambda i: list_aggregate(w[i:i+12], 'string_agg', ' '))) as g
+  from d where len(w) >= 13),
+later as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by g) as f from g) where f < doc_id),
+gone as (select distinct doc_id, i + k as i from later, range(0, 13) r(k)),
+words as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from d),
+kept as (
+  select w.doc_id, count(g.i) as n_removed, coalesce(string_agg(word, ' ' order by w.i) filter (g.i is null), '') as t
+  from words w left join gone g on w.doc_id = g.doc_id and w.i = g.i group by w.doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
