@@ -9,6 +9,7 @@ QUERIES = {
     "op2_feistel_pseudonyms": queries.op2_feistel_pseudonyms,
     "op3_line_frequency": queries.op3_line_frequency,
     "op4_fourier_quality": queries.op4_fourier_quality,
+    "op5_pitman_yor": queries.op5_pitman_yor,
     "op6_spaced_seeds": queries.op6_spaced_seeds,
     "op7_jaccard_forest": queries.op7_jaccard_forest,
     "op8_suffix_automata": queries.op8_suffix_automata,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from spanloom.llm.bpe import encode_decode
 from spanloom.llm.chat import fold_events, format_conversations, read_back, unescape
 from spanloom.llm.decontaminate import find_overlaps
+from spanloom.llm.language_model import score_texts
 from spanloom.llm.license_scan import scan_licenses
 from spanloom.llm.line_rules import line_frequency_rules
 from spanloom.llm.near import near_duplicates
@@ -74,6 +75,12 @@ def op4_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (part == 2).alias("held_out"), "score", "predicted")
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
+    scored = score_texts(table(spark, sf_dir, "documents"), learn=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

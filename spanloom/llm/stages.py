@@ -14,5 +14,5 @@ def written(frame: DataFrame) -> DataFrame:
     read again. Its rows survive lost executors and are computed once."""
     spark = frame.sparkSession
     path = f"{checkpoint_dir(spark)}/spanloom-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
