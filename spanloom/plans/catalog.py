@@ -1,6 +1,499 @@
-"""The registered queries: every operator applied to the shared tables."""
+"""The registered queries: every operator applied to the shared tables.
+
+The tables have no genomic data, so columns stand in: an interval is a user's
+event and the time after it, a sequence is a document's text, a track is an
+event type, a chromosome is a user or a language, a manifest is ``part`` or
+``orders`` and an index page is a row of ``pages``.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from spanloom.functions import numeric as N
+from spanloom.functions import text as T
+from spanloom.operators import intervals as I
+from spanloom.operators import manifests as M
+from spanloom.operators import signal as S
+from spanloom.operators import splits as P
+from spanloom.operators import status as Z
+from spanloom.session import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(function: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def _spans(spark: SparkSession, sf: str, kind: str | None = None) -> DataFrame:
+    """Events as intervals of 30 to 119 minutes per user."""
+    events = table(spark, sf, "events")
+    events = events if kind is None else events.filter(F.col("event_type") == kind)
+    start = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return events.select("user_id", start.alias("start"), (start + 1800 + F.col("event_id") % 5400).alias("end"), "event_id", "event_type", "value")
+
+
+SPANS = "select user_id, floor(epoch(ts))::bigint as start, floor(epoch(ts))::bigint + 1800 + event_id % 5400 as \"end\", event_id, event_type, value from events"
+
+
+def _merged_sql(source: str, by: str = "user_id") -> str:
+    return f"""select {by}, min(start) as start, max("end") as "end" from (
+      select *, sum(opens) over (partition by {by} order by start, "end" rows unbounded preceding) as island from (
+        select *, case when start <= max("end") over (partition by {by} order by start, "end" rows between unbounded preceding and 1 preceding) then 0 else 1 end as opens
+        from ({source}) where "end" > start)) group by {by}, island"""
+
+
+@query(_merged_sql(SPANS))
+def merge_intervals(spark, sf):
+    return I.merge_intervals(_spans(spark, sf).select("user_id", "start", "end"), ["user_id"])
+
+
+@query(_merged_sql(SPANS))
+def merge_large(spark, sf):
+    return I.merge_large(_spans(spark, sf).select("user_id", "start", "end"), ["user_id"], 86_400)
+
+
+@query(_merged_sql(f"select * from ({SPANS}) where event_type in ('click', 'purchase')"))
+def union_merge(spark, sf):
+    return I.union_merge(_spans(spark, sf, "click"), _spans(spark, sf, "purchase"), ["user_id"])
+
+
+HOURS = 7200
+WINDOWS_SQL = f"""
+with spans as ({SPANS}),
+mask as ({_merged_sql("select * from spans where event_type in ('click', 'purchase')")}),
+runs as (select user_id, min(start) as start, max("end") as "end" from spans group by user_id),
+w as (select user_id, unnest(generate_series(start, "end" - {HOURS}, 3600)) as start from runs where "end" - start >= {HOURS}),
+o as (select w.user_id, w.start, w.start + {HOURS} as "end", coalesce(sum(case when m.start is not null then least(m."end", w.start + {HOURS}) - greatest(m.start, w.start) end), 0)::bigint as bad_bp
+  from w left join mask m on m.user_id = w.user_id and m.start < w.start + {HOURS} and m."end" > w.start group by w.user_id, w.start)"""
+
+
+def _windows(spark, sf):
+    mask = union_merge(spark, sf)
+    runs = _spans(spark, sf).groupBy("user_id").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return I.overlap_bp(I.tile(runs, HOURS, 3600), mask, ["user_id"], "bad_bp", bin_size=1 << 14)
+
+
+@query(WINDOWS_SQL + " select * from o")
+def overlap_bp(spark, sf):
+    return _windows(spark, sf)
+
+
+@query(WINDOWS_SQL + f" select *, bad_bp / {HOURS} as bad_fraction from o where bad_bp < 0.5 * {HOURS}")
+def window_filter(spark, sf):
+    return I.filter_by_overlap(_windows(spark, sf), 0.5, "bad_bp")
+
+
+@query(f"""
+with spans as ({SPANS}), m as ({_merged_sql("select * from spans where event_type = 'click'")}),
+s as (select event_id, user_id, start, "end" from spans where event_type = 'view'),
+cut as (select s.*, m.start as a, m."end" as b from s join m on m.user_id = s.user_id and m.start < s."end" and m."end" > s.start),
+gaps as (
+  select event_id, user_id, greatest(start, coalesce(lag(b) over (partition by event_id order by a), start)) as start, a as "end" from cut
+  union all select event_id, any_value(user_id), max(b), any_value("end") from cut group by event_id
+  union all select event_id, user_id, start, "end" from s where event_id not in (select event_id from cut))
+select user_id, start, "end", event_id from gaps where "end" > start""")
+def subtract_intervals(spark, sf):
+    mask = I.merge_intervals(_spans(spark, sf, "click"), ["user_id"])
+    return I.subtract_intervals(_spans(spark, sf, "view").select("user_id", "start", "end", "event_id"), mask, ["user_id"], 1 << 14)
+
+
+VOWEL_SQL = """
+with p as (select doc_id, regexp_extract_all(text, '([aeiou]+|[^aeiou]+)', 1) as l from documents),
+q as (select doc_id, unnest(l) as piece, unnest(range(len(l))) as pos from p),
+r as (select doc_id, piece, sum(length(piece)) over (partition by doc_id order by pos rows unbounded preceding) as "end" from q)
+select doc_id, ("end" - length(piece))::bigint as start, "end"::bigint as "end" from r where regexp_matches(piece, '^[aeiou]')"""
+
+
+@query(f"select * from ({VOWEL_SQL}) where \"end\" - start >= 3")
+def pattern_runs(spark, sf):
+    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]", "[^aeiou]")
+    return runs.filter("end - start >= 3")
+
+
+@query(f"select doc_id, unnest(generate_series(start, \"end\" - 3, 2)) as start, unnest(generate_series(start, \"end\" - 3, 2)) + 3 as \"end\" from ({VOWEL_SQL}) where \"end\" - start >= 3")
+def tile_windows(spark, sf):
+    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]", "[^aeiou]")
+    return I.tile(runs, 3, 2)
+
+
+@query("""select doc_id, translate(regexp_replace(text, '[^ACGTacgt]', 'N', 'g'), 'ACGTacgtN', '012301234') as codes from documents""")
+def encode_codes(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.encode_sequence(F.col("text")).alias("codes"))
+
+
+@query("""
+with p as (select user_id, event_id, value > 100 as flag, row_number() over (partition by user_id order by event_id) as place from events),
+h as (select *, place - row_number() over (partition by user_id order by place) as island from p where flag)
+select user_id, min(place) as "first", max(place) as "last", count(*) as n from h group by user_id, island""")
+def mask_spans(spark, sf):
+    return I.mask_spans(table(spark, sf, "events"), ["user_id"], "event_id", F.col("value") > 100)
+
+
+STATISTIC = "case event_type when 'click' then 'sum' when 'view' then 'mean' else 'sum_sqrt' end"
+
+
+@query(f"""
+with f as (select event_type, 1e6 / sum(value) as factor from events group by event_type),
+t as (select event_id, event_type, (value * factor)::float as x, {STATISTIC} as s from events join f using (event_type)),
+u as (select event_id, event_type, case when s = 'sum_sqrt' then pow(greatest(x, 0), 0.75)::float else x end as y from t)
+select event_id, round(least(y, 40)::double, 3) as value, y > 40 as capped from u""")
+def normalize_transform_cap(spark, sf):
+    events = table(spark, sf, "events")
+    totals = events.groupBy("event_type").agg(F.sum("value").alias("total"))
+    joined = events.join(F.broadcast(S.factors(totals, 1e6)), "event_type")
+    statistic = F.when(F.col("event_type") == "click", "sum").when(F.col("event_type") == "view", "mean").otherwise("sum_sqrt")
+    value = N.transform_value(F.col("value"), F.col("factor"), statistic)
+    return joined.withColumn("y", value).select("event_id", F.round(N.guard_finite(N.cap(F.col("y"), 40.0)).cast("double"), 3).alias("value"), (F.col("y") > 40).alias("capped"))
+
+
+TRACK_SQL = f"""
+with spans as ({SPANS}), mask as ({_merged_sql("select * from spans where event_type = 'purchase'")}),
+s as (select event_type, user_id, start, "end", value from spans where event_type <> 'purchase'),
+m as (select s.event_type, s.user_id, s.start, s."end", s.value, coalesce(sum(least(s."end", k."end") - greatest(s.start, k.start)) filter (k.start is not null), 0) as hidden
+  from s left join mask k on k.user_id = s.user_id and k.start < s."end" and k."end" > s.start group by all)"""
+
+
+def _signal(spark, sf):
+    spans = _spans(spark, sf).filter(F.col("event_type") != "purchase")
+    return spans.select(F.col("event_type").alias("track_id"), F.col("user_id").alias("chrom"), "start", "end", "value").distinct()
+
+
+def _mask(spark, sf):
+    return I.merge_intervals(_spans(spark, sf, "purchase").withColumnRenamed("user_id", "chrom"), ["chrom"])
+
+
+@query(TRACK_SQL + """ select event_type as track_id, round(sum(value * ("end" - start - hidden)), 2) as total from m group by event_type""")
+def valid_total(spark, sf):
+    totals = S.valid_totals(_signal(spark, sf), _mask(spark, sf))
+    return totals.select("track_id", F.round("total", 2).alias("total"))
+
+
+@query(TRACK_SQL + """ select event_type as track_id, round(sum(value * ("end" - start)), 2) as total from m group by event_type""")
+def header_total(spark, sf):
+    return S.header_totals(_signal(spark, sf)).select("track_id", F.round("total", 2).alias("total"))
+
+
+@query(f"""
+with spans as ({SPANS}), x as (select distinct event_type, user_id, start, "end", value from spans where event_type <> 'purchase'),
+w as (select user_id, day as window_index, day * 86400 as start, day * 86400 + 86400 as "end" from (select distinct user_id, start // 86400 as day from spans)),
+r as (select w.user_id, w.window_index, x.event_type, least(w."end", x."end") - greatest(w.start, x.start) as bp, x.value
+  from w join x on x.user_id = w.user_id and x.start < w."end" and x."end" > w.start)
+select user_id as chrom, window_index, event_type as track_id, sum(bp)::bigint as covered, round(sum(bp * value), 2) as mass from r group by all""")
+def window_signal(spark, sf):
+    days = _spans(spark, sf).select(F.col("user_id").alias("chrom"), F.floor(F.col("start") / 86_400).alias("window_index")).distinct()
+    windows = days.withColumn("start", F.col("window_index") * 86_400).withColumn("end", F.col("start") + 86_400)
+    runs = S.window_signal(windows, _signal(spark, sf), _mask(spark, sf).limit(0), 86_400)
+    bp = F.col("r_end") - F.col("r_start")
+    return runs.groupBy("chrom", "window_index", "track_id").agg(F.sum(bp).alias("covered"), F.round(F.sum(bp * F.col("value")), 2).alias("mass"))
+
+
+@query("""
+with p as (select user_id, value, row_number() over (partition by user_id order by event_id) - 1 as place, count(*) over (partition by user_id) as n from events),
+s as (select *, greatest(ceil(n / 20), 1)::bigint as stride from p)
+select user_id, place // stride as point, avg(place) as x, round(avg(value), 6) as y from s where (place // stride + 1) * stride <= n group by 1, 2""")
+def downsample(spark, sf):
+    points = _numbered(spark, sf).withColumn("x", F.col("place"))
+    out = S.downsample(points, ["user_id"], "place", "x", "value", 20)
+    return out.select("user_id", "point", "x", F.round("value", 6).alias("y"))
+
+
+def _numbered(spark, sf):
+    w = W.partitionBy("user_id").orderBy("event_id")
+    return table(spark, sf, "events").select("user_id", "event_id", "value", (F.row_number().over(w) - 1).cast("long").alias("place"))
+
+
+@query("""
+with p as (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as place, count(*) over (partition by user_id) as n from events)
+select user_id, event_id, place from p where place % greatest(ceil(n / 15), 1)::bigint = 0""")
+def strided_slice(spark, sf):
+    return S.every_kth(_numbered(spark, sf), ["user_id"], "place", 15).select("user_id", "event_id", "place")
+
+
+@query("""select p_partkey, trim(regexp_replace(p_name || ' (' || p_type || ')', '[^A-Za-z0-9_.+-]+', '_', 'g'), '_') as safe,
+  regexp_replace(lower(regexp_replace(p_name || '.BW', '(?i)\\.bw$', '')), '[^a-z0-9]', '', 'g') as canonical from part""")
+def file_names(spark, sf):
+    name = F.concat("p_name", F.lit(" ("), "p_type", F.lit(")"))
+    return table(spark, sf, "part").select("p_partkey", T.safe_filename(name).alias("safe"), T.canonical_name(F.concat("p_name", F.lit(".BW"))).alias("canonical"))
+
+
+@query(r"""
+with h as (select page_id, url, list_filter(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1), lambda x: lower(x) like '%') as l from pages)
+select page_id, unnest(range(len(l)))::int as ordinal, unnest(l) as href from h""")
+def href_index(spark, sf):
+    pages = table(spark, sf, "pages")
+    return pages.select("page_id", F.posexplode(T.hrefs(F.col("html"), "")).alias("ordinal", "href"))
+
+
+@query("""
+with s as (select l_orderkey, l_linenumber, l_partkey % 9973 as size from lineitem),
+c as (select *, least(7, size) as n, ceil(size / least(7, size))::bigint as chunk from s where size > 0),
+r as (select *, unnest(range(n)) as part from c)
+select l_orderkey, l_linenumber, part, part * chunk as start, least(part * chunk + chunk, size) - 1 as stop from r where part * chunk < size""")
+def byte_ranges(spark, sf):
+    files = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 9973).alias("size"))
+    return I.byte_ranges(files, "size", 7).select("l_orderkey", "l_linenumber", "part", "start", "stop")
+
+
+def _split_docs(spark, sf):
+    names = F.create_map(*[F.lit(x) for x in ("en", "train", "de", "val", "fr", "test", "es", "train")])
+    return table(spark, sf, "documents").select("doc_id", "lang", "n_chars", names[F.col("lang")].alias("split"))
+
+
+SHARDED_SQL = """
+with d as (select doc_id, lang, n_chars, case lang when 'de' then 'val' when 'fr' then 'test' else 'train' end as split from documents),
+p as (select *, row_number() over (partition by split order by md5('7:' || doc_id), doc_id) - 1 as place, count(*) over (partition by split) as n from d),
+s as (select *, case split when 'train' then 12 when 'val' then 5 else 3 end as k from p),
+i as (select *, case when place < (n % k) * (n // k + 1) then place // (n // k + 1) else n % k + (place - (n % k) * (n // k + 1)) // greatest(n // k, 1) end as shard_index from s),
+e as (select *, format('{}-{:05d}', split, shard_index) as shard_id from i)"""
+
+
+def _sharded(spark, sf):
+    return P.even_shards(P.shuffled(_split_docs(spark, sf), 7, ["doc_id"]), {"train": 12, "val": 5, "test": 3})
+
+
+@query(SHARDED_SQL + " select shard_id, count(*) as n, min(doc_id) as low, sum(n_chars)::bigint as chars from e group by shard_id")
+def even_shards(spark, sf):
+    return _sharded(spark, sf).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.sum("n_chars").alias("chars"))
+
+
+@query(SHARDED_SQL + """ select shard_id, split, count(*)::int as num_windows,
+  '[' || string_agg('{"chrom":"' || lang || '","start":' || doc_id || ',"end":' || (doc_id + n_chars) || '}', ',' order by place) || ']' as windows from e group by shard_id, split""")
+def shard_manifest(spark, sf):
+    windows = _sharded(spark, sf).withColumn("chrom", F.col("lang")).withColumn("start", F.col("doc_id")).withColumn("end", F.col("doc_id") + F.col("n_chars"))
+    return P.shard_manifest(windows).withColumn("windows", F.to_json("windows"))
+
+
+@query("""
+with c as (select lang, count(*) as n from documents group by lang), t as (select least(50, sum(n)) as wanted, sum(n) as total from c)
+select lang, n, least(greatest(1, floor(wanted * n / total)), n)::bigint as floor_shards from c, t""")
+def allocate_floor(spark, sf):
+    counts = table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    share = F.floor(F.least(F.lit(50), F.col("total")) * F.col("n") / F.col("total"))
+    return counts.join(F.broadcast(total)).select("lang", "n", F.least(F.greatest(F.lit(1), share), F.col("n")).cast("long").alias("floor_shards"))
+
+
+@query()
+def assign_splits(spark, sf):
+    """Whole users to balanced splits by greedy and local search (iterative)."""
+    events = table(spark, sf, "events").withColumn("chrom", F.col("event_type"))
+    return P.assign_splits(events, "chrom").groupBy("split", "chrom").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def shards_end_to_end(spark, sf):
+    """Windows per day and event type to the nested shard manifest."""
+    events = _spans(spark, sf).select(F.col("event_type").alias("chrom"), "start", "end").distinct()
+    return P.build_shards(events, wanted=100, seed=3, exact=True)
+
+
+@query("select o_orderkey, o_orderpriority from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 45)")
+def missing_files(spark, sf):
+    files = table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("length"))
+    return M.missing_files(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), files, "o_orderkey")
+
+
+@query("select o_orderkey, o_orderpriority from orders where o_orderkey in (select l_orderkey from lineitem where l_quantity > 45)")
+def available_files(spark, sf):
+    files = table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("length"))
+    return M.available(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), files, "o_orderkey")
+
+
+PATHS = "case doc_id % 7 when 0 then '/data/RNA/ENCODE/' when 1 then '/data/dnase/encode/' when 2 then '/x/rna/recount3/' when 3 then '/cage/fantom/' when 4 then '/atac/catlas/' when 5 then '/chip/encode/' else '/other/' end"
+
+
+def _manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    identifier = F.concat(F.lit("D"), "doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit("+")).when(F.col("doc_id") % 3 == 1, F.lit("-")).otherwise(F.lit("")))
+    pair = F.when(F.col("doc_id") % 5 == 4, F.lit("none")).when(F.col("doc_id") % 2 == 0, (F.col("doc_id") + 1).cast("string")).otherwise((F.col("doc_id") - 1).cast("string"))
+    return docs.select(
+        F.col("doc_id").alias("row_index"), identifier.alias("identifier"), F.concat(F.expr(PATHS), "doc_id", F.lit(".bw")).alias("file"), F.concat("lang", F.lit(":"), "source").alias("description"), pair.alias("strand_pair"),
+        F.lit("1.5").alias("scale"), F.lit("sum").alias("sum_stat"), F.lit("NaN").alias("clip_soft"), F.lit(None).cast("string").alias("clip"),
+    )
+
+
+TRACKS_SQL = f"""
+with d as (select doc_id, 'D' || doc_id || case doc_id % 3 when 0 then '+' when 1 then '-' else '' end as identifier, lower({PATHS}) as p, lang || ':' || source as description,
+  case when doc_id % 5 = 4 then null when doc_id % 2 = 0 then doc_id + 1 else doc_id - 1 end as pair from documents),
+k as (select *, case when p like '%/rna/encode/%' then 'RNA-seq' when p like '%/dnase/encode/%' then 'DNase-seq' when p like '%/rna/recount3/%' then 'RNA-seq' when p like '%/cage/fantom/%' then 'CAGE' when p like '%/atac/catlas/%' then 'ATAC-seq' end as assay,
+  case when p like '%/rna/encode/%' or p like '%/dnase/encode/%' then 'ENCODE' when p like '%/rna/recount3/%' then 'recount3/GTEx' when p like '%/cage/fantom/%' then 'FANTOM5' when p like '%/atac/catlas/%' then 'CATlas' end as provider from d)"""
+
+
+@query(TRACKS_SQL + """ select k.identifier as id, k.assay, k.provider, case k.doc_id % 3 when 0 then '+' when 1 then '-' else '.' end as strand, o.identifier as strand_pair, k.description,
+  rtrim(k.identifier, '+-') as stable_id from k left join d o on o.doc_id = k.pair and k.pair <> k.doc_id where k.assay is not null""")
+def build_tracks(spark, sf):
+    tracks = M.build_tracks(_manifest(spark, sf))
+    stable = F.coalesce("source.file_accession", "source.sample_id", "source.track_id")
+    return tracks.select("id", "assay", "provider", "strand", "strand_pair", "description", stable.alias("stable_id"))
+
+
+@query(TRACKS_SQL + " select assay, provider, count(*) as n from k where assay is not null group by assay, provider")
+def track_counts(spark, sf):
+    return M.counts_by(M.build_tracks(_manifest(spark, sf)), "assay", "provider")
+
+
+def _index(spark, sf):
+    """Parts as files of two hosts; names clash on purpose."""
+    part = table(spark, sf, "part")
+    name = F.concat("p_brand", F.lit("."), F.col("p_size"), F.lit(".bw"))
+    host = F.when(F.col("p_partkey") % 2 == 0, F.lit("http://a/")).otherwise(F.lit("http://b/"))
+    return part.select(host.alias("base"), F.col("p_partkey").alias("ordinal"), name.alias("filename"), F.concat(host, "p_partkey").alias("url"))
+
+
+def _stems(spark, sf):
+    shape = F.when(F.col("p_partkey") % 3 == 0, F.upper(F.concat("p_brand", F.lit("_"), F.col("p_size")))).otherwise(F.concat("p_brand", F.lit("."), F.col("p_size")))
+    return table(spark, sf, "part").select("p_partkey", shape.alias("stem"))
+
+
+CANON = "regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')"
+
+
+@query(f"""
+with i as (select case when p_partkey % 2 = 0 then 'http://a/' else 'http://b/' end as base, p_partkey as ordinal, p_brand || '.' || p_size as stem from part),
+e as (select base, stem, base || max(ordinal) as url from i group by base, stem),
+c as (select base, {CANON.format('stem')} as canon, base || min(ordinal) as url from i group by 1, 2 having count(*) = 1),
+t as (select p_partkey, case when p_partkey % 3 = 0 then upper(p_brand || '_' || p_size) else p_brand || '.' || p_size end as stem from part),
+r as (select t.p_partkey, coalesce(ea.url, ca.url) as ua, coalesce(eb.url, cb.url) as ub from t
+  left join e ea on ea.base = 'http://a/' and ea.stem = t.stem left join c ca on ca.base = 'http://a/' and ca.canon = {CANON.format('t.stem')}
+  left join e eb on eb.base = 'http://b/' and eb.stem = t.stem left join c cb on cb.base = 'http://b/' and cb.canon = {CANON.format('t.stem')})
+select p_partkey, concat_ws(' ', ua, ub) as urls from r""")
+def exact_or_canonical(spark, sf):
+    found = M.exact_or_canonical(_stems(spark, sf), _index(spark, sf), "stem", ["http://a/", "http://b/"])
+    return found.select("p_partkey", F.array_join("urls", " ").alias("urls"))
+
+
+@query("""
+with a as (select p_brand, max_by('u' || p_partkey, p_partkey) as url from part where p_size < 20 group by p_brand), b as (select p_brand, max_by('u' || p_partkey, p_partkey) as url from part where p_size > 10 group by p_brand)
+select p_partkey, case when a.url = b.url then a.url else concat_ws(' ', a.url, b.url) end as urls from part left join a using (p_brand) left join b using (p_brand)""")
+def two_sources(spark, sf):
+    part = table(spark, sf, "part")
+    rows = part.select("p_brand", "p_size", F.concat(F.lit("u"), "p_partkey").alias("url"), F.col("p_partkey").alias("ordinal"))
+    first = M.last_wins(rows.filter("p_size < 20"), ["p_brand"], "url", "ordinal")
+    second = M.last_wins(rows.filter("p_size > 10"), ["p_brand"], "url", "ordinal")
+    return M.both_sources(part.select("p_partkey", "p_brand"), first, second, ["p_brand"]).select("p_partkey", F.array_join("urls", " ").alias("urls"))
+
+
+@query("""
+with t as (select p_partkey, upper(trim(p_type || '-' || p_name)) as u from part)
+select p_partkey, list_aggregate(list_distinct([u, replace(u, ' ', '_'), replace(u, '-', '_'), replace(replace(u, ' ', '_'), '-', '_')]), 'count')::int as n, replace(replace(u, ' ', '_'), '-', '_') as spelled from t""")
+def study_spellings(spark, sf):
+    found = T.study_spellings(F.concat("p_brand", F.lit(": "), "p_type", F.lit("-"), "p_name"))
+    return table(spark, sf, "part").select("p_partkey", F.size(found).alias("n"), F.element_at(found, -1).alias("spelled"))
+
+
+@query("""
+with t as (select p_partkey, replace(upper(p_brand), '#', '_') as s, 'S' || p_partkey || '.1' as sample, right('S' || p_partkey, 2) as tail from part), m as (select unnest(['http://m1', 'http://m2']) as mirror, unnest([0, 1]) as k)
+select p_partkey, k as ordinal, mirror || '/human/data_sources/gtex/base_sums/' || right(s, 2) || '/' || s || '/' || tail || '/gtex.base_sums.' || s || '_' || sample || '.ALL.bw' as url from t, m""")
+def candidate_urls(spark, sf):
+    sample = F.concat(F.lit("S"), "p_partkey", F.lit(".1"))
+    urls = T.base_sum_urls(F.replace("p_brand", F.lit("#"), F.lit("_")), sample, F.array(F.lit("http://m1"), F.lit("http://m2")))
+    return table(spark, sf, "part").select("p_partkey", F.posexplode(urls).alias("ordinal", "url"))
+
+
+@query("""
+select p_brand, min_by(p_name, (p_size, p_name)) as name from part where p_partkey % 3 = 0 group by p_brand""")
+def first_success(spark, sf):
+    return M.first_success(table(spark, sf, "part"), ["p_brand"], "p_name", "p_size", F.col("p_partkey") % 3 == 0).withColumnRenamed("p_name", "name")
+
+
+STATUS_SQL = """
+with f as (select l_orderkey, max(l_returnflag = 'R') as done from lineitem where l_linenumber = 1 group by l_orderkey), p as (select distinct l_orderkey from lineitem where l_linenumber = 2 and l_quantity > 25),
+s as (select o_orderkey, o_orderpriority, case when f.done then 'complete' when p.l_orderkey is not null then 'partial' when f.done is not null then 'suspicious_final' else 'missing' end as status
+  from orders left join f on f.l_orderkey = o_orderkey left join p on p.l_orderkey = o_orderkey)"""
+
+
+def _status(spark, sf):
+    items = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    finals = items.filter("l_linenumber = 1").select("o_orderkey", (F.col("l_returnflag") == "R").alias("complete"))
+    partials = items.filter("l_linenumber = 2 and l_quantity > 25").select("o_orderkey")
+    return Z.shard_status(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), finals, partials, ["o_orderkey"])
+
+
+@query(STATUS_SQL + " select count(*) filter (status = 'complete') as complete, count(*) filter (status = 'partial') as partial, count(*) filter (status = 'suspicious_final') as suspicious_final, count(*) filter (status = 'missing') as missing from s")
+def status_counts(spark, sf):
+    return Z.status_counts(_status(spark, sf))
+
+
+@query(STATUS_SQL + " select o_orderkey as original_index, o_orderpriority as split, 'shard-' || o_orderkey as shard_id, status from s where status <> 'complete'")
+def repair_manifest(spark, sf):
+    named = _status(spark, sf).select(F.col("o_orderkey").alias("original_index"), F.col("o_orderpriority").alias("split"), F.concat(F.lit("shard-"), "o_orderkey").alias("shard_id"), "status")
+    return Z.repair_manifest(named)
+
+
+@query("select user_id, event_id, (place // 16)::int as batch_index from (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as place from events)")
+def batch_index(spark, sf):
+    return Z.batches(_numbered(spark, sf), "place", 16).select("user_id", "event_id", "batch_index")
+
+
+@query("""
+with b as (select distinct user_id, (place // 16)::int as batch_index from (select user_id, row_number() over (partition by user_id order by event_id) - 1 as place from events))
+select user_id, bool_and(batch_index % 4 <> 3) as complete, coalesce(string_agg(batch_index::varchar, ',' order by batch_index) filter (batch_index % 4 = 3), '') as missing from b group by user_id""")
+def completeness(spark, sf):
+    work = batch_index(spark, sf)
+    log = work.filter("batch_index % 4 <> 3")
+    out = Z.completeness(work, log, ["user_id", "batch_index"], ["user_id"])
+    return out.withColumn("missing", F.array_join(F.transform("missing", lambda x: x.cast("string")), ","))
+
+
+@query("""
+with b as (select user_id, event_id, (place // 16)::int as batch_index from (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as place from events))
+select user_id, event_id from b where batch_index % 4 = 3""")
+def pending_batches(spark, sf):
+    work = batch_index(spark, sf)
+    log = work.filter("batch_index % 4 <> 3").select("user_id", "batch_index").distinct()
+    return Z.pending(work, log, ["user_id", "batch_index"]).select("user_id", "event_id")
+
+
+@query()
+def half_rounding(spark, sf):
+    """Half-precision rounding of scaled embeddings (no such type in SQL)."""
+    x = F.posexplode("embedding").alias("pos", "x")
+    rows = table(spark, sf, "embeddings").select("vec_id", x)
+    return rows.select("vec_id", "pos", N.half_rounded(F.col("x") * 1000).alias("rounded"))
+
+
+@query()
+def dense_targets(spark, sf):
+    """Dense half-rounded arrays of every window of an hour and every track."""
+    signal, mask = _signal(spark, sf), _mask(spark, sf)
+    windows = signal.select("chrom", F.floor(F.col("start") / 3600).alias("hour")).distinct()
+    windows = windows.select("chrom", (F.col("hour") * 3600).alias("start"), (F.col("hour") * 3600 + 3600).alias("end"), (F.col("hour") * 1_000_000 + F.col("chrom")).alias("window_index"))
+    tracks = signal.select("track_id").distinct().withColumn("track_index", F.dense_rank().over(W.orderBy("track_id")) - 1).withColumn("sum_stat", F.lit("sum_sqrt"))
+    factors = S.factors(S.header_totals(signal))
+    first = I.merge_intervals(signal.select("track_id", "chrom", "start", "end"), ["track_id", "chrom"]).withColumn("value", F.lit(3.0))
+    runs = S.transformed(S.window_signal(windows, first, mask, 3600), tracks.join(factors, "track_id"))
+    dense = S.dense_targets(windows, tracks, runs)
+    return dense.select("window_index", "track_index", F.size("values").alias("n"), F.array_max("values").alias("peak"))
+
+
+@query()
+def resumable_batches(spark, sf):
+    """Micro-batches with a commit log, stopped once and resumed."""
+    import uuid
+
+    from spanloom.session import checkpoint_dir
+    from spanloom.streaming.resumable import process, results
+
+    base = f"{checkpoint_dir(spark)}/resumable-{uuid.uuid4().hex}"
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    events.repartition(4, "user_id").write.parquet(f"{base}/source")
+    work = lambda batch: batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+    process(spark, f"{base}/source", events.schema, f"{base}/out", work, stop_after=2)
+    process(spark, f"{base}/source", events.schema, f"{base}/out", work)
+    return results(spark, f"{base}/out").groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("value"), 2).alias("value"))
+
+
+ORACLE_SQL["resumable_batches"] = "select event_type, count(*) as n, round(sum(value), 2) as value from events group by event_type"
