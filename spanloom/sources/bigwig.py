@@ -92,7 +92,7 @@ class BigWigBytes:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.b[wi][!a]*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{bw,BW,bigWig,bigwig}").load(path)
     name = F.regexp_replace(F.regexp_extract("path", "([^/]*)$", 1), r"(?i)\.(bw|bigwig)$", "")
     return files.select(name.alias("track_id"), "content")
 
