@@ -10,7 +10,8 @@ windows mostly share one, so they travel as one short snippet.
    known there already, so a passage in very many documents sends one entry for
    a slice, not for a document.
 2. Snippets around shared minimisers are made distinct, keeping the smallest
-   document of each.
+   document of each. Words travel as 32 bits of their hash: the windows of one
+   minimiser would have to differ in words that collide to be taken for equal.
 3. The distinct snippets of a range of minimisers form a reference shard of
    bounded size. Its suffix automaton carries the smallest document of every
    state; the snippets are streamed through it, and the state of each matching
@@ -25,33 +26,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.arrays import WordHashes, run_hashes, text_slices
+from spanloom.llm.arrays import WordHashes, mixed, odd_factors, run_hashes, runs_inside, text_slices
 
 ANCHOR = 5
 #: Words of one automaton at most (or one minimiser's snippets).
 SHARD_WORDS = 100_000
+#: Bytes of text from which snippets are made distinct at once.
+SNIPPET_BYTES = 8 << 20
 NULL_ID = -(2**63)
 
 
-def minimisers(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For one text: first window, last window and anchor of each run of windows
-    that share their minimiser."""
+def minimisers(hashes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the texts of a slice: first window, last window and anchor of each run
+    of windows that share their minimiser; windows count from the slice's start."""
     grams = run_hashes(hashes, ANCHOR)
     span = length - ANCHOR + 1
-    n = len(grams) - span + 1
+    n = len(hashes) - length + 1
     if n <= 0:
         empty = np.empty(0, np.int64)
         return empty, empty, np.empty(0, np.uint64)
     least = grams[:n].copy()
     for k in range(1, span):
         np.minimum(least, grams[k : k + n], out=least)
-    change = np.flatnonzero(least[1:] != least[:-1]) + 1
-    first = np.concatenate(([0], change))
-    return first, np.concatenate((change, [n])) - 1, least[first]
+    inside = runs_inside(starts, length)
+    opens = np.ones(n, bool)
+    opens[1:] = (least[1:] != least[:-1]) | ~inside[:-1]
+    first = np.flatnonzero(opens & inside)
+    closes = np.ones(n, bool)
+    closes[:-1] = opens[1:] | ~inside[1:]
+    return first, np.flatnonzero(closes & inside), least[first]
+
+
+def _owners(starts: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    return np.searchsorted(starts, windows, "right") - 1
+
+
+def snippet_keys(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the words of each snippet, by prefix sums of a polynomial."""
+    factor = int(odd_factors(1, 37)[0])
+    powers = np.cumprod(np.full(len(hashes), factor, np.uint64))
+    back = np.cumprod(np.full(len(hashes), pow(factor, -1, 1 << 64), np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes) * powers, dtype=np.uint64)))
+    return mixed((sums[last + length] - sums[first]) * back[first] + (last - first).astype(np.uint64))
 
 
 class SuffixAutomaton:
@@ -135,13 +154,14 @@ def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
             ids = np.asarray(batch.column(0))
             for start, texts in text_slices(batch, "text"):
                 hashes, starts = words.of([raw.split() for raw in texts])
-                found = [np.unique(minimisers(hashes[a:b], length)[2]) for a, b in zip(starts[:-1], starts[1:])]
-                anchors = np.concatenate(found)
+                first, _, anchors = minimisers(hashes, starts, length)
                 if not len(anchors):
                     continue
-                owner = np.repeat(ids[start : start + len(texts)], [len(f) for f in found])
+                owner = ids[start : start + len(texts)][_owners(starts, first)]
                 order = np.lexsort((owner, anchors))
                 anchors, owner = anchors[order], owner[order]
+                new = np.concatenate(([True], (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])))
+                anchors, owner = anchors[new], owner[new]
                 lead = np.concatenate(([True], anchors[1:] != anchors[:-1]))
                 group = np.cumsum(lead) - 1
                 tail = np.concatenate((np.flatnonzero(lead)[1:], [len(anchors)])) - 1
@@ -179,55 +199,76 @@ def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, anchor long")
 
 
-def _snippets(joined: DataFrame, length: int, whole: bool) -> DataFrame:
-    """A row for each snippet of a shared minimiser: (key, doc_id, first_window),
-    or with ``whole`` (key, doc_id, anchor, words)."""
+def _snippets(joined: DataFrame, length: int, shards: int) -> DataFrame:
+    """The snippets of shared minimisers: with ``shards``, each distinct one of a
+    slice as (shard, key, doc_id, anchor, words), the smallest document named;
+    without, every one as (key, doc_id, first_window)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            ids, shared = batch.column(0), batch.column(2)
-            for start, texts in text_slices(batch, "text"):
-                keys, docs, places, anchors, content = [], [], [], [], []
-                for i, raw in enumerate(texts):
-                    hashes, _ = words.of([raw.split()])
-                    first, last, anchor = minimisers(hashes, length)
-                    wanted = np.isin(anchor.astype(np.int64), np.asarray(shared[start + i].values))
-                    if not wanted.any():
-                        continue
-                    first, last, anchor = first[wanted], last[wanted], anchor[wanted]
-                    for a, b in zip(first.tolist(), (last + length).tolist()):
-                        content.append(hashes[a:b].tobytes())
-                        keys.append(xxhash.xxh3_64_intdigest(content[-1]))
-                    docs.append(np.full(len(first), ids[start + i].as_py(), np.int64))
-                    places.append(first)
-                    anchors.append(anchor)
-                if keys:
-                    columns = [pa.array(np.array(keys, np.uint64).astype(np.int64)), pa.array(np.concatenate(docs))]
-                    columns += [pa.array(np.concatenate(anchors).astype(np.int64)), pa.array(content, pa.binary())] if whole else [pa.array(np.concatenate(places).astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "anchor", "words"] if whole else ["key", "doc_id", "first_window"])
-
-    return joined.mapInArrow(run, "key long, doc_id long, anchor long, words binary" if whole else "key long, doc_id long, first_window long")
-
-
-def _first_documents(distinct: DataFrame, length: int, shards: int) -> DataFrame:
+            ids, shared = np.asarray(batch.column(0)), batch.column(2)
+            for start, texts in text_slices(batch, "text", SNIPPET_BYTES):
+                hashes, starts = words.of([raw.split() for raw in texts])
+                first, last, anchor = minimisers(hashes, starts, length)
+                # A minimiser is shared for all its documents or for none.
+                wanted = np.isin(anchor, np.asarray(shared.slice(start, len(texts)).flatten()).astype(np.uint64))
+                if not wanted.any():
+                    continue
+                first, last, anchor = first[wanted], last[wanted], anchor[wanted]
+                owner = _owners(starts, first)
+                keys, docs = snippet_keys(hashes, first, last, length), ids[start + owner]
+                if not shards:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(docs), pa.array(first - starts[owner])], names=["key", "doc_id", "first_window"])
+                    continue
+                order = np.lexsort((docs, keys))
+                order = order[np.concatenate(([True], keys[order][1:] != keys[order][:-1]))]
+                size = last[order] - first[order] + length
+                cuts = np.concatenate(([0], np.cumsum(size)))
+                flat = np.repeat(first[order] - cuts[:-1], size) + np.arange(cuts[-1])
+                content = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer((hashes[flat] >> np.uint64(32)).astype(np.uint32))])
+                yield pa.RecordBatch.from_arrays([pa.array(((anchor[order] >> np.uint64(8)) % np.uint64(shards)).astype(np.int64)), pa.array(keys[order].astype(np.int64)), pa.array(docs[order]), pa.array(anchor[order].astype(np.int64)), content], names=["shard", "key", "doc_id", "anchor", "words"])
+
+    return joined.mapInArrow(run, "shard long, key long, doc_id long, anchor long, words binary" if shards else "key long, doc_id long, first_window long")
+
+
+def _first_documents(snippets: DataFrame, length: int) -> DataFrame:
     """(key, firsts): the smallest document of each window of each snippet."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("anchor")
-        anchors, docs = table.column("anchor").to_pylist(), table.column("doc_id").to_pylist()
-        words = [np.frombuffer(x, np.int64).tolist() for x in table.column("words").to_pylist()]
-        out: list[list[int]] = []
-        begin, held = 0, 0
-        for i in range(len(words) + 1):
-            if i == len(words) or held >= SHARD_WORDS and anchors[i] != anchors[i - 1]:
-                shard = SuffixAutomaton(list(zip(words[begin:i], docs[begin:i])))
-                out += [shard.first_documents(w, length) for w in words[begin:i]]
-                begin, held = i, 0
-            if i < len(words):
-                held += len(words[i])
-        return pa.table({"key": table.column("key"), "firsts": pa.array(out, pa.list_(pa.int64()))})
-
-    return distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(run, "key long, firsts array<bigint>")
+        keys, docs, anchors = (np.asarray(table.column(c)) for c in ("key", "doc_id", "anchor"))
+        order = np.lexsort((docs, keys, anchors))
+        order = order[np.concatenate(([True], keys[order][1:] != keys[order][:-1]))]
+        keys, docs, anchors = keys[order], docs[order], anchors[order]
+        words = [np.frombuffer(w, np.uint32) for w in table.column("words").take(pa.array(order)).to_pylist()]
+        begins = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1], [True]))).tolist()
+        out: list = [None] * len(words)
+        held: list[int] = []
+        size = 0
+
+        def answer() -> None:
+            shard = SuffixAutomaton([(sequences[i], int(docs[i])) for i in held])
+            for i in held:
+                out[i] = shard.first_documents(sequences[i], length)
+
+        sequences: dict[int, list[int]] = {}
+        for a, b in zip(begins, begins[1:]):
+            if b - a == 1:  # one snippet: all its windows are first in its document
+                out[a] = [int(docs[a])] * (len(words[a]) - length + 1)
+                continue
+            for i in range(a, b):
+                sequences[i] = words[i].tolist()
+                size += len(words[i])
+            held += range(a, b)
+            if size >= SHARD_WORDS:
+                answer()
+                held, size = [], 0
+                sequences.clear()
+        if held:
+            answer()
+        return pa.table({"key": pa.array(keys), "firsts": pa.array(out, pa.list_(pa.int64()))})
+
+    return snippets.groupBy("shard").applyInArrow(run, "key long, firsts array<bigint>")
 
 
 def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = 13) -> DataFrame:
@@ -244,10 +285,9 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", l
     rows = _rows(docs, id, text)
     shared = _shared_anchors(rows, length, 2 * tasks).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     joined = rows.join(shared, "doc_id").select("doc_id", "text", "anchors")
-    distinct = _snippets(joined, length, True).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("anchor").alias("anchor"), F.min("words").alias("words"))
-    firsts = _first_documents(distinct, length, 4 * tasks)
+    firsts = _first_documents(_snippets(joined, length, 4 * tasks), length)
     answers = (
-        _snippets(joined, length, False)
+        _snippets(joined, length, 0)
         .join(firsts, "key")
         .select("doc_id", "first_window", F.filter(F.transform("firsts", lambda d, i: F.when(d < F.col("doc_id"), i)), lambda i: i.isNotNull()).alias("gone"))
         .filter(F.size("gone") > 0)
