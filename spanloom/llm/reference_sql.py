@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from spanloom.llm.license_scan import TEMPLATES
+
 #: Words [^\x20\x09-\x0D]+ of a text as a list, in DuckDB.
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -62,3 +64,30 @@ kept as (
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from d left join kept using (doc_id)
 """
+
+OP7 = rf"""
+with recursive d as (select doc_id, {WORDS} as w from documents),
+s as (
+  select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))) as s from d where len(w) >= 5
+  union all select doc_id, list_aggregate(w, 'string_agg', ' ') from d where len(w) between 1 and 4),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 10 * c >= 8 * (x.n + y.n - c)
+  union all select x.doc_id, y.doc_id from d x join d y on x.doc_id <> y.doc_id and len(x.w) = 0 and len(y.w) = 0),
+reach as (select doc_id as a, doc_id as b from d union select r.a, l.b from reach r join links l on r.b = l.a)
+select a as doc_id, min(b) as class_id, coalesce((select count(*) from links l where l.a = reach.a), 0)::bigint as n_links from reach group by a
+"""
+
+_LICENSES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
+_SCANNED = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2C\x2E\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+_SHINGLES = "list_distinct(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' ')))"
+OP10 = rf"""
+with t as (select template, license, {_SCANNED} as w from (values {_LICENSES}) v(template, license, text)),
+ts as (select template, license, len({_SHINGLES}) as n, unnest({_SHINGLES}) as s from t),
+ds as (select doc_id, unnest({_SHINGLES}) as s from (select doc_id, {_SCANNED} as w from documents)),
+found as (select doc_id, template, license, round(count(distinct s) / n, 6) as containment from ds join ts using (s) group by doc_id, template, license, n having round(count(distinct s) / n, 6) >= 0.8),
+rivals as (select a.template, b.template as rival from ts a join ts b on a.s = b.s and a.template <> b.template group by a.template, b.template, a.n having count(*) >= 0.8 * a.n),
+best as (select * from found f where not exists (select 1 from rivals r join found g on g.template = r.rival and g.doc_id = f.doc_id where r.template = f.template and g.containment > f.containment))
+select doc_id, license, count(*) as n_templates, max(containment) as containment from best group by doc_id, license
+"""
