@@ -39,7 +39,9 @@ def reachable(spark: SparkSession) -> None:
     have been started without its folder on ``PYTHONPATH``.
     """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
