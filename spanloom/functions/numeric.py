@@ -71,3 +71,13 @@ def half_rounded_array(x: pd.Series) -> pd.Series:
 def stride_for(n: Column, most: int) -> Column:
     """Rows that one plotted point stands for."""
     return F.greatest(F.ceil(n / most), F.lit(1)).cast("long")
+
+
+def coordinates(start: Column, end: Column) -> Column:
+    """Every position of ``[start, end)``; none where it is empty."""
+    return F.when(end > start, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def missing_count(x: Column) -> Column:
+    """Aggregate: rows whose value is null or NaN."""
+    return F.count_if(x.isNull() | F.isnan(x))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from spanloom.functions.text import EXCLUDED, absolute_url, canonical_name, classify_path, cleaned, hrefs, library_and_strand, source_struct, split_strand, whole_number
 
 
@@ -121,3 +123,30 @@ def available(tracks: DataFrame, files: DataFrame, key: str, size: str = "length
 def numbered(rows: DataFrame, order: list[str], name: str = "row_index", by: list[str] | None = None) -> DataFrame:
     """Row numbers from 0 within ``by``; for manifests, whose rows are few."""
     return rows.withColumn(name, (F.row_number().over(W.partitionBy(*(by or [F.lit(0)])).orderBy(*order)) - 1).cast("long"))
+
+
+#: The part of a file's metadata that is read.
+METADATA = T.StructType([T.StructField("file_format", T.StringType()), T.StructField("href", T.StringType())])
+
+
+def metadata_urls(answers: DataFrame, body: str, site: str) -> DataFrame:
+    """``answers`` with ``url`` from a file's JSON metadata; a file that is no
+    bigWig or has no link fails."""
+    parsed = answers.withColumn("__m", F.from_json(body, METADATA))
+    good = (F.lower("__m.file_format") == "bigwig") & F.col("__m.href").isNotNull()
+    checked = parsed.filter(F.when(F.coalesce(good, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit("the file's metadata names no bigWig link")).cast("boolean")))
+    return checked.withColumn("url", absolute_url(F.lit(site), F.col("__m.href"))).drop("__m")
+
+
+def reachable_candidates(tracks: DataFrame, candidates: Column, existing: DataFrame, key: str) -> DataFrame:
+    """``urls``: the candidates of each track that ``existing(url)`` has, in their
+    order; empty where none is."""
+    tried = tracks.select(key, F.posexplode(candidates).alias("place", "url")).join(existing.select("url").distinct(), "url", "left_semi")
+    found = tried.groupBy(key).agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("place", "url"))), lambda c: c["url"])).alias("urls"))
+    return tracks.join(found, key, "left").withColumn("urls", F.coalesce("urls", F.array().cast("array<string>")))
+
+
+def with_canonical_order(rows: DataFrame, names: tuple[str, ...], column: str = "chrom", rank: str = "chrom_rank") -> DataFrame:
+    """``rank`` of each row in a fixed order of names; unknown names come last."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col(column))
+    return rows.withColumn(rank, F.when(place == 0, len(names) + 1).otherwise(place))
