@@ -7,12 +7,20 @@ operators. Nulls in ``start`` or ``end`` make a row invalid: it is dropped.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Width of the bins of the range join; a power of two near a window's length.
 BIN = 1 << 18
+#: Texts whose runs make one batch.
+HELD_ROWS = 1000
 
 
 def merge_intervals(rows: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
@@ -20,9 +28,9 @@ def merge_intervals(rows: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
 
     A new island starts where ``start`` lies more than ``gap`` past the largest
     end so far, so touching intervals merge. With a gap this is the batch form of
-    session windows. One shuffle by ``by``; exact duplicates leave before it.
+    session windows. One shuffle by ``by`` serves the window and the aggregation.
     """
-    valid = rows.filter(F.col("end") > F.col("start")).groupBy(*by, "start").agg(F.max("end").alias("end"))
+    valid = rows.filter(F.col("end") > F.col("start")).select(*by, "start", "end")
     before = W.partitionBy(*by).orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     running = W.partitionBy(*by).orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)
     flagged = valid.withColumn("opens", F.coalesce(F.col("start") > F.max("end").over(before) + gap, F.lit(True)).cast("int"))
@@ -122,14 +130,29 @@ def pattern_runs(text: Column, inside: str, outside: str) -> Column:
     return F.aggregate(pieces, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("runs")), step)["runs"]
 
 
-def text_runs(rows: DataFrame, text: str, inside: str, outside: str) -> DataFrame:
-    """``pattern_runs`` as rows ``(..., start, end)``: a window over the pieces of
-    each row keeps long texts linear."""
+def text_runs(rows: DataFrame, text: str, inside: str) -> DataFrame:
+    """``pattern_runs`` as rows ``(..., start, end)`` without a shuffle: the runs
+    of a text are found in one pass where the text is. Null texts have none."""
     rest = [c for c in rows.columns if c != text]
-    pieces = rows.withColumn("row", F.monotonically_increasing_id()).select(*rest, "row", F.posexplode(F.regexp_extract_all(F.col(text), F.lit(f"({inside}+|{outside}+)"), F.lit(1))).alias("pos", "piece"))
-    upto = W.partitionBy("row").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    ends = pieces.withColumn("end", F.sum(F.length("piece").cast("long")).over(upto))
-    return ends.filter(F.col("piece").rlike(f"^{inside}")).select(*rest, (F.col("end") - F.length("piece")).alias("start"), "end")
+    pattern = re.compile(f"{inside}+")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                spans = [m.span() for m in pattern.finditer(batch.column(0)[row].as_py() or "")]
+                if spans:
+                    held.append((batch.slice(row, 1), spans))
+                if held and (len(held) == HELD_ROWS or row == batch.num_rows - 1):
+                    at = pa.array(np.repeat(np.arange(len(held)), [len(s) for _, s in held]))
+                    table = pa.Table.from_batches([h for h, _ in held]).select(range(1, len(rest) + 1)).take(at)
+                    both = np.array([x for _, s in held for x in s], np.int64)
+                    held.clear()
+                    for part in table.append_column("start", pa.array(both[:, 0])).append_column("end", pa.array(both[:, 1])).combine_chunks().to_batches():
+                        yield part
+
+    held: list = []
+    schema = T.StructType([*(rows.schema[c] for c in rest), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    return rows.select(text, *rest).mapInArrow(run, schema)
 
 
 def mask_spans(rows: DataFrame, by: list[str], order: str, flag: Column) -> DataFrame:

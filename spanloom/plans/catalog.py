@@ -119,13 +119,13 @@ select doc_id, ("end" - length(piece))::bigint as start, "end"::bigint as "end"
 
 @query(f"select * from ({VOWEL_SQL}) where \"end\" - start >= 3")
 def pattern_runs(spark, sf):
-    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]", "[^aeiou]")
+    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]")
     return runs.filter("end - start >= 3")
 
 
 @query(f"select doc_id, unnest(generate_series(start, \"end\" - 3, 2)) as start, unnest(generate_series(start, \"end\" - 3, 2)) + 3 as \"end\" from ({VOWEL_SQL}) where \"end\" - start >= 3")
 def tile_windows(spark, sf):
-    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]", "[^aeiou]")
+    runs = I.text_runs(table(spark, sf, "documents").select("doc_id", "text"), "text", "[aeiou]")
     return I.tile(runs, 3, 2)
 
 

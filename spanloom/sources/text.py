@@ -115,7 +115,7 @@ def clean_runs(sequence: DataFrame) -> DataFrame:
     cross a chunk border touch there and merge."""
     from spanloom.operators.intervals import text_runs
 
-    spans = text_runs(sequence, "seq", "[ACGTacgt]", "[^ACGTacgt]")
+    spans = text_runs(sequence, "seq", "[ACGTacgt]")
     return merge_intervals(spans.select("chrom", (F.col("offset") + F.col("start")).alias("start"), (F.col("offset") + F.col("end")).alias("end")), ["chrom"])
 
 
