@@ -12,6 +12,7 @@ windows mostly share one, so they travel as one short snippet.
 2. Snippets around shared minimisers are made distinct, keeping the smallest
    document of each. Words travel as 32 bits of their hash: the windows of one
    minimiser would have to differ in words that collide to be taken for equal.
+   The windows of minimisers in very many documents are snippets of their own.
 3. The distinct snippets of a range of minimisers form a reference shard of
    bounded size. Its suffix automaton carries the smallest document of every
    state; the snippets are streamed through it, and the state of each matching
@@ -30,10 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.arrays import WordHashes, mixed, odd_factors, run_hashes, runs_inside, text_slices
+from spanloom.llm.stages import written
 
 ANCHOR = 5
 #: Words of one automaton at most (or one minimiser's snippets).
 SHARD_WORDS = 100_000
+#: A minimiser of this many documents or more is hot: each of its windows goes to
+#: a shard of its own hash. The list of hot ones is broadcast and kept to a fixed
+#: size by a higher limit where there are more.
+HOT_DOCUMENTS, HOT_LIST = 20_000, 1_000_000
 #: Bytes of text from which snippets are made distinct at once.
 SNIPPET_BYTES = 8 << 20
 NULL_ID = -(2**63)
@@ -146,7 +152,9 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(doc_id, anchor) of minimisers that two documents or more have."""
+    """(doc_id, anchor, n_docs) of minimisers that two documents or more have;
+    ``n_docs`` is null but for one row without ``doc_id`` for each hot one."""
+    limit = HOT_DOCUMENTS
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -167,16 +175,17 @@ def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
                 tail = np.concatenate((np.flatnonzero(lead)[1:], [len(anchors)])) - 1
                 here = owner[np.flatnonzero(lead)] != owner[tail]  # shared inside this slice
                 single, owners = anchors[lead], owner[lead]
+                sizes = np.diff(np.concatenate((np.flatnonzero(lead), [len(anchors)]))).astype(np.uint32)
                 bucket = (single >> np.uint64(40)).astype(np.int64) % buckets
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                out = [(b, single[order[x:y]], owners[order[x:y]], False) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+                out = [(b, single[order[x:y]], owners[order[x:y]], sizes[order[x:y]], False) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
                 known = here[group]
                 if known.any():
-                    out.append((int(anchors[0] >> np.uint64(40)) % buckets, anchors[known], owner[known], True))
+                    out.append((int(anchors[0] >> np.uint64(40)) % buckets, anchors[known], owner[known], sizes[:0], True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tobytes() for o in out], pa.binary()), pa.array([o[2].astype(np.int64).tobytes() for o in out], pa.binary()), pa.array([o[3] for o in out])],
-                    names=["bucket", "anchors", "owners", "known"],
+                    [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tobytes() for o in out], pa.binary()), pa.array([o[2].astype(np.int64).tobytes() for o in out], pa.binary()), pa.array([o[3].tobytes() for o in out], pa.binary()), pa.array([o[4] for o in out])],
+                    names=["bucket", "anchors", "owners", "sizes", "known"],
                 )
 
     def meet(table: pa.Table) -> pa.Table:
@@ -185,21 +194,41 @@ def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
         owners = [np.frombuffer(x, np.int64) for x in table.column("owners").to_pylist()]
         join = lambda parts, want, kind: np.concatenate([np.empty(0, kind), *(p for p, k in zip(parts, known) if k == want)])
         a, o = join(anchors, False, np.uint64), join(owners, False, np.int64)
+        n = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in table.column("sizes").to_pylist())])
         order = np.lexsort((o, a))
-        a, o = a[order], o[order]
+        a, o, n = a[order], o[order], n[order].astype(np.int64)
+        hot, total = a[:0], n[:0]
         if len(a):
             lead = np.concatenate(([True], a[1:] != a[:-1]))
             begin = np.flatnonzero(lead)
             end = np.concatenate((begin[1:], [len(a)])) - 1
+            total = np.add.reduceat(n, begin)
+            hot, total = a[begin][total >= limit], total[total >= limit]
             keep = (o[begin] != o[end])[np.cumsum(lead) - 1]
             a, o = a[keep], o[keep]
-        return pa.table({"doc_id": np.concatenate((o, join(owners, True, np.int64))), "anchor": np.concatenate((a, join(anchors, True, np.uint64))).astype(np.int64)})
+        found = np.concatenate((a, join(anchors, True, np.uint64), hot)).astype(np.int64)
+        docs = np.concatenate((o, join(owners, True, np.int64)))
+        return pa.table(
+            {
+                "doc_id": pa.concat_arrays([pa.array(docs), pa.nulls(len(hot), pa.int64())]),
+                "anchor": pa.array(found),
+                "n_docs": pa.concat_arrays([pa.nulls(len(docs), pa.int64()), pa.array(total, pa.int64())]),
+            }
+        )
 
-    sent = rows.mapInArrow(send, "bucket long, anchors binary, owners binary, known boolean")
-    return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, anchor long")
+    sent = rows.mapInArrow(send, "bucket long, anchors binary, owners binary, sizes binary, known boolean")
+    return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, anchor long, n_docs long")
 
 
-def _snippets(joined: DataFrame, length: int, shards: int) -> DataFrame:
+def _hot_anchors(shared: DataFrame) -> np.ndarray:
+    """The hot minimisers, ``HOT_LIST`` at most."""
+    found, limit = shared.filter(F.col("n_docs").isNotNull()), HOT_DOCUMENTS
+    while found.filter(F.col("n_docs") >= limit).count() > HOT_LIST:
+        limit *= 2
+    return np.array([r["anchor"] for r in found.filter(F.col("n_docs") >= limit).collect()], np.int64).astype(np.uint64)
+
+
+def _snippets(joined: DataFrame, length: int, shards: int, hot) -> DataFrame:
     """The snippets of shared minimisers: with ``shards``, each distinct one of a
     slice as (shard, key, doc_id, anchor, words), the smallest document named;
     without, every one as (key, doc_id, first_window)."""
@@ -216,8 +245,15 @@ def _snippets(joined: DataFrame, length: int, shards: int) -> DataFrame:
                 if not wanted.any():
                     continue
                 first, last, anchor = first[wanted], last[wanted], anchor[wanted]
+                apart = np.isin(anchor, hot.value)
+                count = np.where(apart, last - first + 1, 1)
+                at = np.repeat(np.arange(len(first)), count)
+                step = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+                first, apart, anchor = first[at] + step, apart[at], anchor[at]
+                last = np.where(apart, first, last[at])
                 owner = _owners(starts, first)
                 keys, docs = snippet_keys(hashes, first, last, length), ids[start + owner]
+                anchor = np.where(apart, keys, anchor)
                 if not shards:
                     yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(docs), pa.array(first - starts[owner])], names=["key", "doc_id", "first_window"])
                     continue
@@ -283,11 +319,13 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", l
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _rows(docs, id, text)
-    shared = _shared_anchors(rows, length, 2 * tasks).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    found = written(_shared_anchors(rows, length, 2 * tasks))
+    hot = spark.sparkContext.broadcast(_hot_anchors(found))
+    shared = found.filter(F.col("n_docs").isNull()).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     joined = rows.join(shared, "doc_id").select("doc_id", "text", "anchors")
-    firsts = _first_documents(_snippets(joined, length, 4 * tasks), length)
+    firsts = _first_documents(_snippets(joined, length, 4 * tasks, hot), length)
     answers = (
-        _snippets(joined, length, 0)
+        _snippets(joined, length, 0, hot)
         .join(firsts, "key")
         .select("doc_id", "first_window", F.filter(F.transform("firsts", lambda d, i: F.when(d < F.col("doc_id"), i)), lambda i: i.isNotNull()).alias("gone"))
         .filter(F.size("gone") > 0)
