@@ -30,8 +30,10 @@ from spanloom.llm.stages import written
 
 SHINGLE = 5
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
-#: A block holds about this many classes and shingles at most (or one class).
-BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 20
+#: A block holds about this many classes and shingles at most (or one class);
+#: smaller groups are cut into up to ``BLOCKS`` blocks of ``LEAST_CLASSES``, so
+#: that one group is the work of many tasks.
+BLOCK_CLASSES, BLOCK_SHINGLES, LEAST_CLASSES, BLOCKS = 1024, 1 << 20, 128, 16
 #: Signatures that agree less than this cannot be at 0.8 but for a chance of
 #: under one in ten thousand (128 values, 4.2 deviations).
 SKETCH_MARGIN = 0.15
@@ -171,7 +173,7 @@ def _compare(left: list[tuple], right: list[tuple] | None, threshold: float) ->
 def _verified(docs: DataFrame, signed: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, id: str, text: str, trees: int, depth: int) -> DataFrame:
     """(node, links, tie) of all pairs of blocks of every candidate group."""
     members = groups.join(classes.select("node", "n_copies", "n_shingles", "first_id"), "node")
-    sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+    sizes = members.groupBy("component").agg(F.greatest(F.least(F.lit(BLOCKS), F.ceil(F.count(F.lit(1)) / LEAST_CLASSES)), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
     placed = written(members.join(sizes, "component").select("node", "component", "n_copies", "first_id", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("block")))
     wanted = placed.select(F.col("first_id").alias("doc_id")).distinct()
     rows = docs.selectExpr(f"`{id}` as doc_id", f"cast(`{text}` as binary) as text")

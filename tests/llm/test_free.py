@@ -198,7 +198,7 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     words = prose(120).split()
     texts = [" ".join([*words[: i % 100], f"x{i}", *words[i % 100 + 1 :]]) for i in range(90)]
     whole = sorted(map(tuple, near_duplicates(frame(spark, texts)).collect()))
-    monkeypatch.setattr(near, "BLOCK_CLASSES", 16)
+    monkeypatch.setattr(near, "LEAST_CLASSES", 16)
     assert sorted(map(tuple, near_duplicates(frame(spark, texts)).collect())) == whole
     assert {w[1] for w in whole} == {0}
 
@@ -236,6 +236,17 @@ def test_removal_by_brute_force(spark):
     assert remove_repeats(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_hot_minimisers_go_window_by_window(spark, monkeypatch):
+    from spanloom.llm import substrings
+
+    monkeypatch.setattr(substrings, "HOT_DOCUMENTS", 4)
+    common = prose(11)
+    texts = [f"{prose(6)} {common} {prose(RNG.randint(1, 3))} {prose(9)}" for _ in range(30)] + [f"{common} same tail here for all of these"] * 3
+    texts += [texts[4], f"{prose(4)} {texts[9]}"]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in remove_repeats(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(plain_removal(texts)))
+
+
 def test_same_and_null_ids_in_removal(spark):
     text = prose(20)
     rows = remove_repeats(frame(spark, [text, text, text], ids=[4, 4, None])).collect()
