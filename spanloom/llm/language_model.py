@@ -1,26 +1,32 @@
-"""Hierarchical Pitman-Yor language model over words and their spelling.
-
-Words are dishes of one restaurant; its parent spells a word byte by byte with
-restaurants for the contexts of two, one and no bytes, each context sharing the
-restaurant of its shorter context as parent, down to the uniform distribution.
-The end of a text is the empty word. As in the base score, all words that were
-never learned are one event; its probability is the chance of a new table times
-the spelling's mass outside the vocabulary.
-
-Seating is sampled by Gibbs sweeps. A sweep draws the tables of every word given
-the totals and the spelling of the sweep before; each new table sends one
-customer to the spelling restaurants, whose tables are drawn from the longest
-context down. Predictive probabilities are averaged over the sweeps kept.
+"""Hierarchical Pitman-Yor language model over word pairs, words and spelling.
+
+A word is drawn in the restaurant of the word before it (the first word after
+the end of a text); the parent of these is one restaurant of words. Its own
+parent spells a word byte by byte with restaurants for the contexts of two, one
+and no bytes, each context sharing the restaurant of its shorter context as
+parent, down to the uniform distribution. The end of a text is the empty word.
+As in the base score, all words that were never learned are one event; its
+probability is the chance of a new table times the spelling's mass outside the
+vocabulary.
+
+Seating is sampled by Gibbs sweeps. A sweep draws the tables of every pair given
+the word probabilities of the sweep before; each sends one customer to the
+restaurant of words, whose tables are drawn given the spelling and send theirs
+to the spelling restaurants, from the longest context down. Predictive
+probabilities are averaged over the sweeps kept.
 
 Counts are gathered from the whole corpus in blocks: a block is a bounded slice
-of texts as word codes with its own dictionary. Blocks send dictionary entries,
-not tokens, to hash buckets and get back the corpus count of each entry. Draws
-are a function of the word, the sweep and the model before it, so every block
-that holds a word draws the same tables without asking.
+of texts as word codes with its own dictionary. Blocks send entries of words and
+of pairs, not tokens, to hash buckets and get back values of each entry. A pair
+seen once has one table, so only repeated pairs are drawn, in the bucket of
+their word. The pairs of a context meet in one bucket, those of a frequent one
+in several, and their number of tables is summed. Draws are a function of the
+pair or word, the sweep and the model before it.
 """
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.arrays import mixed, text_slices
@@ -37,7 +43,9 @@ from spanloom.llm.stages import written
 BLOCK_BYTES = 16 << 20
 #: Symbols of the spelling: 256 bytes and one for "outside" (start, end of word).
 OUT, SYMBOLS = 256, 257
-SPELL_DISCOUNT, SPELL_STRENGTH, WORD_STRENGTH = 0.5, 1.0, 10.0
+SPELL_DISCOUNT, SPELL_STRENGTH, WORD_STRENGTH, PAIR_STRENGTH = 0.5, 1.0, 10.0, 1.0
+#: Contexts with this many tokens, and one in ``HOT_SHARE`` of all, are cut up.
+HOT_TOKENS, HOT_SHARE = 1 << 16, 4096
 #: Sweeps in all, and those left out of the averages.
 SWEEPS, BURN_IN = 3, 1
 #: Customers seated one by one; later ones in groups that grow by a tenth.
@@ -162,12 +170,36 @@ class State:
     tokens: int
     words: int
     discount: float
+    pair_discount: float
+    customers: float
     tables: float
     spelling: Spelling
 
-    def drawn(self, words: np.ndarray, lengths: np.ndarray, counts: np.ndarray, keys: np.ndarray, sweep: int) -> np.ndarray:
-        mass = (WORD_STRENGTH + self.discount * self.tables) * 10.0 ** self.spelling.log10(words, lengths)
-        return seat(counts, mass, self.discount, keys, sweep)
+
+@dataclass
+class Known:
+    """A bucket's part of the vocabulary and the repeated pairs of its words."""
+
+    totals: np.ndarray
+    words: np.ndarray
+    lengths: np.ndarray
+    hashes: np.ndarray
+    at: np.ndarray  # word of each pair
+    keys: np.ndarray
+    counts: np.ndarray
+    types: np.ndarray  # distinct words after the pair's first one
+
+    def seated(self, states: list[State]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(tables of pairs, customers of words, tables of words) by sweep."""
+        customers, tables = self.totals, np.minimum(self.totals, 1).astype(np.float64)
+        for sweep, state in enumerate(states):
+            spelled = 10.0 ** state.spelling.log10(self.words, self.lengths)
+            new_mass = (WORD_STRENGTH + state.discount * state.tables) * spelled
+            p = (customers - state.discount * tables + new_mass) / (WORD_STRENGTH + state.customers)
+            pairs = seat(self.counts, (PAIR_STRENGTH + state.pair_discount * self.types) * p[self.at], state.pair_discount, self.keys, sweep)
+            customers = self.totals - np.bincount(self.at, self.counts - pairs, len(self.totals)).astype(np.int64)
+            tables = seat(customers, new_mass, state.discount, self.hashes, sweep)
+            yield pairs, customers, tables
 
 
 def _joined(words: list[bytes]) -> tuple[bytes, np.ndarray]:
@@ -183,7 +215,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-BLOCK_SCHEMA = "block long, ids binary, sizes binary, codes binary, words binary, lengths binary, counts binary"
+BLOCK_SCHEMA = "block long, ids binary, learns binary, sizes binary, codes binary, words binary, lengths binary, counts binary"
 
 
 def _blocks(docs: DataFrame, id: str, text: str, learn: Column) -> DataFrame:
@@ -191,7 +223,7 @@ def _blocks(docs: DataFrame, id: str, text: str, learn: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, learns = np.asarray(batch.column(0)), np.asarray(batch.column(2))
+            ids, learns = np.asarray(batch.column(0)), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for start, texts in text_slices(batch, "text", BLOCK_BYTES):
                 codes, parts = Codes(), []
                 end = np.array([codes[b""]], np.uint32)
@@ -203,20 +235,20 @@ def _blocks(docs: DataFrame, id: str, text: str, learn: Column) -> DataFrame:
                 mask = np.repeat(learns[start : start + len(texts)], sizes)
                 counts = np.bincount(flat[mask], minlength=len(codes)).astype(np.uint32)
                 words, lengths = _joined(list(codes))
-                values = (ids[start : start + len(texts)], sizes, flat, words, lengths, counts)
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *[pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]], names=["block", "ids", "sizes", "codes", "words", "lengths", "counts"])
+                values = (ids[start : start + len(texts)], learns[start : start + len(texts)], sizes, flat, words, lengths, counts)
+                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *[pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]], names=["block", "ids", "learns", "sizes", "codes", "words", "lengths", "counts"])
 
     return rows.mapInArrow(run, BLOCK_SCHEMA)
 
 
 #: ASCII capitals become small letters, every other byte stays.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-MEET_SCHEMA = "block long, bucket long, totals binary, words binary, lengths binary"
+MEET_SCHEMA = "block long, bucket long, at binary, totals binary, words binary, lengths binary"
 
 
 def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Corpus counts by bucket: a row answers each block (``words`` null), and a
-    row holds the bucket's part of the vocabulary (``block`` null)."""
+    """Corpus counts by bucket: a row holds the bucket's part of the vocabulary
+    (``block`` null), and one for each block where its words are in it."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,11 +270,13 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
         counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()])
         totals = np.bincount(inverse, counts, len(found)).astype(np.int64)
         cuts = np.cumsum([0, *map(len, hashes)])
-        answers = [totals[inverse[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         lengths = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("lengths").to_pylist()])
         whole = b"".join(table.column("words").to_pylist())
         ends = np.cumsum(lengths, dtype=np.int64)
         known = np.flatnonzero(totals > 0)
+        place = np.full(len(found), -1, np.int32)
+        place[known] = np.arange(len(known))
+        answers = [place[inverse[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         at = first[known]
         vocabulary = b"".join([whole[a:b] for a, b in zip((ends[at] - lengths[at]).tolist(), ends[at].tolist())])
         bucket = table.column("bucket")[0].as_py()
@@ -251,7 +285,8 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
             {
                 "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
                 "bucket": pa.array([bucket] * (n + 1), pa.int64()),
-                "totals": pa.array([*answers, totals[known].tobytes()], pa.binary()),
+                "at": pa.array([*answers, None], pa.binary()),
+                "totals": pa.array([None] * n + [totals[known].tobytes()], pa.binary()),
                 "words": pa.array([None] * n + [vocabulary], pa.binary()),
                 "lengths": pa.array([None] * n + [lengths[at].tobytes()], pa.binary()),
             }
@@ -274,6 +309,190 @@ def _totals(vocabulary: DataFrame) -> tuple[int, int, int, int]:
     return tuple(row)
 
 
+def _frequent(vocabulary: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the words with ``least`` tokens, by hash; bounded by
+    the share of all tokens that each of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for totals, words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = np.frombuffer(totals, np.int64)
+                hot = np.flatnonzero(counts >= least)
+                if len(hot):
+                    listed = _split(words, np.frombuffer(lengths, np.uint32))
+                    yield pa.RecordBatch.from_arrays([pa.array(_hashes([listed[i] for i in hot]).astype(np.int64)), pa.array(counts[hot])], names=["word", "n"])
+
+    rows = vocabulary.select("totals", "words", "lengths").mapInArrow(run, "word long, n long").toArrow()
+    words, counts = (c.to_numpy() for c in rows.columns)
+    words = words.astype(np.uint64)
+    order = np.argsort(words)
+    return words[order], counts[order].astype(np.int64)
+
+
+def _looked_up(names: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """``values`` by sorted ``names`` for ``wanted``, and ``other`` without one."""
+    if not len(names):
+        return other
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    return np.where(names[at] == wanted, values[at], other)
+
+
+def _pair_keys(contexts: np.ndarray, followers: np.ndarray) -> np.ndarray:
+    return mixed(contexts * np.uint64(0x9E3779B97F4A7C15) + followers)
+
+
+@dataclass
+class Pairs:
+    """The distinct pairs of a block by bucket, then by hashes."""
+
+    context: np.ndarray  # codes
+    follower: np.ndarray
+    cuts: np.ndarray  # of the buckets
+    inverse: np.ndarray  # pair of each token
+
+    @classmethod
+    def of(cls, codes: np.ndarray, hashes: np.ndarray, buckets: int, hot: np.ndarray, parts: np.ndarray) -> Pairs:
+        # Texts end with code 0, so the token before a first word is that end.
+        by_hash = np.argsort(hashes)
+        rank = np.empty(len(hashes), np.int64)
+        rank[by_hash] = np.arange(len(hashes))
+        ranks = rank[codes]
+        keys, inverse = np.unique(np.concatenate((rank[:1], ranks[:-1])) << 32 | ranks, return_inverse=True)
+        context, follower = by_hash[keys >> 32], by_hash[keys & 0xFFFFFFFF]
+        split = _looked_up(hot, parts.astype(np.uint64), hashes, np.ones(len(hashes), np.uint64))[context]
+        bucket = ((hashes[context] % np.uint64(buckets) + _pair_keys(hashes[context], hashes[follower]) % split) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        moved = np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        return cls(context[order], follower[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), moved[inverse])
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
+
+
+PAIR_SCHEMA = "block long, bucket long, at binary, contexts binary, degrees binary, types binary, totals binary, repeated binary, followers binary, once long, twice long"
+
+
+def _meet_pairs(blocks: DataFrame, buckets: int, hot: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """Corpus counts of pairs by bucket, like ``_meet``."""
+    held = blocks.sparkSession.sparkContext.broadcast((hot, parts))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, learns, sizes, codes, words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+                hashes = _hashes(_split(words, np.frombuffer(lengths, np.uint32)))
+                pairs = Pairs.of(np.frombuffer(codes, np.uint32), hashes, buckets, *held.value)
+                mask = np.repeat(np.frombuffer(learns, bool), np.frombuffer(sizes, np.uint32))
+                counts = np.bincount(pairs.inverse[mask], minlength=len(pairs.context)).astype(np.uint32)
+                for b, (x, y) in enumerate(zip(pairs.cuts[:-1], pairs.cuts[1:])):
+                    if y > x:
+                        own = pairs.context[x:y]
+                        heads = _heads(own)
+                        values = (hashes[own[heads]], np.diff(heads, append=y - x).astype(np.uint32), hashes[pairs.follower[x:y]], counts[x:y])
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([block], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in values]], names=["bucket", "block", "contexts", "degrees", "followers", "counts"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        read = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
+        given = read("followers", np.uint64)
+        followers, degrees = np.concatenate(given), np.concatenate(read("degrees", np.uint32))
+        names, which = np.unique(np.concatenate(read("contexts", np.uint64)), return_inverse=True)
+        spelled, word = np.unique(followers, return_inverse=True)
+        keys, inverse = np.unique(np.repeat(which, degrees) << 32 | word, return_inverse=True)
+        totals = np.bincount(inverse, np.concatenate(read("counts", np.uint32)), len(keys)).astype(np.uint32)
+        context = keys >> 32
+        repeated = np.flatnonzero(totals > 1)
+        cuts = np.cumsum([0, *map(len, given)])
+        rows = [(block, np.diff(inverse[a:b], prepend=0).astype(np.uint32)) for block, a, b in zip(table.column("block").to_pylist(), cuts[:-1], cuts[1:])]
+        store = (names, np.bincount(context, minlength=len(names)).astype(np.uint32), np.bincount(context[totals > 0], minlength=len(names)).astype(np.uint32), totals, repeated.astype(np.uint32), spelled[keys[repeated] & 0xFFFFFFFF])
+        n, bucket = len(rows), table.column("bucket")[0].as_py()
+        return pa.table(
+            {
+                "block": pa.array([*(r[0] for r in rows), None], pa.int64()),
+                "bucket": pa.array([bucket] * (n + 1), pa.int64()),
+                "at": pa.array([*(r[1].tobytes() for r in rows), None], pa.binary()),
+                **{name: pa.array([None] * n + [v.tobytes()], pa.binary()) for name, v in zip(("contexts", "degrees", "types", "totals", "repeated", "followers"), store)},
+                "once": pa.array([0] * n + [int((totals == 1).sum())], pa.int64()),
+                "twice": pa.array([0] * n + [int((totals == 2).sum())], pa.int64()),
+            }
+        )
+
+    sent = blocks.select("block", "learns", "sizes", "codes", "words", "lengths").mapInArrow(send, "bucket long, block long, contexts binary, degrees binary, followers binary, counts binary")
+    return sent.groupBy("bucket").applyInArrow(meet, PAIR_SCHEMA)
+
+
+def _hot_sums(rows: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """Sums of ``n`` by ``word`` in the order of ``hot``."""
+    found = rows.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    words, n = found.column("word").to_numpy().astype(np.uint64), found.column("n").to_numpy().astype(np.float64)
+    order = np.argsort(words)
+    return _looked_up(words[order], n[order], hot, np.zeros(len(hot)))
+
+
+def _hot_types(store: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """Distinct words after each hot one, over all of its buckets."""
+    held = store.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for contexts, types in zip(*(c.to_pylist() for c in batch.columns)):
+                names, n = np.frombuffer(contexts, np.uint64), np.frombuffer(types, np.uint32)
+                own = np.isin(names, held.value)
+                yield pa.RecordBatch.from_arrays([pa.array(names[own].astype(np.int64)), pa.array(n[own].astype(np.float64))], names=["word", "n"])
+
+    return _hot_sums(store.select("contexts", "types").mapInArrow(run, "word long, n double"), hot)
+
+
+KNOWN_SCHEMA = "bucket long, totals binary, words binary, lengths binary, contexts binary, followers binary, counts binary, types binary, sources binary, sizes binary, places binary"
+
+
+def _known(vocabulary: DataFrame, store: DataFrame, buckets: int, hot: np.ndarray, types: np.ndarray) -> DataFrame:
+    """The vocabulary with the repeated pairs of its words, a row for a bucket;
+    ``sources`` and ``places`` say where the pairs came from."""
+    held = store.sparkSession.sparkContext.broadcast((hot, types))
+    names = ("contexts", "followers", "counts", "types", "places")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, contexts, degrees, types, totals, repeated, followers in zip(*(c.to_pylist() for c in batch.columns)):
+                contexts, degrees, totals, repeated, followers = np.frombuffer(contexts, np.uint64), np.frombuffer(degrees, np.uint32), np.frombuffer(totals, np.uint32), np.frombuffer(repeated, np.uint32), np.frombuffer(followers, np.uint64)
+                types = _looked_up(*held.value, contexts, np.frombuffer(types, np.uint32).astype(np.float64))
+                context = np.repeat(np.arange(len(contexts)), degrees)[repeated]
+                bucket = (followers % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    if y > x:
+                        own = order[x:y]
+                        values = (contexts[context[own]], followers[own], totals[repeated[own]], types[context[own]].astype(np.uint64), repeated[own])
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([source], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in values]], names=["bucket", "source", *names])
+
+    def meet(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["source"] is None)
+        pairs = sorted((r for r in rows if r["source"] is not None), key=lambda r: r["source"])
+        sources = np.array([r["source"] for r in pairs], np.int64)
+        sizes = np.array([len(r["places"]) // 4 for r in pairs], np.int64)
+        values = {"totals": own["totals"], "words": own["words"], "lengths": own["lengths"], **{n: b"".join([r[n] for r in pairs]) for n in names}, "sources": sources.tobytes(), "sizes": sizes.tobytes()}
+        order = [f.split()[0] for f in KNOWN_SCHEMA.split(", ")[1:]]
+        return pa.table({"bucket": pa.array([own["bucket"]], pa.int64()), **{n: pa.array([values[n]], pa.binary()) for n in order}})
+
+    sent = store.select("bucket", "contexts", "degrees", "types", "totals", "repeated", "followers").mapInArrow(send, "bucket long, source long, " + ", ".join(f"{n} binary" for n in names))
+    rows = vocabulary.select("bucket", "totals", "words", "lengths").unionByName(sent, allowMissingColumns=True)
+    return rows.groupBy("bucket").applyInArrow(meet, KNOWN_SCHEMA)
+
+
+def _known_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Known]]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            lengths, contexts, followers = np.frombuffer(row["lengths"], np.uint32), np.frombuffer(row["contexts"], np.uint64), np.frombuffer(row["followers"], np.uint64)
+            if len(lengths):
+                # Words are in the order of their hashes.
+                hashes = _hashes(_split(row["words"], lengths))
+                yield row, Known(np.frombuffer(row["totals"], np.int64), np.frombuffer(row["words"], np.uint8), lengths, hashes, np.searchsorted(hashes, followers), _pair_keys(contexts, followers), np.frombuffer(row["counts"], np.uint32).astype(np.int64), np.frombuffer(row["types"], np.uint64).astype(np.float64))
+
+
 def _known_mass(vocabulary: DataFrame, spellings: list[Spelling]) -> float:
     """The mass that the averaged spelling gives to the learned words."""
     held = vocabulary.sparkSession.sparkContext.broadcast(spellings)
@@ -287,30 +506,115 @@ def _known_mass(vocabulary: DataFrame, spellings: list[Spelling]) -> float:
     return vocabulary.select("words", "lengths").mapInArrow(run, "mass double").agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0]
 
 
-def _sweep(vocabulary: DataFrame, state: State, sweep: int) -> State:
-    """One Gibbs sweep: all word tables in the tasks, then the spelling."""
-    held = vocabulary.sparkSession.sparkContext.broadcast(state)
+def _sweep(known: DataFrame, states: list[State]) -> State:
+    """One Gibbs sweep: pair and word tables in the tasks, then the spelling."""
+    held = known.sparkSession.sparkContext.broadcast(states)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for totals, words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-                counts, sizes = np.frombuffer(totals, np.int64), np.frombuffer(lengths, np.uint32)
-                if not len(counts):
-                    continue
-                flat = np.frombuffer(words, np.uint8)
-                tables = held.value.drawn(flat, sizes, counts, _hashes(_split(words, sizes)), sweep)
-                context, symbol, _ = letters(flat, sizes)
-                cells, inverse = np.unique(context * SYMBOLS + symbol, return_inverse=True)
-                customers = np.bincount(inverse, np.repeat(tables, sizes.astype(np.int64) + 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((cells, [-1]))), pa.array(np.concatenate((customers, [tables.sum()])).astype(np.int64))], names=["cell", "n"])
+        for _, part in _known_rows(batches):
+            *_, (_, customers, tables) = part.seated(held.value)
+            context, symbol, _ = letters(part.words, part.lengths)
+            cells, inverse = np.unique(context * SYMBOLS + symbol, return_inverse=True)
+            sent = np.bincount(inverse, np.repeat(tables, part.lengths.astype(np.int64) + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((cells, [-1, -2]))), pa.array(np.concatenate((sent, [tables.sum(), customers.sum()])).astype(np.int64))], names=["cell", "n"])
 
     # At most 257**3 cells, whatever the corpus.
-    rows = vocabulary.select("totals", "words", "lengths").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = known.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells, customers = rows.column("cell").to_numpy(), rows.column("n").to_numpy()
-    tables = float(customers[cells == -1].sum())
+    tables, seated = (float(customers[cells == c].sum()) for c in (-1, -2))
     order = np.argsort(cells[cells >= 0])
-    spelling = spelling_sweep(cells[cells >= 0][order], customers[cells >= 0][order], state.spelling, sweep)
-    return State(state.tokens, state.words, state.discount, tables, spelling)
+    last = states[-1]
+    spelling = spelling_sweep(cells[cells >= 0][order], customers[cells >= 0][order], last.spelling, len(states) - 1)
+    return State(last.tokens, last.words, last.discount, last.pair_discount, seated, tables, spelling)
+
+
+def _settled(known: DataFrame, states: list[State], kept: list[int], new_table: float, hot: np.ndarray) -> DataFrame:
+    """Averages of the sweeps kept: probabilities of words (``kind`` 0), tables
+    of repeated pairs for the bucket they came from (1), and tables over one of
+    each hot context (2)."""
+    held = known.sparkSession.sparkContext.broadcast((states, hot))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, hot = held.value
+
+        def rows(kind: int, *values: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(values[0]), pa.int32()), *[pa.array(v, k) if v is not None else pa.nulls(len(values[0]), k) for v, k in zip(values, kinds)]], names=["kind", "bucket", "a", "b", "word", "n"])
+
+        for row, part in _known_rows(batches):
+            drawn = list(part.seated(states[:-1]))
+            pairs, customers, tables = (np.mean([drawn[s][k] for s in kept], axis=0) for k in range(3))
+            total = np.mean([states[s + 1].customers for s in kept])
+            spelled = np.mean([10.0 ** states[s + 1].spelling.log10(part.words, part.lengths) for s in kept], axis=0)
+            p = (customers - states[0].discount * tables) / (WORD_STRENGTH + total) + new_table * spelled
+            yield rows(0, [row["bucket"]], [row["totals"]], [p.tobytes()], None, None)
+            sources, sizes, places = (np.frombuffer(row[c], k) for c, k in (("sources", np.int64), ("sizes", np.int64), ("places", np.uint32)))
+            cuts = np.cumsum([0, *sizes])
+            if len(sources):
+                yield rows(1, sources.tolist(), [places[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], [pairs[x:y].astype(np.float32).tobytes() for x, y in zip(cuts[:-1], cuts[1:])], None, None)
+            contexts = np.frombuffer(row["contexts"], np.uint64)
+            own = np.isin(contexts, hot)
+            names, inverse = np.unique(contexts[own], return_inverse=True)
+            if len(names):
+                yield rows(2, [None] * len(names), None, None, names.astype(np.int64).tolist(), np.bincount(inverse, pairs[own] - 1).tolist())
+
+    return known.mapInArrow(run, "kind int, bucket long, a binary, b binary, word long, n double")
+
+
+ANSWER_SCHEMA = "block long, kind int, bucket long, a binary, b binary"
+
+
+def _answered(kind: int, table: pa.Table, answers: list[tuple]) -> pa.Table:
+    bucket = table.column("bucket")[0].as_py()
+    return pa.table({"block": pa.array([r[0] for r in answers], pa.int64()), "kind": pa.array([kind] * len(answers), pa.int32()), "bucket": pa.array([bucket] * len(answers), pa.int64()), **{c: pa.array([r[k].tobytes() for r in answers], pa.binary()) for k, c in ((1, "a"), (2, "b"))}})
+
+
+def _word_answers(met: DataFrame, settled: DataFrame, unseen: float) -> DataFrame:
+    """Count and probability of each word of a block (``kind`` 0)."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next((r for r in rows if r["block"] is None), {"a": b"", "b": b""})
+        counts, p = np.append(np.frombuffer(own["a"], np.int64), 0), np.append(np.frombuffer(own["b"]), unseen)
+        answers = [(r["block"], np.frombuffer(r["at"], np.int32)) for r in rows if r["block"] is not None]
+        return _answered(0, table, [(block, counts[at], p[at]) for block, at in answers])
+
+    asked = met.filter(F.col("block").isNotNull()).select("block", "bucket", "at")
+    return asked.unionByName(settled.filter("kind = 0").select("bucket", "a", "b"), allowMissingColumns=True).groupBy("bucket").applyInArrow(meet, ANSWER_SCHEMA)
+
+
+def _pair_answers(pairs: DataFrame, settled: DataFrame, discount: float, types: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """Discounted count of each pair of a block, and tables of each of its
+    contexts in the bucket (``kind`` 1); ``types`` are tables of hot contexts."""
+    held = pairs.sparkSession.sparkContext.broadcast((hot, types))
+
+    def meet(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["totals"] is not None)
+        contexts, degrees, totals = np.frombuffer(own["contexts"], np.uint64), np.frombuffer(own["degrees"], np.uint32), np.frombuffer(own["totals"], np.uint32)
+        tables = np.minimum(totals, 1).astype(np.float64)
+        for r in rows:
+            if r["a"] is not None:
+                tables[np.frombuffer(r["a"], np.uint32)] = np.frombuffer(r["b"], np.float32)
+        context = np.repeat(np.arange(len(contexts)), degrees)
+        whole = _looked_up(*held.value, contexts, np.bincount(context, tables, len(contexts)))
+        kept = (totals - discount * tables).astype(np.float32)
+        answers = []
+        for r in rows:
+            if r["at"] is not None:
+                at = np.cumsum(np.frombuffer(r["at"], np.uint32), dtype=np.int64)
+                answers.append((r["block"], kept[at], whole[context[at][_heads(context[at])]]))
+        return _answered(1, table, answers)
+
+    rows = pairs.select("block", "bucket", "at", "contexts", "degrees", "totals")
+    return rows.unionByName(settled.filter("kind = 1").select("bucket", "a", "b"), allowMissingColumns=True).groupBy("bucket").applyInArrow(meet, ANSWER_SCHEMA)
+
+
+def _released(spark: SparkSession) -> None:
+    """Spark deletes shuffles that nothing reads any more when the driver
+    collects garbage; this asks for it once their rows are written."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", learn: Column, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
@@ -329,40 +633,54 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lear
     met = written(_meet(blocks, buckets))
     vocabulary = met.filter(F.col("words").isNotNull())
     tokens, distinct, once, twice = _totals(vocabulary)
-    discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    states = [State(tokens, distinct, discount, float(distinct), Spelling.flat())]
-    for sweep in range(sweeps if tokens else 0):
-        states.append(_sweep(vocabulary, states[-1], sweep))
+    least = max(HOT_TOKENS, tokens // HOT_SHARE)
+    hot, frequency = _frequent(vocabulary, least)
+    parts = np.minimum(-(-frequency // least), buckets)
+    pairs = written(_meet_pairs(blocks, buckets, hot, parts))
+    _released(spark)
+    store = pairs.filter(F.col("block").isNull())
+    types = _hot_types(store, hot)
+    known = written(_known(vocabulary, store, buckets, hot, types))
+    share = lambda once, twice: min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    discount, pair_discount = share(once, twice), share(*store.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("once", "twice")]).first())
+    states = [State(tokens, distinct, discount, pair_discount, float(tokens), float(distinct), Spelling.flat())]
+    for _ in range(sweeps if tokens else 0):
+        states.append(_sweep(known, states))
     # The sweeps that are averaged: state s made the draws that led to state s + 1.
     kept = list(range(burn_in if len(states) > burn_in + 1 else 0, len(states) - 1))
     spellings = [states[s + 1].spelling for s in kept] or [states[0].spelling]
-    all_tables = float(np.mean([states[s + 1].tables for s in kept])) if kept else 0.0
-    new_table = (WORD_STRENGTH + discount * all_tables) / (WORD_STRENGTH + tokens)
-    unseen = new_table * max(1.0 - _known_mass(vocabulary, spellings), 1e-12)
-    model = spark.sparkContext.broadcast((states, kept, spellings))
-    answers = met.filter(F.col("words").isNull()).groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("answers"))
+    tables, customers = (float(np.mean([getattr(states[s + 1], c) for s in kept])) if kept else 0.0 for c in ("tables", "customers"))
+    new_table = (WORD_STRENGTH + discount * tables) / (WORD_STRENGTH + customers)
+    unseen = new_table * max(1.0 - _known_mass(known, spellings), 1e-12)
+    settled = written(_settled(known, states, kept, new_table, hot))
+    _released(spark)
+    types = types + _hot_sums(settled.filter("kind = 2").select("word", "n"), hot)
+    answers = _word_answers(met, settled, unseen).unionByName(_pair_answers(pairs, settled, pair_discount, types, hot))
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "a", "b")).alias("answers"))
     joined = blocks.join(answers, "block").select("ids", "sizes", "codes", "words", "lengths", "answers")
+    cut = spark.sparkContext.broadcast((hot, parts))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, kept, spellings = model.value
-        n, v = states[0].tokens, states[0].words
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, sizes, codes, words, lengths, given = (c[row].as_py() for c in batch.columns)
                 sizes, codes, lengths = np.frombuffer(sizes, np.uint32).astype(np.int64), np.frombuffer(codes, np.uint32), np.frombuffer(lengths, np.uint32)
                 hashes = _hashes(_split(words, lengths))
-                bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                counts = np.empty(len(hashes), np.int64)
-                counts[order] = np.concatenate([np.frombuffer(a["totals"], np.int64) for a in sorted(given, key=lambda a: a["bucket"])])
-                base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
-                flat = np.frombuffer(words, np.uint8)
-                spelled = np.mean([10.0 ** spelling.log10(flat, lengths) for spelling in spellings], axis=0)
-                tables = np.mean([states[s].drawn(flat, lengths, counts, hashes, s) for s in kept] or [np.zeros(len(counts))], axis=0)
-                p = np.where(counts > 0, (counts - discount * tables) / (WORD_STRENGTH + n) + new_table * spelled, unseen)
+                order = np.argsort((hashes % np.uint64(buckets)).astype(np.int64), kind="stable")
+                given.sort(key=lambda a: (a["kind"], a["bucket"]))
+                read = lambda kind, c, t: np.concatenate([np.frombuffer(a[c], t) for a in given if a["kind"] == kind])
+                counts, p = np.empty(len(hashes), np.int64), np.empty(len(hashes))
+                counts[order], p[order] = read(0, "a", np.int64), read(0, "b", np.float64)
+                base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
+                own = Pairs.of(codes, hashes, buckets, *cut.value)
+                # The contexts of a bucket follow each other, so a run is one answer.
+                heads = np.unique(np.concatenate((_heads(own.context), own.cuts[:-1][np.diff(own.cuts) > 0])))
+                tables = np.repeat(read(1, "b", np.float64), np.diff(heads, append=len(own.context)))
+                after = (read(1, "a", np.float32) + (PAIR_STRENGTH + pair_discount * tables) * p[own.follower]) / (PAIR_STRENGTH + counts[own.context])
+                after = np.log10(np.maximum(after, 1e-300))
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                total = lambda x: np.add.reduceat(x[codes], starts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, np.int64)), pa.array(sizes), pa.array(total((counts > 0).astype(np.int64))), pa.array(total(base)), pa.array(total(np.log10(np.maximum(p, 1e-300))))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                total = lambda x: np.add.reduceat(x, starts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, np.int64)), pa.array(sizes), pa.array(total((counts > 0)[codes].astype(np.int64))), pa.array(total(base[codes])), pa.array(total(after[own.inverse]))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     out = joined.mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

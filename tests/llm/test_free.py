@@ -111,6 +111,27 @@ def test_base_score_by_brute_force_and_better_model(spark):
     assert score_texts(docs.limit(0), learn=F.lit(True)).count() == 0
 
 
+def test_word_contexts_count(spark, monkeypatch):
+    from spanloom.llm import language_model
+
+    chain = [f"c{i}" for i in range(30)]
+    texts = [" ".join(chain[k : k + 12]) for k in range(18)] * 4
+    inside = chain[5:15]
+    mixed_up = [inside[i] for i in (3, 0, 7, 4, 9, 1, 6, 2, 8, 5)]
+    docs = frame(spark, [*texts, " ".join(inside), " ".join(mixed_up), "never seen", "c1 never"])
+    learn = F.col("doc_id") < len(texts)
+    rows = {r["doc_id"]: r for r in score_texts(docs, learn=learn).collect()}
+    n = len(texts)
+    assert rows[n]["base_score"] == pytest.approx(rows[n + 1]["base_score"])
+    assert rows[n]["score"] > rows[n + 1]["score"] + 5
+    assert len(rows) == n + 4 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows.values())
+    # Cutting frequent contexts into parts changes no score.
+    monkeypatch.setattr(language_model, "HOT_TOKENS", 8)
+    monkeypatch.setattr(language_model, "HOT_SHARE", 1 << 20)
+    cut = {r["doc_id"]: r["score"] for r in score_texts(docs, learn=learn).collect()}
+    assert cut == pytest.approx({k: r["score"] for k, r in rows.items()})
+
+
 # --- decontamination ----------------------------------------------------------
 
 
