@@ -5,8 +5,8 @@
    row from here on.
 2. The signature is cut into trees; a tree's label is a row of values and its
    prefixes are the nodes of a trie. Classes that share a prefix are candidates.
-   The join starts at full depth and shortens the prefix until the recall that
-   the pairs found so far imply reaches the target.
+   The prefix is the longest one with which a pair at the threshold meets in
+   some tree with the target probability, whatever else is in the table.
 3. Classes of one prefix are tied to the smallest of them, and the ties make
    candidate groups, so a large bucket costs a row per member, never a pair.
 4. Groups are cut into blocks of bounded size; each pair of blocks is one task
@@ -29,7 +29,7 @@ from spanloom.llm.components import connected_components
 from spanloom.llm.stages import written
 
 SHINGLE = 5
-TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
+TREES, DEPTH = 16, 8
 #: A block holds about this many classes and shingles at most (or one class);
 #: smaller groups are cut into up to ``BLOCKS`` blocks of ``LEAST_CLASSES``, so
 #: that one group is the work of many tasks.
@@ -37,7 +37,6 @@ BLOCK_CLASSES, BLOCK_SHINGLES, LEAST_CLASSES, BLOCKS = 1024, 1 << 20, 128, 16
 #: Signatures that agree less than this cannot be at 0.8 but for a chance of
 #: under one in ten thousand (128 values, 4.2 deviations).
 SKETCH_MARGIN = 0.15
-SIZES = np.dtype(np.uint32)
 
 
 def shingle_sets(texts: list[bytes], words: WordHashes) -> list[np.ndarray]:
@@ -117,22 +116,10 @@ def _ties(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
     return rows.join(heads, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _implied_recall(ties: DataFrame, classes: DataFrame, threshold: float, trees: int, prefix: int) -> float:
-    """Share of the pairs at or over the threshold that this depth finds, as the
-    similarities of the tied pairs imply (each stands for 1/P of its like)."""
-    sides = [classes.select(F.col("node").alias(s), F.col("signature").alias(f"s{s}")) for s in "ab"]
-    joined = ties.join(sides[0], "a").join(sides[1], "b").select("sa", "sb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in batch.columns)
-                yield pa.RecordBatch.from_arrays([pa.array((a == b).sum(axis=1).astype(np.int64))], names=["same"])
-
-    size = len(classes.select("signature").first()[0]) // SIZES.itemsize if not classes.isEmpty() else 1
-    counts = joined.mapInArrow(run, "same long").groupBy("same").count().filter(F.col("same") >= threshold * size).collect()
-    found = sum(r["count"] for r in counts)
-    return found / sum(r["count"] / (1 - (1 - (r["same"] / size) ** prefix) ** trees) for r in counts) if found else 1.0
+def prefix_for(threshold: float, target_recall: float, trees: int, depth: int) -> int:
+    """Longest prefix that a pair at the threshold shares in one of the trees
+    with probability ``target_recall`` or more; 1 where none reaches it."""
+    return next((p for p in range(depth, 1, -1) if 1 - (1 - threshold**p) ** trees >= target_recall), 1)
 
 
 def _compare(left: list[tuple], right: list[tuple] | None, threshold: float) -> list[tuple[int, int, int]]:
@@ -216,10 +203,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     """
     signed = written(_signed(docs, id, text, trees, depth))
     classes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    for prefix in range(depth, LEAST_DEPTH - 1, -1):
-        ties = written(_ties(classes, trees, depth, prefix))
-        if prefix == LEAST_DEPTH or _implied_recall(ties, classes, threshold, trees, prefix) >= target_recall:
-            break
+    ties = written(_ties(classes, trees, depth, prefix_for(threshold, target_recall, trees, depth)))
     groups = connected_components(ties)
     found = written(_verified(docs, signed, classes, groups, threshold, id, text, trees, depth))
     final = connected_components(found.select(F.col("node").alias("a"), F.col("tie").alias("b")))

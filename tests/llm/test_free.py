@@ -224,6 +224,19 @@ def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     assert {w[1] for w in whole} == {0}
 
 
+def test_links_at_the_threshold_among_easy_ones(spark):
+    rng = random.Random(8)
+    texts = []
+    for k in range(1700):
+        words = prose(49, rng).split()
+        changed = 5 if k < 200 else 1
+        # 40 of 50 shingles in common, or 44 of 46.
+        texts += [" ".join(words), " ".join([*words[:-changed], *(f"n{k}x{i}" for i in range(changed))])]
+    links = {r["doc_id"]: r["n_links"] for r in near_duplicates(frame(spark, texts)).collect()}
+    assert sum(links[2 * k] for k in range(200)) == 200
+    assert sum(links[2 * k] for k in range(200, 1700)) == 1500
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (7, 7), (None, 3)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
