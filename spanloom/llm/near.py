@@ -77,7 +77,7 @@ def signatures(sets: list[np.ndarray], count: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, id: str, text: str, trees: int, depth: int) -> DataFrame:
-    rows = docs.selectExpr(f"`{id}` as doc_id", f"cast(`{text}` as binary) as text")
+    rows = docs.selectExpr(f"`{id}` as doc_id", f"cast(`{text}` as binary) as text", f"xxhash64(cast(`{text}` as binary)) as text_hash")
     kind = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,11 +87,11 @@ def _signed(docs: DataFrame, id: str, text: str, trees: int, depth: int) -> Data
                 sets = shingle_sets(texts, words)
                 drawn = signatures(sets, trees * depth)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([row.tobytes() for row in drawn], pa.binary())],
-                    names=["doc_id", "node", "n_shingles", "signature"],
+                    [batch.column(0).slice(start, len(texts)), batch.column(2).slice(start, len(texts)), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([row.tobytes() for row in drawn], pa.binary())],
+                    names=["doc_id", "text_hash", "node", "n_shingles", "signature"],
                 )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, node long, n_shingles long, signature binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node long, n_shingles long, signature binary")
 
 
 def _buckets(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
@@ -190,7 +190,7 @@ def _verified(docs: DataFrame, signed: DataFrame, classes: DataFrame, groups: Da
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = 0.8, target_recall: float = 0.999, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """``doc_id, class_id, n_links`` for each row of ``docs``.
+    """``doc_id, class_id, n_links, class_key, text_hash`` for each row of ``docs``.
 
     ``class_id`` is the smallest id of the connected documents; ``n_links`` the
     number of other rows whose five-word shingle sets have a Jaccard similarity
@@ -198,8 +198,9 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     ``[^\\x20\\x09-\\x0D]``, unchanged. A text of one to four words is one
     shingle; texts without words (null ones too) are copies of each other and
     of nothing else. Repeated rows are copies. Null ids are kept and count as
-    the smallest class name only where a class has no other. An empty table
-    gives no row; further columns are ignored.
+    the smallest class name only where a class has no other. ``class_key`` tells
+    classes apart also without an id, ``text_hash`` rows of one id. An empty
+    table gives no row; further columns are ignored.
     """
     signed = written(_signed(docs, id, text, trees, depth))
     classes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
@@ -210,13 +211,16 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = classes.select("node", "first_id", "n_copies").join(final, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    by_node = named.join(names, "component").select("node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"))
-    return signed.select("doc_id", "node").join(by_node, "node").select("doc_id", "class_id", "n_links")
-
-
-def keep_first(docs: DataFrame, classes: DataFrame, *, id: str = "doc_id") -> DataFrame:
-    """One document of each class, all columns of ``docs``: the one that names it.
-    Rows that repeat the id are one document; one of them stays."""
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, F.col(id).eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates([id])
+    by_node = named.join(names, "component").select("node", "class_id", F.col("component").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"))
+    return signed.select("doc_id", "text_hash", "node").join(by_node, "node").select("doc_id", "class_id", "n_links", "class_key", "text_hash")
+
+
+def keep_first(docs: DataFrame, classes: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class, all columns of ``docs``: one with the id that names
+    it, of those the one with the smallest hash of its text. Rows with a null id
+    or with one id are apart where their classes are."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = classes.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("__first"), F.col("first.text_hash").alias("__wanted"))
+    hashed = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("binary")))
+    kept = hashed.join(first, F.col(id).eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__wanted")), "left_semi")
+    return kept.dropDuplicates([id, "__hash"]).drop("__hash")

@@ -86,7 +86,7 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 def op8_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

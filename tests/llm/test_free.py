@@ -213,6 +213,14 @@ def test_repeated_and_null_ids(spark):
     assert sorted(str(r["doc_id"]) for r in keep_first(docs, classes).collect()) == ["3", "8"]
 
 
+def test_one_row_of_each_class_stays(spark):
+    texts = ["a b c d e f", "g h i j k l", "m n o p q r", "m n o p q r", "s t u v w x", "y z a b c d", "y z a b c d"]
+    docs = frame(spark, texts, ids=[None, None, None, 5, 6, 6, None])
+    kept = keep_first(docs, near_duplicates(docs))
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("None", texts[0]), ("None", texts[1]), ("5", texts[3]), ("6", texts[4]), ("6", texts[5])])
+
+
 def test_large_groups_are_cut_into_blocks(spark, monkeypatch):
     from spanloom.llm import near
 
