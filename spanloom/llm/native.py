@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The white space that separates words, and the ASCII letters.
-SPACES = " \t\n\x0b\x0c\r"
+#: The ASCII letters.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,22 +17,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def spaced(text: Column) -> Column:
-    """The text with every white-space character as a plain space, trimmed."""
-    return F.trim(F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1)))
+#: The white space that separates words, as a pattern.
+GAP = r"[ \t\n\x0B\f\r]+"
 
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` in order; null and blank texts have none."""
-    plain = spaced(text)
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " +"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
 def ascii_lower(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    """ASCII letters in lower case, all other characters as they are."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def windows(items: Column, size: int, body: Callable[[list[Column]], Column]) -> Column:
-    """``body`` of each run of ``size`` neighbours; empty where there are too few."""
-    starts = F.when(F.size(items) >= size, F.sequence(F.lit(0), F.size(items) - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: body([F.get(items, i + k) for k in range(size)]))
+def run_keys(hashes: Column, size: int) -> Column:
+    """A hash of each run of ``size`` neighbours of an array of longs, made of two
+    overlapping shorter runs each time; empty where there are too few."""
+
+    def grown(keys: Column, have: int) -> Column:
+        if have == size:
+            return F.slice(keys, F.lit(1), F.greatest(F.size(keys) - size + 1, F.lit(0)))
+        step = min(have, size - have)
+        return let(keys, lambda k: grown(F.zip_with(k, F.slice(k, F.lit(step + 1), F.size(k)), lambda a, b: F.xxhash64(a, b)), have + step))
+
+    return grown(hashes, 1) if size > 1 else hashes

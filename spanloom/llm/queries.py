@@ -54,17 +54,22 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
-#: Production parameter: a run names its own key; pseudonyms link within one key.
-PSEUDONYM_KEY = "spanloom-production-key-1"
+#: Setting that names the secret key; pseudonyms link within one key. The key for
+#: trial runs hides nothing, as anybody can read it here.
+KEY_SETTING, TRIAL_KEY = "spark.spanloom.pseudonym.key", "trial"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, TRIAL_KEY)
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, key=PSEUDONYM_KEY)
+    return pseudonymise(docs, key=pseudonym_key(spark))
 
 
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_frequency_rules(table(spark, sf_dir, "documents")).drop("cleaned")
+    return line_frequency_rules(table(spark, sf_dir, "documents"), cleaned=False)
 
 
 def op4_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
