@@ -7,12 +7,15 @@
    prefixes are the nodes of a trie. Classes that share a prefix are candidates.
    The prefix is the longest one with which a pair at the threshold meets in
    some tree with the target probability, whatever else is in the table.
-3. Classes of one prefix are tied to the smallest of them, and the ties make
-   candidate groups, so a large bucket costs a row per member, never a pair.
+3. Classes that meet inside one Arrow batch are joined there; one root stands for
+   them, with the distinct prefixes of all. Roots of one prefix are tied to the
+   smallest of them, and the ties make candidate groups: a large bucket costs a
+   row for a batch, never a pair.
 4. Groups are cut into blocks of bounded size; each pair of blocks is one task
-   unit that compares signatures and then exact shingle sets. It returns, for
-   each class, a count of links and one tie; no row is made for a pair.
-5. The verified ties make the final classes.
+   unit that compares exact shingle sets. It returns, for each class, a count of
+   links and one tie; no row is made for a pair.
+5. Each class keeps its smallest verified tie; the other ties join the ends of
+   such ties, and these make the final classes.
 """
 
 from __future__ import annotations
@@ -34,9 +37,6 @@ TREES, DEPTH = 16, 8
 #: smaller groups are cut into up to ``BLOCKS`` blocks of ``LEAST_CLASSES``, so
 #: that one group is the work of many tasks.
 BLOCK_CLASSES, BLOCK_SHINGLES, LEAST_CLASSES, BLOCKS = 1024, 1 << 20, 128, 16
-#: Signatures that agree less than this cannot be at 0.8 but for a chance of
-#: under one in ten thousand (128 values, 4.2 deviations).
-SKETCH_MARGIN = 0.15
 
 
 def shingle_sets(texts: list[bytes], words: WordHashes) -> list[np.ndarray]:
@@ -94,8 +94,25 @@ def _signed(docs: DataFrame, id: str, text: str, trees: int, depth: int) -> Data
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node long, n_shingles long, signature binary")
 
 
-def _buckets(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
-    """(node, bucket): one row for each class and tree."""
+def _local_roots(keys: np.ndarray) -> np.ndarray:
+    """For each row the first row of its component; rows are tied where they have
+    one value in one column."""
+    columns = [np.unique(column, return_inverse=True)[1] for column in keys.T]
+    label = np.arange(len(keys))
+    while True:
+        before = label
+        for column in columns:
+            least = np.full(len(keys), len(keys))
+            np.minimum.at(least, column, label)
+            label = np.minimum(label, least[column])
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def _met(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
+    """(node, root, bucket): ``node`` and the root of its batch's component (with
+    no bucket), and the distinct buckets of each root (with no node)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = odd_factors(prefix, 23)
@@ -103,17 +120,31 @@ def _buckets(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFra
         for batch in batches:
             if batch.num_rows:
                 values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, trees, depth)[:, :, :prefix].astype(np.uint64)
-                keys = mixed((values * factors).sum(axis=2, dtype=np.uint64) + tree * np.uint64(0x9E3779B97F4A7C15))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column(0)), trees)), pa.array(keys.ravel().astype(np.int64))], names=["node", "bucket"])
+                keys = mixed(((values * factors).sum(axis=2, dtype=np.uint64) + tree * np.uint64(0x9E3779B97F4A7C15)).ravel()).reshape(-1, trees)
+                nodes = np.asarray(batch.column(0))
+                first = _local_roots(keys)
+                tied = np.flatnonzero(first != np.arange(len(first)))
+                pairs = np.unique(np.stack((np.repeat(nodes[first], trees), keys.ravel().astype(np.int64))), axis=1)
+                n, m = len(tied), pairs.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(nodes[tied]), pa.nulls(m, pa.int64())]), pa.array(np.concatenate((nodes[first[tied]], pairs[0]))), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(pairs[1])])],
+                    names=["node", "root", "bucket"],
+                )
 
-    return classes.filter("n_shingles > 0").select("node", "signature").mapInArrow(run, "node long, bucket long")
+    return classes.filter("n_shingles > 0").select("node", "signature").mapInArrow(run, "node long, root long, bucket long")
 
 
-def _ties(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
-    """(a, b): each class of a shared bucket with the smallest class in it."""
-    rows = _buckets(classes, trees, depth, prefix)
-    heads = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("most")).filter("a < most").select("bucket", "a")
-    return rows.join(heads, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+def _candidate_groups(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
+    """(node, component) of the classes that share a bucket with another one."""
+    met = written(_met(classes, trees, depth, prefix))
+    rows = met.filter(F.col("bucket").isNotNull()).select("root", "bucket")
+    heads = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("most")).filter("a < most").select("bucket", "a")
+    ties = rows.join(heads, "bucket").filter("root <> a").select("a", F.col("root").alias("b")).distinct()
+    groups = written(connected_components(ties))
+    local = met.filter(F.col("node").isNotNull()).select("node", "root")
+    roots = local.select("root").unionByName(groups.select(F.col("node").alias("root"))).distinct()
+    members = local.unionByName(roots.select(F.col("root").alias("node"), "root"))
+    return members.join(groups.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("component", "root").alias("component"))
 
 
 def prefix_for(threshold: float, target_recall: float, trees: int, depth: int) -> int:
@@ -125,39 +156,33 @@ def prefix_for(threshold: float, target_recall: float, trees: int, depth: int) -
 def _compare(left: list[tuple], right: list[tuple] | None, threshold: float) -> list[tuple[int, int, int]]:
     """(node, links, tie): links weigh the copies of the partner. ``right`` None:
     all pairs within ``left``."""
-    other = left if right is None else right
-    signs = np.array([row[3] for row in other])
-    flat = np.concatenate([row[2] for row in left] + ([] if right is None else [row[2] for row in right]))
-    ids = np.unique(flat, return_inverse=True)[1]
-    cuts = np.cumsum([0, *(len(row[2]) for row in left), *(() if right is None else (len(row[2]) for row in right))])
-    shift = 0 if right is None else len(left)
+    rows = left + (right or [])
+    ids = np.unique(np.concatenate([row[2] for row in rows]), return_inverse=True)[1]
+    cuts = np.cumsum([0, *(len(row[2]) for row in rows)])
     sizes = np.diff(cuts)
-    mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
-    copies = np.array([row[1] for row in other])
-    links = np.zeros(len(left), np.int64)
-    back = np.zeros(len(other), np.int64)
-    label = np.arange(len(left) + (0 if right is None else len(right)))
-    for i, row in enumerate(left):
-        first = i + 1 if right is None else 0
-        close = first + np.flatnonzero((signs[first:] == row[3]).mean(axis=1) >= threshold - SKETCH_MARGIN)
-        if not len(close):
+    copies = np.array([row[1] for row in rows])
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    links = np.zeros(len(rows), np.int64)
+    label = np.arange(len(rows))
+    for i in range(len(left)):
+        first = i + 1 if right is None else len(left)
+        if first == len(rows):
             continue
-        mark[ids[cuts[i] : cuts[i + 1]]] = True
-        common = np.array([np.count_nonzero(mark[ids[cuts[shift + j] : cuts[shift + j + 1]]]) for j in close])
-        mark[ids[cuts[i] : cuts[i + 1]]] = False
-        linked = close[common >= threshold * (sizes[i] + sizes[shift + close] - common) - 1e-9]
+        own = ids[cuts[i] : cuts[i + 1]]
+        mark[own] = True
+        common = np.add.reduceat(mark[ids[cuts[first] :]], cuts[first:-1] - cuts[first], dtype=np.int64)
+        mark[own] = False
+        linked = first + np.flatnonzero(common >= threshold * (sizes[i] + sizes[first:] - common) - 1e-9)
         if len(linked):
             links[i] += copies[linked].sum()
-            back[linked] += row[1]
-            met = np.unique(label[np.concatenate(([i], shift + linked))])
+            links[linked] += copies[i]
+            met = np.unique(label[np.append(linked, i)])
             if len(met) > 1:
                 label[np.isin(label, met)] = met[0]
-    nodes = [row[0] for row in left] + ([] if right is None else [row[0] for row in right])
-    total = links + back if right is None else np.concatenate((links, back))
-    return [(node, int(n), nodes[label[k]]) for k, (node, n) in enumerate(zip(nodes, total)) if n]
+    return [(row[0], int(n), rows[label[k]][0]) for k, (row, n) in enumerate(zip(rows, links)) if n]
 
 
-def _verified(docs: DataFrame, signed: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, id: str, text: str, trees: int, depth: int) -> DataFrame:
+def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, id: str, text: str) -> DataFrame:
     """(node, links, tie) of all pairs of blocks of every candidate group."""
     members = groups.join(classes.select("node", "n_copies", "n_shingles", "first_id"), "node")
     sizes = members.groupBy("component").agg(F.greatest(F.least(F.lit(BLOCKS), F.ceil(F.count(F.lit(1)) / LEAST_CLASSES)), F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
@@ -171,19 +196,18 @@ def _verified(docs: DataFrame, signed: DataFrame, classes: DataFrame, groups: Da
         for batch in batches:
             for _, texts in text_slices(batch, "text"):
                 found = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([s.tobytes() for s in signatures(found, trees * depth)], pa.binary())], names=["node", "shingles", "signature"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
 
-    content = rows.mapInArrow(sets, "node long, shingles binary, signature binary")
+    # Rows that repeat a text would repeat its set in every unit.
+    content = rows.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
     partners = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda j: F.struct(F.least("block", j).alias("low"), F.greatest("block", j).alias("high")))
-    units = placed.join(content, "node").select("component", "node", "n_copies", "block", "shingles", "signature", F.explode(partners).alias("unit")).select("component", "unit.low", "unit.high", "node", "n_copies", "block", "shingles", "signature")
+    units = placed.join(content, "node").select("component", "node", "n_copies", "block", "shingles", F.explode(partners).alias("unit")).select("component", "unit.low", "unit.high", "node", "n_copies", "block", "shingles")
 
     def compare(table: pa.Table) -> pa.Table:
-        seen: dict[int, tuple] = {}
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        for node, n, block, shingles, sign in zip(*(table.column(c).to_pylist() for c in ("node", "n_copies", "block", "shingles", "signature"))):
-            seen.setdefault(node, (node, n, np.frombuffer(shingles, np.uint64), np.frombuffer(sign, np.uint32), block))
-        order = [seen[node] for node in sorted(seen)]
-        found = _compare(order, None, threshold) if low == high else _compare([r for r in order if r[4] == low], [r for r in order if r[4] == high], threshold)
+        parts = zip(*(table.column(c).to_pylist() for c in ("node", "n_copies", "shingles", "block")))
+        order = sorted(((node, n, np.frombuffer(shingles, np.uint64), block) for node, n, shingles, block in parts), key=lambda row: row[0])
+        found = _compare(order, None, threshold) if low == high else _compare([r for r in order if r[3] == low], [r for r in order if r[3] == high], threshold)
         return pa.table({name: pa.array([f[k] for f in found], pa.int64()) for k, name in enumerate(("node", "links", "tie"))})
 
     return units.groupBy("component", "low", "high").applyInArrow(compare, "node long, links long, tie long")
@@ -204,12 +228,14 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     """
     signed = written(_signed(docs, id, text, trees, depth))
     classes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    ties = written(_ties(classes, trees, depth, prefix_for(threshold, target_recall, trees, depth)))
-    groups = connected_components(ties)
-    found = written(_verified(docs, signed, classes, groups, threshold, id, text, trees, depth))
-    final = connected_components(found.select(F.col("node").alias("a"), F.col("tie").alias("b")))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    named = classes.select("node", "first_id", "n_copies").join(final, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = _candidate_groups(classes, trees, depth, prefix_for(threshold, target_recall, trees, depth))
+    found = _verified(docs, classes, groups, threshold, id, text)
+    # One tie of each class and the distinct ties between their ends; a class has
+    # a tie for each pair of blocks at most.
+    linked = written(found.groupBy("node").agg(F.sum("links").alias("links"), F.min("tie").alias("head"), F.collect_set("tie").alias("ties")))
+    joined = connected_components(linked.select(F.col("head").alias("a"), F.explode("ties").alias("b")))
+    links = linked.select("node", "links", "head").join(joined.select(F.col("node").alias("head"), "component"), "head").select("node", "links", "component")
+    named = classes.select("node", "first_id", "n_copies").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
     by_node = named.join(names, "component").select("node", "class_id", F.col("component").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"))
     return signed.select("doc_id", "text_hash", "node").join(by_node, "node").select("doc_id", "class_id", "n_links", "class_key", "text_hash")
@@ -220,7 +246,10 @@ def keep_first(docs: DataFrame, classes: DataFrame, *, id: str = "doc_id", text:
     it, of those the one with the smallest hash of its text. Rows with a null id
     or with one id are apart where their classes are."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    first = classes.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("__first"), F.col("first.text_hash").alias("__wanted"))
-    hashed = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("binary")))
-    kept = hashed.join(first, F.col(id).eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__wanted")), "left_semi")
-    return kept.dropDuplicates([id, "__hash"]).drop("__hash")
+    first = classes.groupBy("class_key").agg(F.min(order).alias("first")).select("first.*")
+    keys = ["__none", "__id", "__hash"]
+    wanted = first.select(F.col("none").alias("__none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("text_hash").alias("__hash"))
+    given = F.col(f"`{id}`")
+    hashed = docs.select("*", given.isNull().alias("__none"), F.coalesce(given.cast("string"), F.lit("")).alias("__id"), F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("__hash"))
+    # One exchange by the three keys serves both steps.
+    return hashed.join(wanted, keys, "left_semi").dropDuplicates(keys).select(*(F.col(f"`{c}`") for c in docs.columns))
