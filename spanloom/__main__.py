@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.numeric import TARGET_TOTAL
 from spanloom.operators.manifests import build_tracks, numbered
-from spanloom.operators.splits import build_shards
+from spanloom.operators.splits import SEED, build_shards
 from spanloom.plans.process import process_shard
 from spanloom.plans.regions import MOST_BAD, STRIDE, WINDOW, find_windows
 from spanloom.sources import sinks
@@ -27,12 +27,12 @@ def tracks(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def shards(spark: SparkSession, a: argparse.Namespace) -> None:
-    sinks.write_shards(build_shards(read_regions(spark, a.regions), wanted=a.target_shards, seed=a.seed, exact=a.exact_shuffle), a.output)
+    sinks.write_shards(build_shards(read_regions(spark, a.regions, lines=True), wanted=a.target_shards, seed=a.seed, exact=a.exact_shuffle), a.output)
 
 
 def process(spark: SparkSession, a: argparse.Namespace) -> None:
     chosen = read_shard(spark, a.shards, a.split, a.shard_number, a.shard_id)
-    listed = numbered(read_tracks(spark, a.tracks), ["id"], "track_index").select("track_index", F.col("id").alias("track_id"), F.col("preprocessing.sum_stat").alias("sum_stat"))
+    listed = numbered(read_tracks(spark, a.tracks, lines=True), ["line"], "track_index").select("track_index", F.col("id").alias("track_id"), F.col("preprocessing.sum_stat").alias("sum_stat"))
     masks = tuple(read_bed(spark, path, "lenient") for path in (a.blacklist, a.unmappable))
     name = chosen.first()["shard_id"]
     state = process_shard(spark, chosen, listed, read_fasta(spark, a.fasta), read_bigwig(spark, a.raw_dir), masks, f"{a.output_root}/{a.split}/{name}", totals=read_bigwig_totals(spark, a.raw_dir), target=a.target_total, batch_size=a.track_batch_size)
@@ -52,7 +52,7 @@ def parser() -> argparse.ArgumentParser:
     need, number = {"required": True}, lambda kind, value: {"type": kind, "default": value}
     command(regions, ("--fasta", need), ("--unmappable", need), ("--blacklist", need), ("--window-size", number(int, WINDOW)), ("--stride", number(int, STRIDE)), ("--max-bad-fraction", number(float, MOST_BAD)), ("--output", need))
     command(tracks, ("--manifest", need), ("--output", need))
-    command(shards, ("--regions", need), ("--output", need), ("--target-shards", number(int, 1000)), ("--seed", number(int, 0)), ("--exact-shuffle", {"action": "store_true"}))
+    command(shards, ("--regions", need), ("--output", need), ("--target-shards", number(int, 1000)), ("--seed", number(int, SEED)), ("--exact-shuffle", {"action": argparse.BooleanOptionalAction, "default": True}))
     command(
         process, ("--split", need), ("--shard-number", {"type": int}), ("--shard-id", {}), ("--shards", need), ("--tracks", need), ("--raw-dir", need), ("--fasta", need),
         ("--blacklist", need), ("--unmappable", need), ("--output-root", need), ("--target-total", number(float, TARGET_TOTAL)), ("--track-batch-size", number(int, 16)),

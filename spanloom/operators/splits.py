@@ -9,18 +9,26 @@ from __future__ import annotations
 import itertools
 import math
 import random
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import shard_name
+from spanloom.session import written
 
 #: Splits in order, their shares, the seeds' offsets.
 SHARES = {"train": 0.70, "val": 0.15, "test": 0.15}
 OFFSETS = {"train": 0x13579BDF, "val": 0x2468ACE0, "test": 0x10203040}
 SPLITS = tuple(SHARES)
+#: Fixed value: the seed of published manifests.
+SEED = 71798669716578
+#: Places of a drawn permutation in one batch.
+PLACES = 1 << 18
 #: A step of the search must gain more than this.
 LEAST_GAIN = 1e-15
 
@@ -87,7 +95,7 @@ def assign_splits(windows: DataFrame, group: str) -> DataFrame:
     """``windows`` with ``split``; whole groups go to one split."""
     assigned = balanced_assignment(group_counts(windows, group))
     rows = windows.sparkSession.createDataFrame(list(assigned.items()), f"{group} string, split string")
-    return windows.join(F.broadcast(rows), group)
+    return windows.join(rows, group)
 
 
 def allocate_shards(sizes: Mapping[str, int], wanted: int) -> dict[str, int]:
@@ -112,36 +120,60 @@ def allocate_shards(sizes: Mapping[str, int], wanted: int) -> dict[str, int]:
     return given
 
 
+def placed(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` numbered from 0 in each ``split`` in the order given.
+
+    Rows are ranged over as many tasks as there are partitions, whatever the
+    splits; each task numbers its own, and the counts of the tasks before it are
+    added. The sorted rows are written, so that both passes see the same ones.
+    """
+    keys = [f"__{i}" for i in range(len(order))]
+    keyed = rows.select("*", *[c.alias(k) for c, k in zip(order, keys)])
+    spread = keyed.repartitionByRange("split", *keys).sortWithinPartitions("split", *keys).drop(*keys)
+    place = F.monotonically_increasing_id()
+    held = written(spread.select("*", F.shiftright(place, 33).alias("__part"), place.bitwiseAND((1 << 33) - 1).alias("__row")))
+    counts = held.groupBy("split", "__part").agg(F.count(F.lit(1)).alias("n"), F.min("__row").alias("first"))
+    # A row for each task and split.
+    before = F.coalesce(F.sum("n").over(W.partitionBy("split").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("split", "__part", (before - F.col("first")).alias("__shift"))
+    return held.join(starts, ["split", "__part"]).withColumn(name, F.col("__row") + F.col("__shift")).drop("__part", "__row", "__shift")
+
+
 def shuffled(windows: DataFrame, seed: int, key: list[str], order: str = "place") -> DataFrame:
     """``windows`` with a reproducible random ``place`` (from 0) in each split:
-    the order of a keyed hash, which needs no driver."""
+    the order of a keyed hash, drawn and numbered in parallel."""
     drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
-    return windows.withColumn(order, F.row_number().over(W.partitionBy("split").orderBy(drawn, *key)) - 1)
+    return placed(windows, [drawn, *map(F.col, key)], order)
 
 
 def shuffled_exactly(windows: DataFrame, seed: int, key: list[str], offsets: Mapping[str, int] = OFFSETS) -> DataFrame:
     """Like ``shuffled`` in the very order of Python's generator, seeded with
-    ``seed ^ offset`` per split. Only the numbering of rows is drawn on the
-    driver (a permutation of counts); rows are joined to it by their rank in
-    ``key`` order. For manifests of at most some millions of windows."""
-    ranked = windows.withColumn("rank", F.row_number().over(W.partitionBy("split").orderBy(*key)) - 1)
-    sizes = {r["split"]: r["n"] for r in windows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = []
-    for split, n in sizes.items():
-        order = list(range(n))
-        random.Random(seed ^ offsets.get(split, 0)).shuffle(order)
-        rows += [(split, rank, place) for place, rank in enumerate(order)]
-    places = windows.sparkSession.createDataFrame(rows, "split string, rank int, place int")
-    return ranked.join(places, ["split", "rank"]).drop("rank")
-
-
-def even_shards(placed: DataFrame, shards: Mapping[str, int], order: str = "place") -> DataFrame:
+    ``seed ^ offset`` per split and shuffling the rows in the order of ``key``.
+    That generator draws one place after the other, so a split's permutation is
+    made in one task (8 bytes a row there); the rows themselves stay spread."""
+    sizes = windows.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for split, n in zip(*(c.to_pylist() for c in batch.columns)):
+                order = array("q", range(n))
+                random.Random(seed ^ offsets.get(split, 0)).shuffle(order)
+                ranks = np.frombuffer(order, np.int64)
+                for first in range(0, n, PLACES):
+                    part = ranks[first : first + PLACES]
+                    yield pa.RecordBatch.from_arrays([pa.array([split] * len(part)), pa.array(part), pa.array(np.arange(first, first + len(part)))], names=["split", "rank", "place"])
+
+    places = sizes.repartition("split").mapInArrow(draw, "split string, rank long, place long")
+    return placed(windows, [F.col(k) for k in key], "rank").join(places, ["split", "rank"]).drop("rank")
+
+
+def even_shards(rows: DataFrame, shards: Mapping[str, int], order: str = "place") -> DataFrame:
     """``shard_index`` and ``shard_id`` for rows numbered from 0 in each split:
     sizes differ by one at most, larger shards first."""
-    spark = placed.sparkSession
-    sizes = placed.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    spark = rows.sparkSession
+    sizes = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     plan = spark.createDataFrame(list(shards.items()), "split string, n_shards long")
-    joined = placed.join(F.broadcast(sizes.join(plan, "split")), "split")
+    joined = rows.join(sizes.join(plan, "split"), "split")
     base, more = F.floor(F.col("n") / F.col("n_shards")), F.col("n") % F.col("n_shards")
     head = more * (base + 1)
     index = F.when(F.col(order) < head, F.floor(F.col(order) / (base + 1))).otherwise(more + F.floor((F.col(order) - head) / F.greatest(base, F.lit(1))))
@@ -155,10 +187,14 @@ def shard_manifest(sharded: DataFrame, order: str = "place") -> DataFrame:
     return sharded.groupBy("shard_id", "split").agg(F.count(F.lit(1)).cast("int").alias("num_windows"), nested.alias("windows"))
 
 
-def build_shards(windows: DataFrame, *, wanted: int = 1000, seed: int = 0, exact: bool = False) -> DataFrame:
-    """Windows to the nested shard manifest: split, shuffle, allocate, shard."""
+def build_shards(windows: DataFrame, *, wanted: int = 1000, seed: int = SEED, exact: bool = True) -> DataFrame:
+    """Windows to the nested shard manifest: split, shuffle, allocate, shard.
+
+    ``exact`` shuffles as Python's generator does, from the order of ``line``
+    (the place in the file) where there is one, else of the windows; without it
+    a keyed hash gives the order."""
     split = assign_splits(windows, "chrom")
     key = ["chrom", "start", "end"]
-    placed = (shuffled_exactly if exact else shuffled)(split, seed, key)
+    order = shuffled_exactly(split, seed, ["line"] if "line" in windows.columns else key) if exact else shuffled(split, seed, key)
     sizes = {s: 0 for s in SPLITS} | group_counts(split, "split")
-    return shard_manifest(even_shards(placed, allocate_shards(sizes, wanted)))
+    return shard_manifest(even_shards(order, allocate_shards(sizes, wanted)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
     return context._jsc.sc().getCheckpointDir().get()
+
+
+def written(frame: DataFrame) -> DataFrame:
+    """``frame`` as a Parquet table in the folder of ``spark.checkpoint.dir``,
+    read again: a cut point whose rows are computed once and survive lost
+    executors. The folder belongs to the job; whoever ends it may clear it."""
+    spark = frame.sparkSession
+    path = f"{checkpoint_dir(spark)}/spanloom-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

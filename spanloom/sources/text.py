@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.operators.intervals import merge_intervals
+from spanloom.operators.intervals import merge_large
 from spanloom.schemas import SHARD, TARGET_MANIFEST, TRACK
 
 #: Chromosomes of the regions, in their order.
@@ -48,20 +48,23 @@ def read_bed(spark: SparkSession, path: str, mode: str = "strict", chroms: tuple
 
 
 def read_merged_bed(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    return merge_intervals(read_bed(spark, path, mode), ["chrom"])
+    return merge_large(read_bed(spark, path, mode), ["chrom"])
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, start, end) of a tab-separated regions file; empty ones fail."""
-    rows = _fields(spark, path, "\t", "^#").select(F.get("f", F.lit(0)).alias("chrom"), F.get("f", F.lit(1)).cast("long").alias("start"), F.get("f", F.lit(2)).cast("long").alias("end"))
+def read_regions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(chrom, start, end) of a tab-separated regions file; empty ones fail. With
+    ``lines`` a column ``line`` grows along the file."""
+    rows = _fields(spark, path, "\t", "^#").select(F.monotonically_increasing_id().alias("line"), F.get("f", F.lit(0)).alias("chrom"), F.get("f", F.lit(1)).cast("long").alias("start"), F.get("f", F.lit(2)).cast("long").alias("end"))
     if rows.isEmpty():
         raise ValueError(f"no regions in {path}")
-    return rows.filter(_fail(F.col("end") > F.col("start"), F.lit("a region is empty")))
+    return rows.filter(_fail(F.col("end") > F.col("start"), F.lit("a region is empty"))).select("chrom", "start", "end", *(["line"] if lines else []))
 
 
-def read_tracks(spark: SparkSession, path: str, allow_empty: bool = False) -> DataFrame:
-    """Track records, one JSON object a line; a malformed line fails."""
+def read_tracks(spark: SparkSession, path: str, allow_empty: bool = False, lines: bool = False) -> DataFrame:
+    """Track records, one JSON object a line; a malformed line fails. With
+    ``lines`` a column ``line`` grows along the file."""
     rows = spark.read.schema(TRACK).option("mode", "FAILFAST").json(path)
+    rows = rows.withColumn("line", F.monotonically_increasing_id()) if lines else rows
     if not allow_empty and rows.isEmpty():
         raise ValueError(f"no tracks in {path}")
     return rows
@@ -116,7 +119,7 @@ def clean_runs(sequence: DataFrame) -> DataFrame:
     from spanloom.operators.intervals import text_runs
 
     spans = text_runs(sequence, "seq", "[ACGTacgt]")
-    return merge_intervals(spans.select("chrom", (F.col("offset") + F.col("start")).alias("start"), (F.col("offset") + F.col("end")).alias("end")), ["chrom"])
+    return merge_large(spans.select("chrom", (F.col("offset") + F.col("start")).alias("start"), (F.col("offset") + F.col("end")).alias("end")), ["chrom"])
 
 
 def window_sequences(windows: DataFrame, sequence: DataFrame) -> DataFrame:

@@ -77,3 +77,42 @@ def test_build_shards_keeps_groups_together(spark, exact):
         assert s["num_windows"] == len(s["windows"])
         for w in s["windows"]:
             assert where.setdefault(w["chrom"], s["split"]) == s["split"]
+
+
+def plain_shards(regions, split_of, shards, seed):
+    """The manifest by plain Python: file order, Python's shuffle, even cuts."""
+    offsets, out = {"train": 0x13579BDF, "val": 0x2468ACE0, "test": 0x10203040}, {}
+    for split, count in shards.items():
+        own = [r for r in regions if split_of[r[0]] == split]
+        random.Random(seed ^ offsets[split]).shuffle(own)
+        base, more = divmod(len(own), count)
+        for i in range(count):
+            size = base + (i < more)
+            out[f"{split}-{i:05d}"] = own[:size]
+            own = own[size:]
+    return out
+
+
+def test_shards_follow_the_file(spark, tmp_path):
+    from spanloom.sources.text import read_regions
+
+    rng = random.Random(5)
+    regions = [(f"chr{n}", k * 100, k * 100 + 100) for n in (1, 2, 10, 11, 3, 21) for k in range(rng.randint(5, 60))]
+    rng.shuffle(regions)
+    (tmp_path / "regions.bed").write_text("#chrom\tstart\tend\n" + "".join(f"{c}\t{a}\t{b}\n" for c, a, b in regions))
+    rows = read_regions(spark, str(tmp_path / "regions.bed"), lines=True)
+    got = {r["shard_id"]: [(w["chrom"], w["start"], w["end"]) for w in r["windows"]] for r in P.build_shards(rows, wanted=20).collect()}
+    counts = {c: sum(r[0] == c for r in regions) for c, _, _ in regions}
+    split_of = P.balanced_assignment(counts)
+    sizes = P.split_loads(split_of, counts)
+    assert got == plain_shards(regions, split_of, P.allocate_shards(sizes, 20), 71798669716578)
+
+
+def test_rows_are_numbered_in_parallel(spark):
+    rows = spark.range(0, 1000).select(F.when(F.col("id") % 7 == 0, "val").otherwise("train").alias("split"), (F.col("id") % 90).alias("k"), "id")
+    got = P.placed(rows, [F.col("k"), -F.col("id")], "place").collect()
+    for split in ("train", "val"):
+        want = sorted((r["k"], -r["id"]) for r in got if r["split"] == split)
+        own = {r["place"]: (r["k"], -r["id"]) for r in got if r["split"] == split}
+        assert own == dict(enumerate(want))
+    assert P.placed(rows.limit(0), [F.col("k")], "place").count() == 0
