@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 #: Width of the bins of the range join; a power of two near a window's length.
 BIN = 1 << 18
-#: Texts whose runs make one batch.
-HELD_ROWS = 1000
+#: Characters of the texts that are searched at once; code points there are.
+HELD_CHARS, CODES = 1 << 20, 0x110000
 
 
 def merge_intervals(rows: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
@@ -42,14 +42,14 @@ def merge_large(rows: DataFrame, by: list[str], bin_size: int = BIN * 64) -> Dat
     """``merge_intervals`` for sets too large for one task: merge inside bins
     first, which leaves few rows of each set for the merge across bins."""
     valid = rows.filter(F.col("end") > F.col("start"))
-    binned = valid.withColumn("bin", F.floor(F.col("start") / bin_size))
-    return merge_intervals(merge_intervals(binned, [*by, "bin"]).drop("bin"), by)
+    binned = valid.withColumn("__bin", F.floor(F.col("start") / bin_size))
+    return merge_intervals(merge_intervals(binned, [*by, "__bin"]).drop("__bin"), by)
 
 
 def union_merge(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """The merged union of two interval sets."""
+    """The merged union of two interval sets, also of large ones."""
     columns = [*by, "start", "end"]
-    return merge_intervals(left.select(columns).unionByName(right.select(columns)), by)
+    return merge_large(left.select(columns).unionByName(right.select(columns)), by)
 
 
 def overlap_pairs(windows: DataFrame, intervals: DataFrame, by: list[str], bin_size: int = BIN) -> DataFrame:
@@ -134,27 +134,51 @@ def text_runs(rows: DataFrame, text: str, inside: str) -> DataFrame:
     """``pattern_runs`` as rows ``(..., start, end)`` without a shuffle: the runs
     of a text are found in one pass where the text is. Null texts have none."""
     rest = [c for c in rows.columns if c != text]
-    pattern = re.compile(f"{inside}+")
+    pattern = re.compile(inside)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, member = np.zeros(CODES, bool), np.zeros(CODES, bool)
         for batch in batches:
-            for row in range(batch.num_rows):
-                spans = [m.span() for m in pattern.finditer(batch.column(0)[row].as_py() or "")]
-                if spans:
-                    held.append((batch.slice(row, 1), spans))
-                if held and (len(held) == HELD_ROWS or row == batch.num_rows - 1):
-                    at = pa.array(np.repeat(np.arange(len(held)), [len(s) for _, s in held]))
-                    table = pa.Table.from_batches([h for h, _ in held]).select(range(1, len(rest) + 1)).take(at)
-                    both = np.array([x for _, s in held for x in s], np.int64)
-                    held.clear()
-                    for part in table.append_column("start", pa.array(both[:, 0])).append_column("end", pa.array(both[:, 1])).combine_chunks().to_batches():
-                        yield part
-
-    held: list = []
+            for first, texts in _held(batch.column(0)):
+                codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+                if not len(codes):
+                    continue
+                new = np.flatnonzero(np.bincount(codes[~known[codes]])) if not known[codes].all() else ()
+                for code in new:  # the class decides on each character once
+                    known[code], member[code] = True, pattern.match(chr(code)) is not None
+                starts = np.cumsum([0, *map(len, texts)])
+                hit = member[codes]
+                opens, closes = hit.copy(), np.zeros(len(hit) + 1, bool)
+                opens[1:] &= ~hit[:-1]
+                closes[1:-1] = hit[:-1] & ~hit[1:]
+                closes[-1] = hit[-1]
+                # No run goes on across the border of two texts.
+                border = np.unique(starts[(starts > 0) & (starts < len(hit))])
+                opens[border] |= hit[border]
+                closes[border] |= hit[border - 1]
+                begin, end = np.flatnonzero(opens), np.flatnonzero(closes)
+                owner = np.searchsorted(starts, begin, "right") - 1
+                table = batch.select(range(1, batch.num_columns)).take(pa.array(first + owner))
+                yield pa.RecordBatch.from_arrays([*table.columns, pa.array(begin - starts[owner]), pa.array(end - starts[owner])], names=[*rest, "start", "end"])
+
     schema = T.StructType([*(rows.schema[c] for c in rest), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     return rows.select(text, *rest).mapInArrow(run, schema)
 
 
+def _held(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of consecutive rows of at most ``HELD_CHARS`` (or one)."""
+    first, held, size = 0, [], 0
+    for row in range(len(column)):
+        text = column[row].as_py() or ""
+        if held and size + len(text) > HELD_CHARS:
+            yield first, held
+            first, held, size = row, [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield first, held
+
+
 def mask_spans(rows: DataFrame, by: list[str], order: str, flag: Column) -> DataFrame:
     """Islands of consecutive rows where ``flag`` holds: first and last place
     (1-based, in ``order``) and length."""

@@ -1,4 +1,5 @@
 import random
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -97,3 +98,13 @@ def test_byte_ranges_cover_the_file(spark):
 def test_mask_spans(spark):
     frame = spark.createDataFrame([("u", i, f) for i, f in enumerate([1, 1, 0, 1, None, 1, 1, 1])], "u string, i long, f int")
     assert rows(I.mask_spans(frame, ["u"], "i", F.col("f") == 1), "first", "last", "n") == [(1, 2, 2), (4, 4, 1), (6, 8, 3)]
+
+
+def test_text_runs_by_the_regular_expression(spark):
+    texts = ["", None, "aaa", "xax", "éaé\U0001f600aa", "aa", "aa\na", "b" * 10, "a" * 3000, "\x00a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("start_of", F.lit("s"))
+    for inside in ("[aeiou]", "[^a]", "."):
+        got = sorted((r["id"], r["start"], r["end"]) for r in I.text_runs(docs.repartition(2), "text", inside).collect())
+        want = sorted((i, *m.span()) for i, t in enumerate(texts) for m in re.finditer(f"{inside}+", t or ""))
+        assert got == want
+    assert I.text_runs(docs.limit(0), "text", "a").count() == 0
