@@ -77,7 +77,7 @@ def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame) -> Dat
     The product of windows and tracks is the output's own size; runs join it on
     their keys, and one row is one window of one track.
     """
-    pairs = windows.select("window_index", "start", "end").crossJoin(F.broadcast(tracks.select("track_index", "track_id")))
+    pairs = windows.select("window_index", "start", "end").crossJoin(tracks.select("track_index", "track_id"))
     own = runs.groupBy("window_index", "track_id").agg(F.collect_list("r_start").alias("starts"), F.collect_list("r_end").alias("ends"), F.collect_list(F.col("value").cast("float")).alias("levels"))
     joined = pairs.join(own, ["window_index", "track_id"], "left").select("window_index", "track_index", "start", "end", "starts", "ends", "levels")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}

@@ -31,6 +31,11 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def quarantine(spark: SparkSession, path: str, stamp: str) -> str:
     """Set a broken output aside; returns its new place."""
     target = f"{path}.corrupt-{stamp}"
@@ -42,6 +47,13 @@ def committed(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(COMMIT).parquet(f"{out}/commits/*") if exists(spark, f"{out}/commits") else spark.createDataFrame([], COMMIT)
 
 
+def kept(spark: SparkSession, frame: DataFrame, path: str) -> DataFrame:
+    """``frame`` worked out once for all batches and all runs of an output."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        frame.write.mode("overwrite").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def shard_windows(shard: DataFrame) -> DataFrame:
     """(window_index, chrom, start, end) of one shard row, in its order."""
     return shard.select(F.posexplode("windows").alias("window_index", "w")).select("window_index", "w.*")
@@ -82,11 +94,11 @@ def process_shard(
             raise ValueError(f"the partial output differs in {', '.join(differing)}")
     else:
         spark.createDataFrame(list(wanted.items()), "name string, value string").coalesce(1).write.mode("overwrite").parquet(f"{partial}/run")
-    mask = union_merge(*masks, ["chrom"])
+    mask = kept(spark, union_merge(*masks, ["chrom"]), f"{partial}/mask")
     if not exists(spark, f"{partial}/windows/_SUCCESS"):
         codes = window_sequences(windows, sequence).withColumn("sequence", sequence_codes(F.col("seq"))).drop("seq")
         codes.join(S.valid_masks(windows, mask), "window_index").write.mode("overwrite").parquet(f"{partial}/windows")
-    factors = S.factors(S.header_totals(signal) if totals is None else totals, target)
+    factors = kept(spark, S.factors(S.header_totals(signal) if totals is None else totals, target), f"{partial}/factors")
     bp = windows.agg(F.sum(F.col("end") - F.col("start"))).first()[0]
     done = {r["batch_index"] for r in committed(spark, partial).collect()}
     todo = sorted({r["batch_index"] for r in planned.select("batch_index").distinct().collect()} - done)
@@ -101,5 +113,7 @@ def process_shard(
     state = completeness(work, committed(spark, partial), ["shard_id", "batch_index"], ["shard_id"]).first()
     if state is not None and not state["complete"]:
         return "partial"
+    for name in ("mask", "factors"):
+        delete(spark, f"{partial}/{name}")
     move(spark, partial, final)
     return "complete"

@@ -55,4 +55,4 @@ def process(spark: SparkSession, source: str, schema: StructType, out: str, work
 def results(spark: SparkSession, out: str) -> DataFrame:
     """Rows of the committed batches alone."""
     data = spark.read.parquet(f"{out}/data")
-    return data.join(F.broadcast(commit_log(spark, out).select("batch")), "batch", "left_semi")
+    return data.join(commit_log(spark, out).select("batch"), "batch", "left_semi")
