@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -189,13 +191,17 @@ def header_total(spark, sf):
 @query(f"""
 with spans as ({SPANS}), x as (select distinct event_type, user_id, start, "end", value from spans where event_type <> 'purchase'),
 w as (select user_id, day as window_index, day * 86400 as start, day * 86400 + 86400 as "end" from (select distinct user_id, start // 86400 as day from spans)),
-r as (select w.user_id, w.window_index, x.event_type, least(w."end", x."end") - greatest(w.start, x.start) as bp, x.value
-  from w join x on x.user_id = w.user_id and x.start < w."end" and x."end" > w.start)
-select user_id as chrom, window_index, event_type as track_id, sum(bp)::bigint as covered, round(sum(bp * value), 2) as mass from r group by all""")
+k as ({_merged_sql("select * from spans where event_type = 'purchase'")}),
+c as (select w.user_id, w.window_index, x.event_type, greatest(w.start, x.start) as start, least(w."end", x."end") as "end", x.value, row_number() over () as id
+  from w join x on x.user_id = w.user_id and x.start < w."end" and x."end" > w.start),
+r as (select id, any_value(c.user_id) as user_id, any_value(window_index) as window_index, any_value(event_type) as event_type, any_value(value) as value,
+  any_value(c."end" - c.start) - coalesce(sum(least(c."end", k."end") - greatest(c.start, k.start)) filter (k.start is not null), 0) as bp
+  from c left join k on k.user_id = c.user_id and k.start < c."end" and k."end" > c.start group by id)
+select user_id as chrom, window_index, event_type as track_id, sum(bp)::bigint as covered, round(sum(bp * value), 2) as mass from r where bp > 0 group by all""")
 def window_signal(spark, sf):
     days = _spans(spark, sf).select(F.col("user_id").alias("chrom"), F.floor(F.col("start") / 86_400).alias("window_index")).distinct()
     windows = days.withColumn("start", F.col("window_index") * 86_400).withColumn("end", F.col("start") + 86_400)
-    runs = S.window_signal(windows, _signal(spark, sf), _mask(spark, sf).limit(0), 86_400)
+    runs = S.window_signal(windows, _signal(spark, sf), _mask(spark, sf), 86_400)
     bp = F.col("r_end") - F.col("r_start")
     return runs.groupBy("chrom", "window_index", "track_id").agg(F.sum(bp).alias("covered"), F.round(F.sum(bp * F.col("value")), 2).alias("mass"))
 
@@ -230,11 +236,11 @@ def file_names(spark, sf):
 
 
 @query(r"""
-with h as (select page_id, url, list_filter(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1), lambda x: lower(x) like '%') as l from pages)
+with h as (select page_id, url, list_filter(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1), lambda x: lower(x) like '%er') as l from pages)
 select page_id, unnest(range(len(l)))::int as ordinal, unnest(l) as href from h""")
 def href_index(spark, sf):
     pages = table(spark, sf, "pages")
-    return pages.select("page_id", F.posexplode(T.hrefs(F.col("html"), "")).alias("ordinal", "href"))
+    return pages.select("page_id", F.posexplode(T.hrefs(F.col("html"), "ER")).alias("ordinal", "href"))
 
 
 @query("""
@@ -286,6 +292,19 @@ def allocate_floor(spark, sf):
     return counts.join(F.broadcast(total)).select("lang", "n", F.least(F.greatest(F.lit(1), share), F.col("n")).cast("long").alias("floor_shards"))
 
 
+@query("""
+with c as (select lang, count(*) as n from documents group by lang), t as (select least(50, sum(n)) as wanted, sum(n) as total from c),
+g as (select lang, n, wanted, least(greatest(1, floor(wanted * n / total)), n) as given, wanted * n / total - floor(wanted * n / total) as rest from c, t),
+s as (select *, wanted - sum(given) over () as lack from g),
+r as (select *, case when lack > 0 then n - given else given - 1 end as room, row_number() over (order by case when lack > 0 then -rest else rest end) as k from s),
+q as (select *, coalesce(sum(room) over (order by k rows between unbounded preceding and 1 preceding), 0) as used from r)
+select lang, n, (given + case when lack > 0 then greatest(0, least(room, lack - used)) else -greatest(0, least(room, -lack - used)) end)::bigint as shards from q""")
+def allocate_shards(spark, sf):
+    counts = table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    given = P.allocate_shards({r["lang"]: r["n"] for r in counts.collect()}, 50)
+    return counts.join(spark.createDataFrame(list(given.items()), "lang string, shards long"), "lang")
+
+
 @query()
 def assign_splits(spark, sf):
     """Whole users to balanced splits by greedy and local search (iterative)."""
@@ -297,7 +316,7 @@ def assign_splits(spark, sf):
 def shards_end_to_end(spark, sf):
     """Windows per day and event type to the nested shard manifest."""
     events = _spans(spark, sf).select(F.col("event_type").alias("chrom"), "start", "end").distinct()
-    return P.build_shards(events, wanted=100, seed=3, exact=True)
+    return P.build_shards(events, wanted=100, seed=3, exact=False)
 
 
 @query("select o_orderkey, o_orderpriority from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 45)")
@@ -457,26 +476,71 @@ def pending_batches(spark, sf):
     return Z.pending(work, log, ["user_id", "batch_index"]).select("user_id", "event_id")
 
 
-@query()
+@query("""
+with x as (select vec_id, unnest(range(len(embedding)))::int as pos, unnest(embedding)::float * 1000::float as x from embeddings),
+u as (select *, pow(2, greatest(floor(log2(abs(x))), -14) - 10) as unit from x where x <> 0)
+select vec_id, pos, (case when abs(x) >= 65520 then sign(x) * 'inf'::double else round_even(x::double / unit, 0) * unit end)::float as rounded from u
+union all select vec_id, pos, 0::float from x where x = 0""")
 def half_rounding(spark, sf):
-    """Half-precision rounding of scaled embeddings (no such type in SQL)."""
+    """Half-precision rounding of scaled embeddings."""
     x = F.posexplode("embedding").alias("pos", "x")
     rows = table(spark, sf, "embeddings").select("vec_id", x)
     return rows.select("vec_id", "pos", N.half_rounded(F.col("x") * 1000).alias("rounded"))
 
 
-@query()
+LEVELS_SQL = f"""
+with spans as ({SPANS}), x as (select distinct event_type, user_id, start, "end", value from spans where event_type <> 'purchase'),
+e as (select event_type, user_id, edge, sum(d) as d, sum(v) as v from (select event_type, user_id, start as edge, 1 as d, value as v from x union all select event_type, user_id, "end", -1, -value from x) group by all),
+l as (select event_type, user_id, edge as start, lead(edge) over w as "end", sum(d) over w as depth, sum(v) over w as level from e window w as (partition by event_type, user_id order by edge)),
+runs as (select event_type, user_id, start, "end", round(level, 3) as level from l where depth > 0),
+k as ({_merged_sql("select * from spans where event_type = 'purchase'")})"""
+
+
+def _levels(spark, sf):
+    """Overlapping spans as disjoint runs that carry the sum of their values."""
+    spans = _signal(spark, sf)
+    ends = spans.select("track_id", "chrom", F.explode(F.array(F.struct(F.col("start").alias("edge"), F.lit(1).alias("d"), F.col("value").alias("v")), F.struct(F.col("end").alias("edge"), F.lit(-1).alias("d"), (-F.col("value")).alias("v")))).alias("e"))
+    steps = ends.groupBy("track_id", "chrom", F.col("e.edge").alias("start")).agg(F.sum("e.d").alias("d"), F.sum("e.v").alias("v"))
+    along = W.partitionBy("track_id", "chrom").orderBy("start")
+    levels = steps.select("track_id", "chrom", "start", F.lead("start").over(along).alias("end"), F.sum("d").over(along).alias("depth"), F.sum("v").over(along).alias("level"))
+    return levels.filter("depth > 0").select("track_id", "chrom", "start", "end", F.round("level", 3).alias("value"))
+
+
+@query(LEVELS_SQL + """,
+f as (select event_type, 1e6 / sum(level * ("end" - start)) as factor from runs group by event_type),
+t as (select r.event_type, user_id, start, "end", least(pow(greatest((level::float * factor)::float, 0), 0.75)::float, 65504) as y from runs r join f using (event_type)),
+h as (select *, round_even(y::double / pow(2, greatest(floor(log2(y)), -14) - 10), 0) * pow(2, greatest(floor(log2(y)), -14) - 10) as half from t where y > 0),
+w as (select distinct user_id, start // 3600 as hour from x),
+tracks as (select event_type, row_number() over (order by event_type) - 1 as track_index from (select distinct event_type from x)),
+c as (select w.user_id, hour, h.event_type, greatest(h.start, hour * 3600) as start, least(h."end", hour * 3600 + 3600) as "end", half, row_number() over () as id
+  from w join h on h.user_id = w.user_id and h.start < hour * 3600 + 3600 and h."end" > hour * 3600),
+p as (select id, any_value(c.user_id) as user_id, any_value(hour) as hour, any_value(event_type) as event_type, any_value(half) as half,
+  any_value(c."end" - c.start) as bp, any_value((c."end" - c.start) * ((c.start + c."end" - 1) / 2 - hour * 3600)) as places,
+  coalesce(sum(least(c."end", k."end") - greatest(c.start, k.start)) filter (k.start is not null), 0) as hidden,
+  coalesce(sum((least(c."end", k."end") - greatest(c.start, k.start)) * ((least(c."end", k."end") + greatest(c.start, k.start) - 1) / 2 - hour * 3600)) filter (k.start is not null), 0) as hidden_places
+  from c left join k on k.user_id = c.user_id and k.start < c."end" and k."end" > c.start group by id),
+g as (select user_id, hour, event_type, sum(half * (bp - hidden)) as mass, sum(half * (places - hidden_places)) as moment from p group by all)
+select w.hour * 1000000 + w.user_id as window_index, track_index, 3600 as n, round(coalesce(mass, 0), 2) as mass, round(coalesce(moment, 0), 0) as moment
+from w cross join tracks left join g on g.user_id = w.user_id and g.hour = w.hour and g.event_type = tracks.event_type""")
 def dense_targets(spark, sf):
-    """Dense half-rounded arrays of every window of an hour and every track."""
-    signal, mask = _signal(spark, sf), _mask(spark, sf)
-    windows = signal.select("chrom", F.floor(F.col("start") / 3600).alias("hour")).distinct()
+    """Dense half-rounded arrays of every window of an hour and every track, as
+    sums that depend on each value and its place."""
+    signal, mask = _levels(spark, sf), _mask(spark, sf)
+    windows = _signal(spark, sf).select("chrom", F.floor(F.col("start") / 3600).alias("hour")).distinct()
     windows = windows.select("chrom", (F.col("hour") * 3600).alias("start"), (F.col("hour") * 3600 + 3600).alias("end"), (F.col("hour") * 1_000_000 + F.col("chrom")).alias("window_index"))
-    tracks = signal.select("track_id").distinct().withColumn("track_index", F.dense_rank().over(W.orderBy("track_id")) - 1).withColumn("sum_stat", F.lit("sum_sqrt"))
-    factors = S.factors(S.header_totals(signal))
-    first = I.merge_intervals(signal.select("track_id", "chrom", "start", "end"), ["track_id", "chrom"]).withColumn("value", F.lit(3.0))
-    runs = S.transformed(S.window_signal(windows, first, mask, 3600), tracks.join(factors, "track_id"))
+    tracks = M.numbered(signal.select("track_id").distinct(), ["track_id"], "track_index").withColumn("sum_stat", F.lit("sum_sqrt"))
+    factors = S.factors(S.header_totals(signal), 1e6)
+    runs = S.transformed(S.window_signal(windows, signal, mask, 3600), tracks.join(factors, "track_id"))
     dense = S.dense_targets(windows, tracks, runs)
-    return dense.select("window_index", "track_index", F.size("values").alias("n"), F.array_max("values").alias("peak"))
+
+    def sums(batches):
+        for batch in batches:
+            values = [v.values.to_numpy().astype(np.float64) for v in batch.column(2)]
+            moments = [float(v @ np.arange(len(v))) for v in values]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(v) for v in values], pa.int32()), pa.array([float(v.sum()) for v in values]), pa.array(moments)], names=["window_index", "track_index", "n", "mass", "moment"])
+
+    digests = dense.mapInArrow(sums, "window_index long, track_index long, n int, mass double, moment double")
+    return digests.withColumn("mass", F.round("mass", 2)).withColumn("moment", F.round("moment", 0))
 
 
 @query()
