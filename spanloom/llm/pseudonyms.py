@@ -24,11 +24,12 @@ DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HEX = "0123456789abcdef"
 
-#: Candidate patterns, the most specific first.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"
+#: Candidate patterns, the most specific first. Runs of open length
+#: are possessive, so the matcher neither recurses nor goes back over them.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9A-Za-z.])\d{1,3}(?:\.\d{1,3}){3}(?![0-9A-Za-z]|\.\d)"
-DATE = r"(?<![0-9A-Za-z/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![0-9A-Za-z/-]|\.\d)"
+DATE = r"(?<![0-9A-Za-z/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=T\d{2}:)|(?![0-9A-Za-z/-]|\.\d))"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+])\+\d{1,3}(?:[ -]?\d{2,4}){2,5}(?![0-9A-Za-z])"
 SOCIAL = r"(?<![0-9A-Za-z-])\d{3}-\d{2}-\d{4}(?![0-9A-Za-z-])"
 CARD = r"(?<![0-9A-Za-z-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?![0-9A-Za-z]|-\d)"
@@ -60,7 +61,8 @@ def permute_format(value: Column, key: Column, *, alphabet: str | None = None) -
     Digits stay digits, letters stay letters of the same case, anything else
     stays itself. With ``alphabet`` (lower case) every one of its characters is
     permuted within it. Values longer than two halves go in blocks, each keyed
-    by the block before it, which keeps the whole map a permutation.
+    by the characters of the block before it, which keeps the whole map a
+    permutation and the work in proportion to the length.
     """
 
     def place(ch: Column) -> Column:
@@ -101,14 +103,13 @@ def permute_format(value: Column, key: Column, *, alphabet: str | None = None) -
             ),
         )
 
+    def plain(part: Column) -> Column:
+        return F.array_join(F.transform(part, lambda x: x["ch"]), "")
+
     def blocks(places: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(places), F.lit(1)), F.lit(2 * HALF))
         cut = F.transform(starts, lambda i: F.slice(places, i, F.lit(2 * HALF)))
-        return F.aggregate(
-            cut,
-            F.struct(F.lit("").alias("last"), F.lit("").alias("out")),
-            lambda state, part: let(block(part, F.concat_ws("|", key, state["last"])), lambda done: F.struct(done.alias("last"), F.concat(state["out"], done).alias("out"))),
-        )["out"]
+        return let(cut, lambda parts: F.array_join(F.transform(parts, lambda part, i: block(part, F.concat_ws("|", key, F.when(i > 0, plain(F.get(parts, i - 1))).otherwise("")))), ""))
 
     return let(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), place), blocks)
 
@@ -144,36 +145,91 @@ def _card(value: Column, key: Column) -> Column:
 
 
 def _address(value: Column, key: Column) -> Column:
+    """Each octet stays within the values of its length; with leading zeros or
+    over 255 the value is no address and stays."""
     parts = F.transform(F.split(value, "\\."), lambda x: x.cast("int"))
 
+    def low(octet: Column) -> Column:
+        return F.when(octet < 10, 0).when(octet < 100, 10).otherwise(100)
+
+    def size(octet: Column) -> Column:
+        return F.when(octet < 10, 10).when(octet < 100, 90).otherwise(156).cast("long")
+
     def renewed(p: Column) -> Column:
-        drawn = feistel(F.get(p, 0) * 256 + F.get(p, 1), F.get(p, 2) * 256 + F.get(p, 3), F.lit(65536), F.lit(65536), F.concat(key, F.lit("|address")))
-        return let(drawn, lambda s: F.concat_ws(".", F.shiftright(s["a"], 8).cast("string"), (s["a"] % 256).cast("string"), F.shiftright(s["b"], 8).cast("string"), (s["b"] % 256).cast("string")))
+        o = [F.get(p, i) for i in range(4)]
+        pair = lambda a, b: (a - low(a)) * size(b) + b - low(b)
+        drawn = feistel(pair(o[0], o[1]), pair(o[2], o[3]), size(o[0]) * size(o[1]), size(o[2]) * size(o[3]), F.concat(key, F.lit("|address")))
+        high = lambda n, a, b: (low(a) + F.floor(n / size(b))).cast("string")
+        rest = lambda n, b: (low(b) + F.pmod(n, size(b))).cast("string")
+        return let(drawn, lambda s: F.concat_ws(".", high(s["a"], o[0], o[1]), rest(s["a"], o[1]), high(s["b"], o[2], o[3]), rest(s["b"], o[3])))
+
+    valid = F.forall(parts, lambda x: x < 256) & ~value.rlike(r"(?:^|\.)0\d")
+    return F.when(valid, let(parts, renewed)).otherwise(value)
+
+
+#: Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
+AREAS, GROUPS, SERIALS, NO_AREA = 898, 99, 9999, 666
+
+
+def _social(value: Column, key: Column) -> Column:
+    """Permuted among the numbers that can be given; others stay."""
+    area, group, serial = (F.substring(value, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
+
+    def laid_out(s: Column) -> Column:
+        new = s["a"] + F.when(s["a"] + 1 >= NO_AREA, 2).otherwise(1)
+        return F.concat_ws("-", F.lpad(new.cast("string"), 3, "0"), F.lpad((F.floor(s["b"] / SERIALS) + 1).cast("string"), 2, "0"), F.lpad((F.pmod(s["b"], F.lit(SERIALS)) + 1).cast("string"), 4, "0"))
 
-    return let(parts, lambda p: F.when(F.forall(p, lambda x: x < 256), renewed(p)).otherwise(value))
+    left = area - F.when(area > NO_AREA, 2).otherwise(1)
+    drawn = feistel(left, (group - 1) * SERIALS + serial - 1, F.lit(AREAS), F.lit(GROUPS * SERIALS), F.concat(key, F.lit("|social")))
+    return F.when(area.between(1, 899) & (area != NO_AREA) & (group > 0) & (serial > 0), let(drawn, laid_out)).otherwise(value)
+
+
+#: Draws of a day-first date until the day is over 12 (19 or so in 31 are).
+WALK = 64
 
 
 def _date(value: Column, key: Column) -> Column:
-    """Year-first values are Y M D; day and month are told apart by the dot
-    (D.M.Y) or the slash (M/D/Y). Impossible dates and other years stay."""
-    iso = F.when(value.rlike("^\\d{4}"), F.translate(value, "/", "-")).when(value.contains("."), F.regexp_replace(value, r"^(\d{2})\.(\d{2})\.(\d{4})$", "$3-$2-$1")).otherwise(F.regexp_replace(value, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$1-$2"))
+    """Year-first values are Y M D, dotted ones D.M.Y, slashed ones M/D/Y or, where
+    that is impossible, D/M/Y, whose day stays over 12. Parts of one digit make a
+    layout without leading zeros. Impossible dates and other years stay."""
+    numbers = F.transform(F.split(value, "[-/.]"), lambda x: x.cast("int"))
+
+    def day(year: Column, month: Column, number: Column) -> Column:
+        return F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(number.cast("string"), 2, "0")).try_cast("date")
+
+    def draw(n: Column) -> Column:
+        drawn = feistel(F.floor(n / DAYS_LOW), F.pmod(n, F.lit(DAYS_LOW)), F.lit(DAYS_HIGH), F.lit(DAYS_LOW), F.concat(key, F.lit("|date")))
+        return let(drawn, lambda s: (s["a"] * DAYS_LOW + s["b"]).cast("int"))
 
-    def renewed(day: Column) -> Column:
-        n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        drawn = feistel(F.floor(n / DAYS_LOW), n % DAYS_LOW, F.lit(DAYS_HIGH), F.lit(DAYS_LOW), F.concat(key, F.lit("|date")))
-        new = let(drawn, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s["a"] * DAYS_LOW + s["b"]).cast("int")))
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def walked(n: Column) -> Column:
+        """Draws on until the day is over 12: a permutation of such dates."""
+        again = lambda at, _: F.when(F.dayofmonth(F.date_add(first, at)) > 12, at).otherwise(draw(at))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), draw(n), again)
+
+    def renewed(p: Column) -> Column:
+        a, b, c = (F.get(p, i) for i in range(3))
+        year_first, dotted = value.rlike("^\\d{4}"), value.contains(".")
+        months_first = day(c, a, b)
+        read = F.when(year_first, day(a, b, c)).when(dotted, day(c, b, a)).otherwise(F.coalesce(months_first, day(c, b, a)))
+        day_first = ~year_first & ~dotted & months_first.isNull()
+        short = value.rlike(r"(?:^|[-/.])\d(?:[-/.]|$)")
 
         def styled(d: Column) -> Column:
-            return (
-                F.when(value.rlike("^\\d{4}-"), F.date_format(d, "yyyy-MM-dd"))
-                .when(value.rlike("^\\d{4}/"), F.date_format(d, "yyyy/MM/dd"))
-                .when(value.contains("."), F.date_format(d, "dd.MM.yyyy"))
-                .otherwise(F.date_format(d, "MM/dd/yyyy"))
-            )
+            gap = F.when(value.contains("/"), "/").when(dotted, ".").otherwise("-")
+            year = F.lpad(F.year(d).cast("string"), 4, "0")
+            month, number = (F.when(short, n.cast("string")).otherwise(F.lpad(n.cast("string"), 2, "0")) for n in (F.month(d), F.dayofmonth(d)))
+            laid_out = lambda *parts: F.concat(parts[0], gap, parts[1], gap, parts[2])
+            return F.when(year_first, laid_out(year, month, number)).when(dotted | day_first, laid_out(number, month, year)).otherwise(laid_out(month, number, year))
+
+        def kept_in_range(n: Column) -> Column:
+            new = F.when(day_first, walked(n)).otherwise(draw(n))
+            return F.when(n.between(0, DAYS_HIGH * DAYS_LOW - 1), let(F.date_add(first, new), styled))
 
-        return F.when(n.between(0, DAYS_HIGH * DAYS_LOW - 1), let(new, styled))
+        return let(F.datediff(read, first), kept_in_range)
 
-    return let(iso.try_cast("date"), lambda day: F.coalesce(renewed(day), value))
+    return F.coalesce(let(numbers, renewed), value)
 
 
 def pseudonym(value: Column, key: Column) -> Column:
@@ -186,9 +242,10 @@ def pseudonym(value: Column, key: Column) -> Column:
         .when(full["secret"], let(permute_format(F.lower(value), F.concat(key, F.lit("|secret")), alphabet=HEX), lambda p: F.when(value == F.lower(value), p).otherwise(F.upper(p))))
         .when(full["date"], _date(value, key))
         .when(full["address"], _address(value, key))
-        .when(full["social"], permute_format(value, F.concat(key, F.lit("|social"))))
+        .when(full["social"], _social(value, key))
         .when(full["card"], _card(value, key))
-        .otherwise(F.concat(country, permute_format(F.substring(value, F.length(country) + 1, F.length(value)), F.concat(key, F.lit("|phone")))))
+        .when(F.regexp_count(value, F.lit("[0-9]")).between(7, 15), F.concat(country, permute_format(F.substring(value, F.length(country) + 1, F.length(value)), F.concat(key, F.lit("|phone")))))
+        .otherwise(value)
     )
 
 
@@ -197,7 +254,8 @@ def pseudonymise(docs: DataFrame, *, key: str, text: str = "text") -> DataFrame:
 
     Validated values: e-mail addresses, hexadecimal secrets of 32 digits or more,
     card numbers with a right check digit, IPv4 addresses, calendar dates from
-    1900 to 2099, telephone and social-security formats. A null text stays null
+    1900 to 2099, social-security numbers that can be given, telephone numbers of
+    7 to 15 digits. Everything else stays as it is. A null text stays null
     with 0 replaced, an empty one stays empty; other columns, repeated rows and
     their order are untouched. An input column ``n_replaced`` is replaced.
     """

@@ -1,3 +1,5 @@
+import datetime
+import hashlib
 import re
 
 import pytest
@@ -74,6 +76,124 @@ def test_feistel_is_a_permutation(spark):
     assert pseudonymise(days, key="k").select("text").distinct().count() == days.count()
 
 
+def mixed(half, r, key):
+    return int(hashlib.sha256(f"{key}|{r}|{half}".encode()).hexdigest()[:15], 16)
+
+
+def feistel(a, b, m, n, key):
+    for r in range(10):
+        a, b = ((a + mixed(b, r, key)) % m, b) if r % 2 == 0 else (a, (b + mixed(a, r, key)) % n)
+    return a, b
+
+
+def by_hand(kind, value, key="k"):
+    """The pseudonym of a valid value, worked out in plain Python."""
+    if kind == "address":
+        o = [int(x) for x in value.split(".")]
+        low = [0 if x < 10 else 10 if x < 100 else 100 for x in o]
+        size = [{0: 10, 10: 90, 100: 156}[x] for x in low]
+        d = [x - y for x, y in zip(o, low)]
+        a, b = feistel(d[0] * size[1] + d[1], d[2] * size[3] + d[3], size[0] * size[1], size[2] * size[3], key + "|address")
+        return ".".join(str(x + y) for x, y in zip((a // size[1], a % size[1], b // size[3], b % size[3]), low))
+    if kind == "social":
+        area, group, serial = map(int, value.split("-"))
+        a, b = feistel(area - (2 if area > 666 else 1), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, key + "|social")
+        area = a + (2 if a >= 665 else 1)
+        return f"{area:03}-{b // 9999 + 1:02}-{b % 9999 + 1:04}"
+    if kind == "card":
+        digits = [c for c in value if c.isdigit()]
+        body = digits[:-1]
+        half = len(body) // 2
+        left, right = int("".join(body[:half])), int("".join(body[half:]))
+        a, b = feistel(left, right, 10**half, 10 ** (len(body) - half), key + "|card|")
+        new = f"{a:0{half}}{b:0{len(body) - half}}"
+        new += str(-sum(sum(divmod(2 * int(c), 10)) if i % 2 == 0 else int(c) for i, c in enumerate(reversed(new))) % 10)
+        rest = iter(new)
+        return "".join(next(rest) if c.isdigit() else c for c in value)
+    year, month, day, style, walks = kind[1](value)
+    n = (datetime.date(year, month, day) - datetime.date(1900, 1, 1)).days
+    while True:
+        a, b = feistel(n // 229, n % 229, 319, 229, key + "|date")
+        n = a * 229 + b
+        new = datetime.date(1900, 1, 1) + datetime.timedelta(n)
+        if not walks or new.day > 12:
+            return style.format(y=new.year, m=new.month, d=new.day)
+
+
+ints = lambda v: [int(x) for x in re.split("[-/.]", v)]
+ISO = ("date", lambda v: (*ints(v), "{y}-{m:02}-{d:02}", False))
+SHORT = ("date", lambda v: (*ints(v), "{y}/{m}/{d}", False))
+DOTTED = ("date", lambda v: (*ints(v)[::-1], "{d:02}.{m:02}.{y}", False))
+MONTHS = ("date", lambda v: (ints(v)[2], *ints(v)[:2], "{m:02}/{d:02}/{y}", False))
+DAYS = ("date", lambda v: (*ints(v)[::-1], "{d:02}/{m:02}/{y}", True))
+
+
+def test_pseudonyms_by_brute_force(spark):
+    cases = [("address", v) for v in ("10.1.1.1", "255.255.255.255", "0.0.0.0", "97.51.17.173")] + [("social", v) for v in ("078-05-1120", "665-01-0001", "667-99-9999", "001-01-0001", "899-50-5000")]
+    cases += [("card", "4417744280351547"), ("card", "4417 7442 8035 1547"), (ISO, "1900-01-01"), (ISO, "2099-12-31"), (ISO, "2024-02-29"), (SHORT, "1999/7/30"), (DOTTED, "31.12.1999"), (MONTHS, "12/25/1999"), (MONTHS, "03/04/1950"), (DAYS, "25/12/1999"), (DAYS, "31/01/2000")]
+    got = [r["text"] for r in pseudonymise(spark.createDataFrame([(i, v) for i, (_, v) in enumerate(cases)], "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    assert got == [by_hand(kind, v) for kind, v in cases]
+
+
+def test_what_does_not_validate_stays(spark):
+    texts = ["010.1.1.1", "256.1.1.1", "000-12-1234", "666-12-1234", "912-12-1234", "123-00-1234", "123-45-0000", "2023-02-29", "13/13/2000", "31/12/2100", "4417744280351548"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r["text"] for r in pseudonymise(docs, key="k").collect()} == set(texts)
+    moved = ["2024-01-05T10:00:00Z", "3/7/1990", "1.5.1990"]
+    out = {r["text"] for r in pseudonymise(spark.createDataFrame([(t,) for t in moved], "text string"), key="k").collect()}
+    assert not out & set(moved) and any(t.endswith("T10:00:00Z") for t in out)
+
+
+def test_day_first_dates_are_permuted(spark):
+    days = spark.range(0, 73049, 7).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d")).filter(F.dayofmonth("d") > 12).select(F.date_format("d", "dd/MM/yyyy").alias("text"))
+    new = [r["text"] for r in pseudonymise(days, key="k").collect()]
+    assert len(set(new)) == len(new) and all(int(t[:2]) > 12 for t in new)
+
+
+def test_long_runs_end(spark):
+    size = 1 << 20
+    units = [".c", "a", "a.", "0", "f", "1.", "1-", "12 ", "+1 ", "a@", "a@b.", "2000-01-01", "1234 ", "-"]
+    texts = [t for unit in units for t in ("a@b" + unit * (size // len(unit)), unit * (size // len(unit)) + "@b.c")]
+    out = pseudonymise(spark.createDataFrame([(t,) for t in texts], "text string").repartition(8), key="k").select(F.length("text").alias("n")).collect()
+    assert sorted(r["n"] for r in out) == sorted(map(len, texts))
+
+
+def test_the_key_is_a_setting(spark):
+    from spanloom.llm.queries import KEY_SETTING, pseudonym_key
+
+    spark.conf.set(KEY_SETTING, "own")
+    assert pseudonym_key(spark) == "own"
+    spark.conf.unset(KEY_SETTING)
+    assert pseudonym_key(spark) == "trial"
+
+
+def test_lines_count_documents_not_rows(spark):
+    line = "the same line here"
+    rows = [(1, f"{line}\n{i}", "h") for i in range(9)] + [(2, line, "h"), (3, line, "h")] + [(None, line, "i")] * 9 + [(None, f"{line} \n{i}", "i") for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = line_frequency_rules(docs, max_docs=3, min_words=1).collect()
+    assert len(out) == len(rows)
+    # Three documents of "h" hold the line; of "i" four different texts without id do.
+    assert all(r["n_words_left"] == r["n_words"] for r in out if r["doc_id"] is not None)
+    assert sorted(r["cleaned"] for r in out if r["doc_id"] is None) == [""] * 9 + ["0", "1", "2"]
+    assert "cleaned" not in line_frequency_rules(docs, cleaned=False).columns
+
+
+def test_very_long_texts_of_lines_and_licenses(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    notice = L.TEMPLATES[0][1]
+    docs = spark.createDataFrame([(1, f"{long} {notice} {long}", "h"), (2, "\n".join(f"l{i}" for i in range(200_000)), "h")], DOCS)
+    got = {r["doc_id"]: r for r in line_frequency_rules(docs, cleaned=False).collect()}
+    assert (got[1]["n_words"], got[1]["n_repeat_words"]) == (400_000 + len(notice.split()), 400_000)
+    assert got[2]["n_dup_lines"] == 0 and got[2]["kept"]
+    assert [(r["doc_id"], r["license"]) for r in L.scan_licenses(docs).collect()] == [(1, "MIT")]
+
+
+def test_templates_of_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.txt").write_text("you may use\nthis text as you like it")
+    assert L.read_templates(spark, str(tmp_path)) == [("Own-1", "you may use\nthis text as you like it")]
+
+
 def test_licenses_by_brute_force(spark):
     filler = " ".join(f"q{i}" for i in range(60))
     texts = [None, "", "short", *(f"{filler} {t.upper()} {filler}" for _, t in L.TEMPLATES), f"{filler} Released under the licence. {filler}", "Released under\nthe MIT, License"]
