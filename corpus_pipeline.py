@@ -16,7 +16,7 @@ from spanloom.llm.decontaminate import decontaminate
 from spanloom.llm.near import keep_first, near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.llm.quality import document_features, fit, keep_quality, remainder
-from spanloom.llm.queries import PSEUDONYM_KEY
+from spanloom.llm.queries import pseudonym_key
 from spanloom.llm.stages import written
 from spanloom.session import table
 
@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pseudonymise personal data inside the texts; no document goes."""
-    new = pseudonymise(docs, key=PSEUDONYM_KEY)
+    new = pseudonymise(docs, key=pseudonym_key(spark))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return new.select(*docs.columns)
