@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from spanloom.functions.numeric import TARGET_TOTAL
 from spanloom.operators.manifests import build_tracks, numbered
 from spanloom.operators.splits import SEED, build_shards
-from spanloom.plans.process import process_shard
+from spanloom.plans.process import process_shard, shard_windows
 from spanloom.plans.regions import MOST_BAD, STRIDE, WINDOW, find_windows
 from spanloom.sources import sinks
-from spanloom.sources.bigwig import read_bigwig, read_bigwig_totals
+from spanloom.sources.bigwig import WHOLE, read_bigwig, read_bigwig_totals
 from spanloom.sources.text import CHROMS, read_bed, read_fasta, read_regions, read_shard, read_target_manifest, read_tracks
 
 
@@ -35,7 +35,9 @@ def process(spark: SparkSession, a: argparse.Namespace) -> None:
     listed = numbered(read_tracks(spark, a.tracks, lines=True), ["line"], "track_index").select("track_index", F.col("id").alias("track_id"), F.col("preprocessing.sum_stat").alias("sum_stat"))
     masks = tuple(read_bed(spark, path, "lenient") for path in (a.blacklist, a.unmappable))
     name = chosen.first()["shard_id"]
-    state = process_shard(spark, chosen, listed, read_fasta(spark, a.fasta), read_bigwig(spark, a.raw_dir), masks, f"{a.output_root}/{a.split}/{name}", totals=read_bigwig_totals(spark, a.raw_dir), target=a.target_total, batch_size=a.track_batch_size)
+    # The windows of a shard are spread over whole chromosomes; the others are not read.
+    chroms = {r["chrom"]: (0, WHOLE) for r in shard_windows(chosen).select("chrom").distinct().collect()}
+    state = process_shard(spark, chosen, listed, read_fasta(spark, a.fasta), read_bigwig(spark, a.raw_dir, chroms), masks, f"{a.output_root}/{a.split}/{name}", totals=read_bigwig_totals(spark, a.raw_dir), target=a.target_total, batch_size=a.track_batch_size)
     print(name, state)
 
 

@@ -1,37 +1,73 @@
 """BigWig files as run-length rows, from the published file layout.
 
-Spark's ``binaryFile`` reader brings the bytes, one file a row; a task walks the
-file's own index and yields its runs in batches, so no file meets the driver.
+Only the parts of a file that are needed are read: tasks fetch the header and
+walk the index by ranged reads, groups of neighbouring data blocks become rows,
+and these are dealt out again, so one large file is the work of many tasks.
+Chromosomes and extents that a caller names prune the index. Stores that give no
+ranged access are read whole by Spark's own reader.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Magic numbers and section types of the format.
 MAGIC, TREE_MAGIC, INDEX_MAGIC = 0x888FFC26, 0x78CA8C91, 0x2468ACE0
 BED_GRAPH, VARIABLE, FIXED = 1, 2, 3
+#: Fixed value: an end past every chromosome (positions have 32 bits).
+WHOLE = 1 << 32
+#: Bytes of data blocks in one row; bytes of a ranged read of header or index.
+GROUP_BYTES, PAGE_BYTES = 4 << 20, 1 << 16
 
 
-class BigWigBytes:
-    """Chromosomes, totals and data blocks of one file's bytes."""
+class RangedFile:
+    """Bytes of a file by place; small reads are served from one page."""
+
+    def __init__(self, path: str):
+        address = path if "://" in path else "file://" + path.removeprefix("file:")
+        system, name = pyarrow.fs.FileSystem.from_uri(address)
+        self.file = system.open_input_file(name)
+        self.size = self.file.size()
+        self.page_at, self.page = 0, b""
+
+    def __call__(self, at: int, size: int) -> bytes:
+        if size > PAGE_BYTES:
+            return self.file.read_at(size, at)
+        if at < self.page_at or at + size > self.page_at + len(self.page):
+            self.page_at, self.page = at, self.file.read_at(PAGE_BYTES, at)
+        return self.page[at - self.page_at : at - self.page_at + size]
+
+
+class WholeFile:
+    """The same of bytes in memory."""
 
     def __init__(self, raw: bytes):
-        self.raw = raw
-        self.order = "<" if raw[:4] == struct.pack("<I", MAGIC) else ">"
-        if len(raw) < 64 or self._get("I", 0)[0] != MAGIC:
+        self.raw, self.size = raw, len(raw)
+
+    def __call__(self, at: int, size: int) -> bytes:
+        return self.raw[at : at + size]
+
+
+class BigWigFile:
+    """Chromosomes, totals and data blocks of one file."""
+
+    def __init__(self, read: RangedFile | WholeFile):
+        self.read = read
+        self.order = "<" if read(0, 4) == struct.pack("<I", MAGIC) else ">"
+        if read.size < 64 or self._get("I", 0)[0] != MAGIC:
             raise ValueError("not a BigWig file")
         _, _, self.chrom_at, _, self.index_at, _, _, _, self.summary_at, self.buffer, _ = self._get("HHQQQHHQQIQ", 4)
 
     def _get(self, form: str, at: int) -> tuple:
-        return struct.unpack_from(self.order + form, self.raw, at)
+        return struct.unpack(self.order + form, self.read(at, struct.calcsize(self.order + form)))
 
     def chroms(self) -> dict[int, tuple[str, int]]:
         magic, _, key, _, _, _ = self._get("IIIIQQ", self.chrom_at)
@@ -45,7 +81,7 @@ class BigWigBytes:
                 item = at + 4 + n * (key + 8)
                 if leaf:
                     number, size = self._get("II", item + key)
-                    found[number] = self.raw[item : item + key].rstrip(b"\0").decode(), size
+                    found[number] = self.read(item, key).rstrip(b"\0").decode(), size
                 else:
                     stack.append(self._get("Q", item + key)[0])
         return found
@@ -54,7 +90,9 @@ class BigWigBytes:
         """The stored sum of all values; None where the file has no summary."""
         return self._get("Qdddd", self.summary_at)[3] if self.summary_at else None
 
-    def blocks(self) -> Iterator[tuple[int, int]]:
+    def blocks(self, wanted: Mapping[int, tuple[int, int]] | None = None) -> Iterator[tuple[int, int]]:
+        """(place, size) of the data blocks in order; of those that may hold a
+        position of ``wanted``, extents by chromosome number, where it is given."""
         if self._get("I", self.index_at)[0] != INDEX_MAGIC:
             raise ValueError("bad data index")
         stack = [self.index_at + 48]
@@ -62,91 +100,143 @@ class BigWigBytes:
             at = stack.pop()
             leaf, _, count = self._get("BBH", at)
             width = 32 if leaf else 24
-            children = [self._get("QQ" if leaf else "Q", at + 4 + n * width + 16) for n in range(count)]
+            children = [self._get("IIIIQQ" if leaf else "IIIIQ", at + 4 + n * width) for n in range(count)]
+            kept = [c for c in children if wanted is None or any((c[0], c[1]) < (chrom, high) and (c[2], c[3]) > (chrom, low) for chrom, (low, high) in wanted.items())]
             if leaf:
-                yield from children
-            else:
-                stack += [c[0] for c in reversed(children)]
-
-    def runs(self) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-        """(chrom, starts, ends, values) of each block."""
-        names = self.chroms()
-        for at, size in self.blocks():
-            data = self.raw[at : at + size]
-            data = zlib.decompress(data) if self.buffer else data
-            number, start, _, step, span, kind, _, count = struct.unpack_from(self.order + "IIIIIBBH", data)
-            whole, real = self.order + "u4", self.order + "f4"
-            if kind == BED_GRAPH:
-                rows = np.frombuffer(data, np.dtype([("s", whole), ("e", whole), ("v", real)]), count, 24)
-                starts, ends, values = rows["s"], rows["e"], rows["v"]
-            elif kind == VARIABLE:
-                rows = np.frombuffer(data, np.dtype([("s", whole), ("v", real)]), count, 24)
-                starts, ends, values = rows["s"], rows["s"].astype(np.int64) + span, rows["v"]
-            elif kind == FIXED:
-                values = np.frombuffer(data, real, count, 24)
-                starts = start + step * np.arange(count, dtype=np.int64)
-                ends = starts + span
+                yield from (c[4:] for c in kept)
             else:
-                raise ValueError(f"unknown section type {kind}")
-            yield names[number][0], starts.astype(np.int64), ends.astype(np.int64), values.astype(np.float32)
-
-
-def _files(spark: SparkSession, path: str) -> DataFrame:
+                stack += [c[4] for c in reversed(kept)]
+
+    def decoded(self, data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """(chromosome number, starts, ends, values) of a block's bytes."""
+        data = zlib.decompress(data) if self.buffer else data
+        number, start, _, step, span, kind, _, count = struct.unpack_from(self.order + "IIIIIBBH", data)
+        whole, real = self.order + "u4", self.order + "f4"
+        if kind == BED_GRAPH:
+            rows = np.frombuffer(data, np.dtype([("s", whole), ("e", whole), ("v", real)]), count, 24)
+            starts, ends, values = rows["s"], rows["e"], rows["v"]
+        elif kind == VARIABLE:
+            rows = np.frombuffer(data, np.dtype([("s", whole), ("v", real)]), count, 24)
+            starts, ends, values = rows["s"], rows["s"].astype(np.int64) + span, rows["v"]
+        elif kind == FIXED:
+            values = np.frombuffer(data, real, count, 24)
+            starts = start + step * np.arange(count, dtype=np.int64)
+            ends = starts + span
+        else:
+            raise ValueError(f"unknown section type {kind}")
+        return number, starts.astype(np.int64), ends.astype(np.int64), values.astype(np.float32)
+
+    def extents(self, regions: Mapping[str, tuple[int, int]] | None) -> dict[int, tuple[int, int]] | None:
+        return None if regions is None else {number: regions[name] for number, (name, _) in self.chroms().items() if name in regions}
+
+
+def _files(spark: SparkSession, path: str, ranged: bool) -> DataFrame:
+    """(track_id, path, content) of the files; the bytes are read if not ``ranged``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{bw,BW,bigWig,bigwig}").load(path)
     name = F.regexp_replace(F.regexp_extract("path", "([^/]*)$", 1), r"(?i)\.(bw|bigwig)$", "")
-    return files.select(name.alias("track_id"), "content")
+    return files.select(name.alias("track_id"), "path", (F.lit(None).cast("binary") if ranged else F.col("content")).alias("content")).repartition("path")
+
+
+def _opened(path: str, content: bytes | None) -> BigWigFile:
+    return BigWigFile(RangedFile(path) if content is None else WholeFile(content))
 
 
 def _over_files(files: DataFrame, schema: str, rows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for track, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield from rows(track, BigWigBytes(content.as_py()))
+            for track, path, content in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from rows(track, path, _opened(path, content))
 
     return files.mapInArrow(run, schema)
 
 
-def read_bigwig(spark: SparkSession, path: str) -> DataFrame:
-    """(track_id, chrom, start, end, value) of all BigWig files of ``path``."""
+RUNS = "track_id string, chrom string, start long, end long, value float"
+
+
+def read_bigwig(spark: SparkSession, path: str, regions: Mapping[str, tuple[int, int]] | None = None, *, ranged: bool = True) -> DataFrame:
+    """(track_id, chrom, start, end, value) of all BigWig files of ``path``.
 
-    def rows(track: str, file: BigWigBytes) -> Iterator[pa.RecordBatch]:
-        for chrom, starts, ends, values in file.runs():
+    ``regions`` gives the extent of each wanted chromosome; index entries outside
+    are not followed, and runs outside do not come back. Without ``ranged`` a
+    file is one value of Spark's reader (2 GB at most), in any store it knows.
+    """
+
+    def runs(track: str, file: BigWigFile, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        names, extents = file.chroms(), file.extents(regions)
+        for data in blocks:
+            number, starts, ends, values = file.decoded(data)
+            if extents is not None:
+                low, high = extents.get(number, (0, 0))
+                keep = (starts < high) & (ends > low)
+                starts, ends, values = starts[keep], ends[keep], values[keep]
             n = len(values)
-            yield pa.RecordBatch.from_arrays([pa.array([track] * n), pa.array([chrom] * n), pa.array(starts), pa.array(ends), pa.array(values)], names=["track_id", "chrom", "start", "end", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([track] * n, pa.string()), pa.array([names[number][0]] * n, pa.string()), pa.array(starts), pa.array(ends), pa.array(values)], names=["track_id", "chrom", "start", "end", "value"])
+
+    if not ranged:
+        whole = lambda track, path, file: runs(track, file, (file.read(at, size) for at, size in file.blocks(file.extents(regions))))
+        return _over_files(_files(spark, path, False), RUNS, whole)
+
+    def group(track: str, path: str, file: BigWigFile) -> Iterator[pa.RecordBatch]:
+        places: list[int] = []
+        sizes: list[int] = []
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([track]), pa.array([path]), pa.array([list(places)], pa.list_(pa.int64())), pa.array([list(sizes)], pa.list_(pa.int64()))], names=["track_id", "path", "places", "sizes"])
+
+        for at, size in file.blocks(file.extents(regions)):
+            if places and sum(sizes) + size > GROUP_BYTES:
+                yield row()
+                places.clear()
+                sizes.clear()
+            places.append(at)
+            sizes.append(size)
+        if places:
+            yield row()
+
+    groups = _over_files(_files(spark, path, True), "track_id string, path string, places array<bigint>, sizes array<bigint>", group)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for track, path, places, sizes in zip(*(c.to_pylist() for c in batch.columns)):
+                file = _opened(path, None)
+                first, last = min(places), max(a + s for a, s in zip(places, sizes))
+                near = last - first <= 2 * sum(sizes)  # blocks of a group mostly follow each other
+                held = file.read(first, last - first) if near else b""
+                yield from runs(track, file, (held[at - first : at - first + size] if near else file.read(at, size) for at, size in zip(places, sizes)))
 
-    return _over_files(_files(spark, path), "track_id string, chrom string, start long, end long, value float", rows)
+    return groups.repartition("path", F.get("places", F.lit(0))).mapInArrow(decode, RUNS)
 
 
-def read_bigwig_totals(spark: SparkSession, path: str) -> DataFrame:
+def read_bigwig_totals(spark: SparkSession, path: str, *, ranged: bool = True) -> DataFrame:
     """(track_id, total) from the files' own summaries; no data block is read."""
 
-    def rows(track: str, file: BigWigBytes) -> Iterator[pa.RecordBatch]:
+    def rows(track: str, path: str, file: BigWigFile) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([track]), pa.array([file.total()], pa.float64())], names=["track_id", "total"])
 
-    return _over_files(_files(spark, path), "track_id string, total double", rows)
+    return _over_files(_files(spark, path, ranged), "track_id string, total double", rows)
 
 
-def read_bigwig_sizes(spark: SparkSession, path: str) -> DataFrame:
+def read_bigwig_sizes(spark: SparkSession, path: str, *, ranged: bool = True) -> DataFrame:
     """(track_id, chrom, length) of every file."""
 
-    def rows(track: str, file: BigWigBytes) -> Iterator[pa.RecordBatch]:
+    def rows(track: str, path: str, file: BigWigFile) -> Iterator[pa.RecordBatch]:
         found = list(file.chroms().values())
         yield pa.RecordBatch.from_arrays([pa.array([track] * len(found)), pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.int64())], names=["track_id", "chrom", "length"])
 
-    return _over_files(_files(spark, path), "track_id string, chrom string, length long", rows)
+    return _over_files(_files(spark, path, ranged), "track_id string, chrom string, length long", rows)
 
 
-def readable_bigwigs(spark: SparkSession, path: str) -> DataFrame:
+def readable_bigwigs(spark: SparkSession, path: str, *, ranged: bool = True) -> DataFrame:
     """(track_id, valid): whether a file opens and names a chromosome."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for content in batch.column(1):
+            for path, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 try:
-                    good.append(bool(BigWigBytes(content.as_py()).chroms()))
+                    good.append(bool(_opened(path, content).chroms()))
                 except (ValueError, struct.error):
                     good.append(False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good)], names=["track_id", "valid"])
 
-    return _files(spark, path).mapInArrow(run, "track_id string, valid boolean")
+    return _files(spark, path, ranged).mapInArrow(run, "track_id string, valid boolean")

@@ -127,6 +127,24 @@ def test_bigwig(spark, tmp_path):
     assert dict(text.present_files(spark, str(tmp_path)).collect())["t2.bw"] == 126
 
 
+def test_bigwig_by_ranges(spark, tmp_path):
+    blocks = [(n, 1, 0, 0, [(100 * k + 10 * i, 100 * k + 10 * i + 10, float(n * 1000 + k * 10 + i)) for i in range(10)]) for n in range(3) for k in range(40)]
+    write_bigwig(tmp_path / "b.bw", {"chr1": 4000, "chr2": 4000, "chr3": 4000}, blocks, 1.0)
+    raw = (tmp_path / "b.bw").read_bytes()
+    index_at = struct.unpack_from("<Q", raw, 24)[0]
+    real = bytearray(raw)
+    for k, (n, *_, items) in enumerate(blocks):  # the extents that a writer would give
+        struct.pack_into("<IIII", real, index_at + 52 + 32 * k, n, items[0][0], n, items[-1][1])
+    (tmp_path / "b.bw").write_bytes(real)
+    whole = rows(bigwig.read_bigwig(spark, str(tmp_path)))
+    assert len(whole) == 1200 and whole == rows(bigwig.read_bigwig(spark, str(tmp_path), ranged=False))
+    regions = {"chr2": (995, 1501), "chr3": (0, 1), "chr9": (0, 9)}
+    want = [r for r in whole if r[1] in regions and r[2] < regions[r[1]][1] and r[3] > regions[r[1]][0]]
+    assert rows(bigwig.read_bigwig(spark, str(tmp_path), regions)) == want == rows(bigwig.read_bigwig(spark, str(tmp_path), regions, ranged=False))
+    file = bigwig.BigWigFile(bigwig.RangedFile(str(tmp_path / "b.bw")))
+    assert len(list(file.blocks(file.extents(regions)))) == 8
+
+
 def test_bedgraph(spark, tmp_path):
     (tmp_path / "s.bedgraph").write_text("track a\nchr1 0 5 1.5\n#x\nchr1\t5\t9\t-2\n")
     assert rows(text.read_bedgraph(spark, str(tmp_path))) == [("s", "chr1", 0, 5, 1.5), ("s", "chr1", 5, 9, -2.0)]
