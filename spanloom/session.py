@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -61,11 +62,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+_folders: dict[str, SparkSession] = {}
+
+
 def written(frame: DataFrame) -> DataFrame:
     """``frame`` as a Parquet table in the folder of ``spark.checkpoint.dir``,
     read again: a cut point whose rows are computed once and survive lost
-    executors. The folder belongs to the job; whoever ends it may clear it."""
+    executors. The tables of an application lie in one folder, which is deleted
+    when the driver's interpreter ends, or by ``clear_written`` before."""
     spark = frame.sparkSession
-    path = f"{checkpoint_dir(spark)}/spanloom-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark)}/spanloom-{spark.sparkContext.applicationId}"
+    _folders[folder] = spark
+    path = f"{folder}/{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@atexit.register
+def clear_written() -> None:
+    """Delete all tables of ``written``; frames that read them are no longer of use."""
+    while _folders:
+        folder, spark = _folders.popitem()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
+        except Exception:  # the virtual machine is gone, and with it the way to the files
+            return
