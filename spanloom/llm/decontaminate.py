@@ -1,11 +1,19 @@
 """Benchmark decontamination with spaced seeds.
 
-A mask is a row of positions that count (1) or are ignored (0). The benchmark is
-hashed under every mask at every offset; each document is hashed the same way
-and looked up; every hit fixes an alignment of the document with one item, and
-the alignment is verified around the hit: it counts where ``min_words``
-neighbouring words agree but for ``max_substitutions``. The three masks find
-every such stretch: whichever two of 13 words differ, one of them still fits.
+A mask is a row of positions that count (1) or are ignored (0). The three masks
+find every stretch of 13 words with two substitutions: whichever two words
+differ, one of the masks still fits. Shorter items have masks of their own length
+that each count one part of it, one part more than substitutions are allowed.
+
+1. The benchmark is hashed under its masks at every offset: a table of seeds.
+   Its hashes set the bits of a filter of fixed size.
+2. Documents are hashed in the same way; those with seeds that pass the filter
+   are written with the hashes of their words.
+3. The join of test and training seeds gives alignments of a document with an
+   item; each is verified around the hit: it counts where ``min_words``
+   neighbouring words agree but for ``max_substitutions``.
+
+The filter only saves rows; a benchmark that fills it costs a larger join.
 """
 
 from __future__ import annotations
@@ -14,16 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.arrays import FOLD, WordHashes, mixed, odd_factors, text_slices
+from spanloom.llm.stages import written
 
 #: Masks of weight seven that hit 13 words with any two substituted.
 MASKS = ("1111100011", "110101111", "11100110101")
-#: Characters of benchmark text in one broadcast block; more text makes more blocks.
-BLOCK_CHARS = 8 << 20
-FILTER_BITS = 22
 
 
 def mask_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -38,146 +44,188 @@ def mask_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total)
 
 
-class BenchmarkBlock:
-    """Seed tables of some items: bounded, built once and broadcast."""
-
-    def __init__(self, items: list[tuple[object, str]], masks: tuple[str, ...], min_words: int, max_substitutions: int):
-        self.ids = [item for item, _ in items]
-        self.min_words, self.max_substitutions = min_words, max_substitutions
-        words = [text.encode().translate(FOLD).split() for _, text in items]
-        self.hashes, self.starts = WordHashes().of(words)
-        longest = max(map(len, masks))
-        short = sorted({len(w) for w in words if 0 < len(w) < longest})
-        self.tables = []
-        owner = np.repeat(np.arange(len(words)), np.diff(self.starts))
-        for mask in (*masks, *("1" * size for size in short)):
-            own = mask_hashes(self.hashes, mask)
-            at = np.arange(len(own))
-            inside = owner[at] == owner[at + len(mask) - 1] if len(own) else np.empty(0, bool)
-            if "0" not in mask:  # whole short items, exactly
-                inside &= np.diff(self.starts)[owner[at]] == len(mask)
-            own, at = own[inside], at[inside]
-            order = np.argsort(own, kind="stable")
-            present = np.zeros(1 << FILTER_BITS, bool)
-            present[own >> np.uint64(64 - FILTER_BITS)] = True
-            self.tables.append((mask, own[order], at[order], present))
-        self.owner = owner
-
-    def verified(self, text: np.ndarray, item: int, shift: int) -> tuple[int, int, int] | None:
-        """(first word in the document, words, words that agree) of the longest
-        stretch of this alignment within the tolerance, or None."""
-        begin, end = int(self.starts[item]), int(self.starts[item + 1])
-        low, high = max(0, shift), min(len(text), shift + end - begin)
-        size = min(self.min_words, end - begin)
-        if high - low < size:
-            return None
-        same = text[low:high] == self.hashes[begin + low - shift : begin + high - shift]
-        total = np.concatenate(([0], np.cumsum(same)))
-        allowed = self.max_substitutions if size >= self.min_words else self.max_substitutions * size // self.min_words
-        good = np.flatnonzero(total[size:] - total[:-size] >= size - allowed)
-        if not len(good):
-            return None
-        covered = np.zeros(high - low + 1, np.int64)
-        np.add.at(covered, good, 1)
-        np.add.at(covered, good + size, -1)
-        inside = np.flatnonzero(np.cumsum(covered[:-1]) > 0)
-        return low + int(inside[0]), len(inside), int(same[inside].sum())
-
-    def overlaps(self, hashes: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, first word, words, agreeing words), the best of each pair."""
-        pairs = []
-        for mask, known, places, present in self.tables:
-            own = mask_hashes(hashes, mask)
-            at = np.flatnonzero(present[own >> np.uint64(64 - FILTER_BITS)])
-            if not len(at) or not len(known):
-                continue
-            low, high = np.searchsorted(known, own[at], "left"), np.searchsorted(known, own[at], "right")
-            at, low, count = at[high > low], low[high > low], (high - low)[high > low]
-            text = np.searchsorted(starts, at, "right") - 1
-            fits = at + len(mask) <= starts[text + 1]
-            at, low, count, text = at[fits], low[fits], count[fits], text[fits]
-            place = places[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
-            text, at = np.repeat(text, count), np.repeat(at, count)
-            item = self.owner[place]
-            pairs.append(np.stack((text, item, (at - starts[text]) - (place - self.starts[item]))))
-        if not pairs:
-            return []
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for text, item, shift in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
-            found = self.verified(hashes[starts[text] : starts[text + 1]], item, shift)
-            if found and ((text, item) not in best or (found[2], -found[0]) > (best[text, item][2], -best[text, item][0])):
-                best[text, item] = found
-        return [(text, item, *found) for (text, item), found in best.items()]
-
-
-def benchmark_blocks(benchmark: DataFrame, id: str, text: str, block_chars: int) -> Iterator[list[tuple[object, str]]]:
-    """The stated query set in blocks of at most ``block_chars`` (or one item)."""
-    held: list[tuple[object, str]] = []
-    size = 0
-    for item, content in benchmark.select(id, F.coalesce(text, F.lit(""))).orderBy(id).toLocalIterator():
-        if held and size + len(content) > block_chars:
-            yield held
-            held, size = [], 0
-        held.append((item, content))
-        size += len(content)
-    if held:
-        yield held
-
-
-def _blocks(docs: DataFrame, benchmark: DataFrame, item: str, text: str, min_words: int, max_substitutions: int, masks: tuple[str, ...], block_chars: int) -> list:
-    context = docs.sparkSession.sparkContext
-    return [context.broadcast(BenchmarkBlock(items, masks, min_words, max_substitutions)) for items in benchmark_blocks(benchmark, item, text, block_chars)]
-
-
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", min_words: int = 13, max_substitutions: int = 2, masks: tuple[str, ...] = MASKS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+#: Bits of the filter: a first, small table and a second one that is probed twice.
+SMALL_BITS, LARGE_BITS = 22, 26
+
+
+def short_masks(size: int, allowed: int) -> list[str]:
+    """Masks of an item's own length that find it with ``allowed`` substitutions:
+    each counts one of ``allowed + 1`` parts."""
+    cuts = [size * k // (allowed + 1) for k in range(allowed + 2)]
+    return ["".join("1" if a <= k < b else "0" for k in range(size)) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def tolerance(size: int, min_words: int, max_substitutions: int) -> tuple[int, int]:
+    """Words that must lie together, and how many of them may differ: for items
+    under ``min_words`` the whole item and a share of the substitutions."""
+    return (min_words, max_substitutions) if size >= min_words else (size, max_substitutions * size // min_words)
+
+
+def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """(item_row, item_id, words) with the hashes of the words; written, so that
+    ``item_row`` stays what it is."""
+    rows = benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col(f"`{item}`").alias("item_id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    kind = rows.schema["item_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            for start, texts in text_slices(batch, "text"):
+                hashes, starts = words.of([raw.translate(FOLD).split() for raw in texts])
+                parts = [hashes[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in (0, 1)), pa.array(parts, pa.binary())], names=["item_row", "item_id", "words"])
+
+    return written(rows.mapInArrow(run, f"item_row long, item_id {kind}, words binary"))
+
+
+def _seeds(items: DataFrame, min_words: int, max_substitutions: int, masks: tuple[str, ...]) -> DataFrame:
+    """(seed, item_row, place) of every mask at every offset of every item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = np.frombuffer(raw, np.uint64)
+                size, allowed = tolerance(len(words), min_words, max_substitutions)
+                for mask in (masks if len(words) >= min_words else short_masks(size, allowed)) if size else ():
+                    found = mask_hashes(words, mask)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([row] * len(found), pa.int64()), pa.array(np.arange(len(found)))], names=["seed", "item_row", "place"])
+
+    return items.select("item_row", "words").mapInArrow(run, "seed long, item_row long, place long")
+
+
+def _positions(seeds: np.ndarray, small: int, large: int) -> list[np.ndarray]:
+    """The bits of each seed: one of the first table, two of the second."""
+    second = [seeds & np.uint64((1 << large) - 1), (seeds >> np.uint64(16)) & np.uint64((1 << large) - 1)]
+    return [(seeds >> np.uint64(64 - small)).astype(np.int64), *(x.astype(np.int64) + (1 << small) for x in second)]
+
+
+class SeedFilter:
+    """A bit set of fixed size: a seed of the benchmark always passes."""
+
+    def __init__(self, seeds: DataFrame, small: int, large: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                places = np.unique(np.concatenate(_positions(np.asarray(batch.column(0)).astype(np.uint64), small, large)))
+                yield pa.RecordBatch.from_arrays([pa.array(places >> 5), pa.array(np.int64(1) << (places & 31))], names=["word", "bits"])
+
+        # A row for each 32 bits of the filter at most, whatever the benchmark.
+        found = seeds.select("seed").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        self.small, self.large = small, large
+        self.words = np.zeros(((1 << small) + (1 << large)) >> 5, np.uint32)
+        self.words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
+
+    def first(self) -> np.ndarray:
+        """The first table, a byte for each bit."""
+        return np.unpackbits(self.words[: 1 << (self.small - 5)].view(np.uint8), bitorder="little").view(bool)
+
+    def passing(self, seeds: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Places of the seeds that may be in the benchmark."""
+        at = np.flatnonzero(first[seeds >> np.uint64(64 - self.small)])
+        for probe in (1, 2):
+            places = _positions(seeds[at], self.small, self.large)[probe]
+            at = at[self.words[places >> 5] >> (places & 31).astype(np.uint32) & np.uint32(1) == 1]
+        return at
+
+
+def verified(text: np.ndarray, item: np.ndarray, shift: int, min_words: int, max_substitutions: int) -> tuple[int, int, int] | None:
+    """(first word in the document, words, words that agree) of the stretches of
+    this alignment within the tolerance, or None."""
+    low, high = max(0, shift), min(len(text), shift + len(item))
+    size, allowed = tolerance(len(item), min_words, max_substitutions)
+    if not size or high - low < size:
+        return None
+    same = text[low:high] == item[low - shift : high - shift]
+    total = np.concatenate(([0], np.cumsum(same)))
+    good = np.flatnonzero(total[size:] - total[:-size] >= size - allowed)
+    if not len(good):
+        return None
+    covered = np.zeros(high - low + 1, np.int64)
+    np.add.at(covered, good, 1)
+    np.add.at(covered, good + size, -1)
+    inside = np.flatnonzero(np.cumsum(covered[:-1]) > 0)
+    return low + int(inside[0]), len(inside), int(same[inside].sum())
+
+
+def _overlaps(docs: DataFrame, carried: list[Column], benchmark: DataFrame, text: str, item: str, item_text: str, min_words: int, max_substitutions: int, masks: tuple[str, ...]) -> DataFrame:
+    """The carried columns with ``item_id, first_word, n_words, n_same`` of the
+    best overlap of each row of ``docs`` with each item."""
+    items = _items(benchmark, item, item_text)
+    seeds = written(_seeds(items, min_words, max_substitutions, masks))
+    short = items.select((F.octet_length("words") / 8).cast("int").alias("n")).filter((F.col("n") > 0) & (F.col("n") < min_words)).distinct()
+    used = [*masks, *(m for r in short.collect() for m in short_masks(*tolerance(r["n"], min_words, max_substitutions)))]  # under min_words sizes
+    held = docs.sparkSession.sparkContext.broadcast(SeedFilter(seeds, SMALL_BITS, LARGE_BITS))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *carried, F.col(f"`{text}`").cast("binary").alias("text"))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, first = WordHashes(), held.value.first()
+        for batch in batches:
+            for start, texts in text_slices(batch, "text"):
+                hashes, starts = words.of([raw.translate(FOLD).split() for raw in texts])
+                found, places = [], []
+                for mask in used:
+                    own = mask_hashes(hashes, mask)
+                    at = held.value.passing(own, first)
+                    at = at[at + len(mask) <= starts[np.searchsorted(starts, at, "right")]] if len(at) else at
+                    found.append(own[at])
+                    places.append(at)
+                found, places = np.concatenate(found), np.concatenate(places)
+                owner = np.searchsorted(starts, places, "right") - 1
+                order = np.argsort(owner, kind="stable")
+                found, places, owner = found[order], places[order], owner[order]
+                hit = np.unique(owner)
+                if len(hit):
+                    cuts = np.append(np.searchsorted(owner, hit), len(owner))
+                    take = pa.array(start + hit)
+                    listed = lambda values: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
+                    content = pa.array([hashes[starts[i] : starts[i + 1]].tobytes() for i in hit], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*(batch.column(f.name).take(take) for f in kept), content, listed(found.astype(np.int64)), listed(places - starts[owner])], names=[*(f.name for f in kept), "words", "seeds", "places"])
+
+    named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    hits = written(rows.mapInArrow(search, f"{named}, words binary, seeds array<bigint>, places array<bigint>"))
+    pairs = hits.select("row", F.explode(F.arrays_zip("seeds", "places")).alias("x")).select("row", F.col("x.seeds").alias("seed"), F.col("x.places").alias("at"))
+    met = pairs.join(seeds, "seed").select("row", "item_row", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    wanted = met.join(items.select("item_row", "item_id", F.col("words").alias("item_words")), "item_row")
+    by_row = wanted.groupBy("row", "item_row", "item_id", "item_words").agg(F.collect_list("shift").alias("shifts"))
+    joined = by_row.join(hits.drop("seeds", "places"), "row").select(*(f.name for f in kept if f.name != "row"), "item_id", "words", "item_words", "shifts")
+    carry = [f for f in kept if f.name != "row"]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, best = [], []
+            for row, (words, item_words, shifts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("words", "item_words", "shifts")))):
+                own, other = np.frombuffer(words, np.uint64), np.frombuffer(item_words, np.uint64)
+                found = [f for s in sorted(shifts) if (f := verified(own, other, s, min_words, max_substitutions))]
+                if found:
+                    at.append(row)
+                    best.append(max(found, key=lambda f: (f[2], -f[0])))
+            if at:
+                numbers = [pa.array([b[k] for b in best], pa.int64()) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name).take(pa.array(at)) for f in carry), batch.column("item_id").take(pa.array(at)), *numbers], names=[*(f.name for f in carry), "item_id", "first_word", "n_words", "n_same"])
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return joined.mapInArrow(check, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in carry) + f"item_id {kind}, first_word long, n_words long, n_same long")
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", min_words: int = 13, max_substitutions: int = 2, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """``doc_id, item_id, first_word, n_words, n_same``: the best verified overlap
     of each document row with each benchmark item.
 
     Words are runs of ASCII letters, digits and non-ASCII bytes, ASCII letters in
-    lower case. Items under ``min_words`` count where the whole item is found
-    (substitutions allowed in proportion; items shorter than the longest mask
-    exactly). Null and empty texts and items overlap with nothing; repeated rows
-    repeat; an empty benchmark gives no row. The benchmark is read in blocks of
-    bounded size, each broadcast and met by every document.
+    lower case. Items under ``min_words`` count where the whole item is found,
+    with substitutions in proportion. Null and empty texts and items overlap with
+    nothing; repeated rows and items repeat; null ids stay null; an empty table
+    or benchmark gives no row; further columns are ignored.
     """
-    rows = docs.selectExpr(f"`{id}` as doc_id", f"cast(`{text}` as binary) as text")
-    kinds = (docs.select(id).schema[0].dataType.simpleString(), benchmark.select(item).schema[0].dataType.simpleString())
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, first_word bigint, n_words bigint, n_same bigint"
-    item_type = pa.Schema.from_pandas(benchmark.limit(0).select(item).toPandas()).field(0).type if kinds[1] not in ("bigint", "int", "string") else {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kinds[1]]
-    out = None
-    for block in _blocks(docs, benchmark, item, item_text, min_words, max_substitutions, masks, block_chars):
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            words = WordHashes()
-            for batch in batches:
-                for start, texts in text_slices(batch, "text"):
-                    hashes, starts = words.of([raw.translate(FOLD).split() for raw in texts])
-                    found = block.value.overlaps(hashes, starts)
-                    if found:
-                        at = pa.array([start + f[0] for f in found], pa.int64())
-                        numbers = [pa.array([f[k] for f in found], pa.int64()) for k in (2, 3, 4)]
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([block.value.ids[f[1]] for f in found], item_type), *numbers], names=["doc_id", "item_id", "first_word", "n_words", "n_same"])
-
-        part = rows.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+    return _overlaps(docs, [F.col(f"`{id}`").alias("doc_id")], benchmark, text, item, item_text, min_words, max_substitutions, masks)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", min_words: int = 13, max_substitutions: int = 2, masks: tuple[str, ...] = MASKS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", min_words: int = 13, max_substitutions: int = 2, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """The rows of ``docs`` (all columns) without a verified overlap with any
-    item. No shuffle: each block filters the rows that the blocks before it kept."""
-    kept = docs
-    for block in _blocks(docs, benchmark, item, item_text, min_words, max_substitutions, masks, block_chars):
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            words = WordHashes()
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                for start, texts in text_slices(batch, text):
-                    hashes, starts = words.of([raw.translate(FOLD).split() for raw in texts])
-                    for found in block.value.overlaps(hashes, starts):
-                        clean[start + found[0]] = False
-                yield batch.filter(pa.array(clean))
-
-        kept = kept.mapInArrow(run, docs.schema)
-    return kept
+    item. Rows with one text share their fate, so rows are told apart by two
+    hashes and the length of their texts; null and empty texts stay."""
+    content = F.col(f"`{text}`").cast("binary")
+    marks = {"__x": F.xxhash64(content), "__m": F.hash(content), "__n": F.octet_length(content)}
+    gone = _overlaps(docs, [c.alias(n) for n, c in marks.items()], benchmark, text, item, item_text, min_words, max_substitutions, masks).select(*marks).distinct()
+    marked = docs.select("*", *(c.alias(n) for n, c in marks.items()))
+    return marked.join(gone, list(marks), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,18 +1,5 @@
 """Cut points of long jobs: tables in the cluster's shared folder."""
 
-from __future__ import annotations
+from spanloom.session import written
 
-import uuid
-
-from pyspark.sql import DataFrame
-
-from spanloom.session import checkpoint_dir
-
-
-def written(frame: DataFrame) -> DataFrame:
-    """``frame`` as a Parquet table in the folder of ``spark.checkpoint.dir``,
-    read again. Its rows survive lost executors and are computed once."""
-    spark = frame.sparkSession
-    path = f"{checkpoint_dir(spark)}/spanloom-{uuid.uuid4().hex}"
-    frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+__all__ = ["written"]
