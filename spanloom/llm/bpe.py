@@ -130,8 +130,9 @@ def encode_decode(docs: DataFrame, tokenizer_json: str, *, id: str = "doc_id", t
 
     ``outputs``: ``ids`` (array<int>), ``decoded`` (string), ``ids_sha256`` of the
     decimal ids joined by commas, ``decoded_sha256`` of the decoded UTF-8. A null
-    text is empty and has no ids; repeated rows repeat; further columns are
-    ignored, whatever their names. ``tokenizer_json`` is read on the driver; the
+    text is empty and has no ids; repeated rows repeat; an empty table gives no
+    row; bytes that are no UTF-8 become U+FFFD before they are encoded; further
+    columns are ignored, whatever their names. ``tokenizer_json`` is read on the driver; the
     vocabulary is a parameter of fixed size and goes out as one broadcast.
     """
     with open(tokenizer_json, encoding="utf-8") as file:

@@ -31,7 +31,7 @@ GROUPS = (b"#*$%&|<>", b"!", b"?", b".", b",", b"0123456789", b"ABCDEFGHIJKLMNOP
 CLASS = np.zeros((256, len(GROUPS)))
 for _g, _members in enumerate(GROUPS):
     CLASS[list(_members), _g] = 1
-NAMES = ("log_words", "log_bytes", "word_bytes", "unique", "top_word", "top_pair", "duplicate_lines", "long_words", "short_words", *[f"share_{g}" for g in range(len(GROUPS))])
+NAMES = ("log_words", "log_bytes", "word_bytes", "distinct_for_length", "distinct_pairs", "distinct_words", "duplicate_lines", "long_words", "short_words", *[f"share_{g}" for g in range(len(GROUPS))])
 
 
 def statistics(raw: bytes) -> np.ndarray:
@@ -58,7 +58,8 @@ def _batch_statistics(batch: pa.RecordBatch, text: str) -> np.ndarray:
 
 
 def document_features(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, features array<double>) per row."""
+    """(doc_id, features array<double>) per row; null and empty texts have zeros,
+    repeated rows and null ids their own rows, an empty table none."""
     kind = docs.select(id).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +171,8 @@ def score_documents(docs: DataFrame, model: QualityModel, *, id: str = "doc_id",
 
 
 def keep_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` (all columns) that score ``threshold`` or more."""
+    """The rows of ``docs`` (all columns) that score ``threshold`` or more; a null
+    text scores as an empty one, and a model without labels scores 0.5."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
