@@ -74,11 +74,25 @@ def overlap_pairs(windows: DataFrame, intervals: DataFrame, by: list[str], bin_s
 def overlap_bp(windows: DataFrame, merged: DataFrame, by: list[str], name: str = "overlap_bp", bin_size: int = BIN) -> DataFrame:
     """Every window with the number of positions that ``merged`` covers; 0 where
     nothing overlaps. Windows are told apart by ``by``, ``start`` and ``end``;
-    repeated windows keep their rows."""
+    repeated windows keep their rows.
+
+    Equal windows are counted first. An outer join on bins keeps a window without
+    any overlap, so one aggregation ends it; only windows with further columns
+    are joined to the sums.
+    """
     keys = [*by, "start", "end"]
-    covered = overlap_pairs(windows.select(keys).distinct(), merged.select(keys), by, bin_size)
-    sums = covered.groupBy(*keys).agg(F.sum(F.least("end", "i_end") - F.greatest("start", "i_start")).alias(name))
-    return windows.join(sums, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
+    counted = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    bins = lambda end: F.explode_outer(F.sequence(F.floor(F.col("start") / bin_size), F.floor(F.greatest("start", end - 1) / bin_size)))
+    left = counted.withColumn("__bin", bins(F.col("end"))).alias("w")
+    right = merged.filter(F.col("end") > F.col("start")).select(*by, "start", "end").withColumn("__bin", bins(F.col("end"))).alias("m")
+    same = [F.col(f"w.{c}") == F.col(f"m.{c}") for c in (*by, "__bin")]
+    overlap = (F.col("m.start") < F.col("w.end")) & (F.col("m.end") > F.col("w.start")) & (F.col("w.end") > F.col("w.start"))
+    own = F.col("w.__bin") == F.floor(F.greatest("w.start", "m.start") / bin_size)
+    met = left.join(right, [*same, overlap, own], "left").select("w.*", (F.least("w.end", "m.end") - F.greatest("w.start", "m.start")).alias("__bp"), F.col("m.start").isNotNull().alias("__met"))
+    sums = met.groupBy(*keys, "__n").agg(F.sum(F.when(F.col("__met"), F.col("__bp")).otherwise(0)).cast("long").alias(name))
+    if len(windows.columns) > len(keys):
+        return windows.join(sums.drop("__n"), keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
+    return sums.withColumn("__n", F.explode(F.array_repeat("__n", F.col("__n").cast("int")))).select(*windows.columns, name)
 
 
 def filter_by_overlap(windows: DataFrame, limit: float, bad: str = "overlap_bp") -> DataFrame:
