@@ -56,6 +56,22 @@ def last_wins(rows: DataFrame, keys: list[str], value: str, ordinal: str) -> Dat
     return rows.groupBy(*keys).agg(F.max_by(value, F.struct(ordinal, value)).alias(value))
 
 
+def chained_index(index: DataFrame, bases: list[str]) -> DataFrame:
+    """The index of several folders as one: rows of other bases go, and ``ordinal``
+    follows the order of ``bases``, so later folders replace earlier ones."""
+    place = F.array_position(F.array(*[F.lit(b) for b in bases]), F.col("base"))
+    return index.filter(place > 0).withColumn("ordinal", (place - 1) * (1 << 32) + F.col("ordinal"))
+
+
+def answering_hosts(pages: DataFrame, hosts: list[str]) -> list[str]:
+    """The hosts, in order, whose index page (``base, html``) came back; a host
+    without one is left out, and an error names all if none answers."""
+    there = {r["base"] for r in pages.filter(F.col("html").isNotNull() & F.col("base").isin(hosts)).select("base").distinct().collect()}
+    if not there:
+        raise ValueError(f"no index could be read of {', '.join(hosts)}")
+    return [h for h in hosts if h in there]
+
+
 def unique_only(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Keys that have exactly one distinct value, with it."""
     return rows.groupBy(key).agg(F.min(value).alias(value), F.max(value).alias("__high")).filter(F.col(value) == F.col("__high")).drop("__high")

@@ -405,6 +405,17 @@ def two_sources(spark, sf):
     return M.both_sources(part.select("p_partkey", "p_brand"), first, second, ["p_brand"]).select("p_partkey", F.array_join("urls", " ").alias("urls"))
 
 
+@query("""
+with i as (select case p_partkey % 3 when 0 then 0 when 1 then 1 end as place, p_partkey, p_brand || '.' || p_size as filename from part where p_partkey % 3 <> 2)
+select filename, max_by('f' || place || '/' || p_partkey, place * 4294967296 + p_partkey) as url from i group by filename""")
+def chained_index(spark, sf):
+    """Two folders of a site as one index: the second replaces the first."""
+    part = table(spark, sf, "part")
+    base = F.concat(F.lit("f"), (F.col("p_partkey") % 3).cast("string"))
+    index = part.select(base.alias("base"), F.col("p_partkey").alias("ordinal"), F.concat("p_brand", F.lit("."), F.col("p_size")).alias("filename"), F.concat(base, F.lit("/"), "p_partkey").alias("url"))
+    return M.last_wins(M.chained_index(index, ["f0", "f1"]), ["filename"], "url", "ordinal")
+
+
 @query("""
 with t as (select p_partkey, upper(trim(p_type || '-' || p_name)) as u from part)
 select p_partkey, list_aggregate(list_distinct([u, replace(u, ' ', '_'), replace(u, '-', '_'), replace(replace(u, ' ', '_'), '-', '_')]), 'count')::int as n, replace(replace(u, ' ', '_'), '-', '_') as spelled from t""")

@@ -88,3 +88,17 @@ def test_requirements(spark):
     with pytest.raises(ValueError):
         Z.require_equal_lengths(spark.createDataFrame([(0, 5), (0, 6)], "start long, end long"))
     assert Z.matching_run({"a": 1, "b": 2}, {"a": 1, "b": 3, "c": 4}) == ["b", "c"]
+
+
+def test_hosts_that_do_not_answer_are_left_out(spark):
+    pages = spark.createDataFrame([("a", None), ("b", "<a href='x.bw'>"), ("c", "")], "base string, html string")
+    assert M.answering_hosts(pages, ["c", "a", "b", "d"]) == ["c", "b"]
+    with pytest.raises(ValueError, match="a, d"):
+        M.answering_hosts(pages, ["a", "d"])
+
+
+def test_later_folders_replace_earlier_ones(spark):
+    index = spark.createDataFrame([("one", 0, "x.bw", "one/x"), ("one", 7, "y.bw", "one/y"), ("two", 1, "x.bw", "two/x"), ("three", 9, "x.bw", "three/x")], "base string, ordinal long, filename string, url string")
+    for bases, want in ((["one", "two"], "two/x"), (["two", "one"], "one/x")):
+        got = dict((r["filename"], r["url"]) for r in M.last_wins(M.chained_index(index, bases), ["filename"], "url", "ordinal").collect())
+        assert got == {"x.bw": want, "y.bw": "one/y"}
