@@ -1,13 +1,16 @@
-"""Ranged downloads as rows: each range is fetched in the task that holds it."""
+"""Ranged downloads: each range is fetched in the task that holds it, and files
+are put together in the store from the rows of their ranges."""
 
 from __future__ import annotations
 
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +66,43 @@ def fetch(probed: DataFrame, connections: int = 30, tries: int = TRIES) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([part], pa.int64()), pa.array([start], pa.int64()), pa.array([body], pa.binary())], names=["url", "part", "start", "content"])
 
     return many.unionByName(one).mapInArrow(run, "url string, part long, start long, content binary")
+
+
+def save(parts: DataFrame, names: DataFrame, folder: str) -> DataFrame:
+    """(url, path, size) of the files put together in ``folder``.
+
+    ``parts`` is what ``fetch`` gives, ``names`` has ``url, name``. The ranges of a
+    file meet in one task in their order and are written as they come, under a
+    temporary name that is moved when the file is whole; a task that runs again
+    replaces what it left. Missing ranges fail.
+    """
+    address = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    ordered = parts.join(names.select("url", "name"), "url").repartition("url").sortWithinPartitions("url", "part").select("url", "name", "start", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pyarrow.fs.FileSystem.from_uri(address)
+        system.create_dir(root, recursive=True)
+        held: tuple | None = None
+        size = 0
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if held is not None:
+                url, name, draft, stream = held
+                stream.close()
+                system.move(draft, f"{root}/{name}")
+                yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([f"{root}/{name}"]), pa.array([size], pa.int64())], names=["url", "path", "size"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                url, name, start, content = (c[row].as_py() for c in batch.columns)
+                if held is None or held[0] != url:
+                    yield from ended()
+                    draft, size = f"{root}/.{name}.{uuid.uuid4().hex}", 0
+                    held = url, name, draft, system.open_output_stream(draft)
+                if start != size:
+                    raise ValueError(f"{url}: a range is missing at {size}")
+                held[3].write(content)
+                size += len(content)
+        yield from ended()
+
+    return ordered.mapInArrow(run, "url string, path string, size long")

@@ -186,6 +186,23 @@ def test_ranged_download(spark):
         assert len(own) == n and b"".join(c for _, c in own) == content
 
 
+def test_ranges_are_put_together(spark, tmp_path):
+    from spanloom.sources.http import save
+
+    whole = {f"http://h/{i}": bytes(range(i, 256)) * 9 for i in range(3)}
+    rows = [(url, part, part * 700, body[part * 700 : part * 700 + 700]) for url, body in whole.items() for part in range(-(-len(body) // 700))]
+    parts = spark.createDataFrame(rows[::-1], "url string, part long, start long, content binary").repartition(3)
+    names = spark.createDataFrame([(url, f"t{url[-1]}.bw") for url in whole], "url string, name string")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "t1.bw").write_bytes(b"an older file")
+    got = {r["url"]: r["size"] for r in save(parts, names, str(tmp_path / "out")).collect()}
+    assert got == {url: len(body) for url, body in whole.items()}
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {f"t{url[-1]}.bw": body for url, body in whole.items()}
+    with pytest.raises(PySparkException):
+        save(parts.filter("part <> 1"), names, str(tmp_path / "gap")).collect()
+    assert not list((tmp_path / "gap").glob("t*"))
+
+
 def test_resumed_batches_add_nothing(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(40).repartition(4).write.parquet(source)
