@@ -62,7 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-_folders: dict[str, SparkSession] = {}
+#: Folders of tables with their session and its settings of file systems, which
+#: outlive the Spark context.
+_folders: dict[str, tuple] = {}
 
 
 def written(frame: DataFrame) -> DataFrame:
@@ -72,19 +74,31 @@ def written(frame: DataFrame) -> DataFrame:
     when the driver's interpreter ends, or by ``clear_written`` before."""
     spark = frame.sparkSession
     folder = f"{checkpoint_dir(spark)}/spanloom-{spark.sparkContext.applicationId}"
-    _folders[folder] = spark
+    _folders[folder] = spark, spark._jsc.hadoopConfiguration()
     path = f"{folder}/{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str, settings=None) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(settings or spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of ``written`` that no frame still in use reads."""
+    for frame in frames:
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            if "/spanloom-" in folder:
+                _delete(frame.sparkSession, folder)
+
+
 @atexit.register
 def clear_written() -> None:
     """Delete all tables of ``written``; frames that read them are no longer of use."""
     while _folders:
-        folder, spark = _folders.popitem()
+        folder, (spark, settings) = _folders.popitem()
         try:
-            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            place.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
+            _delete(spark, folder, settings)
         except Exception:  # the virtual machine is gone, and with it the way to the files
             return
