@@ -55,7 +55,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     and ``edit`` set the text of their turn, ``regenerate`` empties it, ``delta``
     adds to it. An edit or regeneration also withdraws every later turn that was
     written before it. The role is that of the turn's first live event that has
-    one. Null texts and roles are empty; a null kind counts as ``message``;
+    one, else that of its last event with one. Null texts and roles are empty; a null kind counts as ``message``;
     events of one ``seq`` apply in the order of kind (``delta`` last) and text.
     Null conversations, turns and sequence numbers are values of their own, the
     lowest. Repeated events apply again. Further columns are ignored.
@@ -69,21 +69,21 @@ def fold_events(events: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     # The last reset of each turn, carried on to all later turns: one row a turn.
-    resets = e.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))).alias("own"), F.max(F.when(F.col("kind").isin("message", "edit", "regenerate"), F.struct("seq", F.col("kind") != "message"))).alias("starts"))
+    resets = e.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))).alias("own"), F.max(F.when(F.col("kind").isin("message", "edit", "regenerate"), F.struct("seq", F.col("kind") != "message"))).alias("starts"), F.max(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).alias("named"))
     later = W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
     limits = resets.select(
-        F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.coalesce(F.max("own").over(later), F.lit(-(2**63))).alias("withdrawn"), F.coalesce(F.col("starts.seq"), F.lit(-(2**63))).alias("start")
+        F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.coalesce(F.max("own").over(later), F.lit(-(2**63))).alias("withdrawn"), F.coalesce(F.col("starts.seq"), F.lit(-(2**63))).alias("start"), F.col("named.role").alias("known")
     )
     joined = e.join(limits, e.conv_id.eqNullSafe(F.col("c")) & e.turn.eqNullSafe(F.col("t")))
     live = joined.filter((F.col("seq") >= F.col("withdrawn")) & (F.col("seq") >= F.col("start")))
     step = F.struct("seq", (F.col("kind") == "delta").alias("adds"), (F.col("kind") != "message").alias("after"), F.col("text"), F.col("role"), F.col("kind"))
-    gathered = live.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    gathered = live.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(step)).alias("steps"), F.max("known").alias("known"))
     text = F.aggregate(
         "steps",
         F.lit(""),
         lambda done, s: F.when(s["kind"] == "delta", F.concat(done, s["text"])).when(s["kind"] == "regenerate", F.lit("")).otherwise(s["text"]),
     )
-    role = F.coalesce(F.get(F.filter(F.transform("steps", lambda s: s["role"]), lambda r: r.isNotNull()), F.lit(0)), F.lit(""))
+    role = F.coalesce(F.get(F.filter(F.transform("steps", lambda s: s["role"]), lambda r: r.isNotNull()), F.lit(0)), F.col("known"), F.lit(""))
     return gathered.select("conv_id", "turn", role.alias("role"), text.alias("text"))
 
 

@@ -47,9 +47,19 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame(OWN_CONVERSATION, "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
-    # Every row is a message of its own, also where turns are repeated.
+    # Every row is a turn of its own, also where turns are repeated. Its log is what
+    # a client would have streamed: a draft, an edit (or, of an assistant, a
+    # regeneration), and the text in pieces.
     place = F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
-    events = rows.select("conv_id", place.alias("turn"), place.alias("seq"), "role", F.lit("message").alias("kind"), "text")
+    half = F.floor(F.length("text") / 2).cast("int")
+    first, rest = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text"))
+    event = lambda n, kind, text: F.struct(F.lit(n).alias("n"), F.lit(kind).alias("kind"), text.alias("text"))
+    draft = event(0, "message", F.lit("draft"))
+    edited = F.array(draft, event(1, "edit", first), event(2, "delta", rest))
+    drawn_again = F.array(draft, event(1, "regenerate", F.lit(None).cast("string")), event(2, "delta", first), event(3, "delta", rest))
+    placed = rows.select("conv_id", place.alias("turn"), "role", "text")
+    streamed = placed.select("conv_id", "turn", "role", F.explode(F.when(F.col("role") == "assistant", drawn_again).otherwise(edited)).alias("e"))
+    events = streamed.select("conv_id", "turn", (F.col("turn") * 4 + F.col("e.n")).alias("seq"), F.when(F.col("e.n") == 0, F.col("role")).alias("role"), "e.kind", "e.text")
     formatted = format_conversations(fold_events(events))
     return formatted.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

@@ -181,7 +181,7 @@ def test_lines_count_documents_not_rows(spark):
 
 def test_very_long_texts_of_lines_and_licenses(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
-    notice = L.TEMPLATES[0][1]
+    notice = "Licensed under the MIT License."
     docs = spark.createDataFrame([(1, f"{long} {notice} {long}", "h"), (2, "\n".join(f"l{i}" for i in range(200_000)), "h")], DOCS)
     got = {r["doc_id"]: r for r in line_frequency_rules(docs, cleaned=False).collect()}
     assert (got[1]["n_words"], got[1]["n_repeat_words"]) == (400_000 + len(notice.split()), 400_000)
@@ -189,6 +189,14 @@ def test_very_long_texts_of_lines_and_licenses(spark):
     assert [(r["doc_id"], r["license"]) for r in L.scan_licenses(docs).collect()] == [(1, "MIT")]
 
 
+def test_whole_licenses_are_told_apart(spark):
+    texts = [L.MIT, L.ISC, f"{L.BSD_TWO} {L.BSD_END}", f"{L.BSD_TWO} {L.BSD_THIRD} {L.BSD_END}", L.UNLICENSE, L.MIT.replace("sell copies", "sell no copies").replace("TORT", "WRONG")]
+    docs = spark.createDataFrame([(i, f"Copyright 2020 A Person\n\n{t}\nend of it") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"]) for r in L.scan_licenses(docs).collect())
+    assert [x for x in got if x[0] < 5] == [(0, "MIT"), (1, "ISC"), (2, "BSD-2-Clause"), (3, "BSD-3-Clause"), (4, "Unlicense")]
+    assert (5, "MIT") in got
+
+
 def test_templates_of_a_folder(spark, tmp_path):
     (tmp_path / "Own-1.txt").write_text("you may use\nthis text as you like it")
     assert L.read_templates(spark, str(tmp_path)) == [("Own-1", "you may use\nthis text as you like it")]
@@ -209,7 +217,7 @@ def test_licenses_by_brute_force(spark):
     for i in range(len(texts)):
         hits = {n for n in range(len(L.TEMPLATES)) if share[i, n] >= 0.8}
         rival = lambda a, b: a != b and len(shingles(L.TEMPLATES[a][1]) & shingles(L.TEMPLATES[b][1])) >= 0.8 * len(shingles(L.TEMPLATES[a][1]))
-        want |= {(i, L.TEMPLATES[a][0]) for a in hits if not any(rival(a, b) and share[i, b] > share[i, a] for b in hits)}
+        want |= {(i, L.TEMPLATES[a][0]) for a in hits if not any(rival(a, b) and (share[i, b], len(shingles(L.TEMPLATES[b][1]))) > (share[i, a], len(shingles(L.TEMPLATES[a][1]))) for b in hits)}
     got = L.scan_licenses(docs).collect()
     assert {(r["doc_id"], r["license"]) for r in got} == want
     assert len(got) == len(want) and L.scan_licenses(docs.limit(0)).count() == 0
