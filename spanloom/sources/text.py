@@ -6,11 +6,16 @@ All reading is done by Spark's text reader, so paths may lie in any store and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import merge_large
 from spanloom.schemas import SHARD, TARGET_MANIFEST, TRACK
+from spanloom.session import written
 
 #: Chromosomes of the regions, in their order.
 CHROMS = (*(f"chr{n}" for n in range(1, 23)), "chrX", "chrY")
@@ -104,13 +109,55 @@ def read_expected_names(spark: SparkSession, path: str, contains: str = "/atac/c
 def read_fasta(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
     """(chrom, offset, seq) in chunks of at most ``chunk`` bases, as written.
 
-    Records are cut at ``>`` by the reader, so a large file is read in parallel.
+    Every split of a file is cut into chunks in its own task. A record that goes
+    on into the next split finds its name and offset there by the counts of the
+    splits before: a row for each split. Lines before the first header are left out.
     """
-    records = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
-    head = F.regexp_extract("value", r"^\s*(\S+)", 1)
-    body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*(\n|$)", ""), r"\s+", "")
-    pieces = records.select(head.alias("chrom"), F.posexplode(F.regexp_extract_all(body, F.lit(f"(.{{1,{chunk}}})"), F.lit(1))).alias("n", "seq"))
-    return pieces.select("chrom", (F.col("n").cast("long") * chunk).alias("offset"), "seq")
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(F.xxhash64(meta["file_path"]).alias("file"), meta["file_block_start"].alias("block"), "value")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, record, name, at, held, size = None, 0, None, 0, [], 0
+
+        def piece(seq: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in ((place[0], pa.int64()), (place[1], pa.int64()), (record, pa.int64()), (name, pa.string()), (at, pa.int64()), (seq, pa.string()))], names=["file", "block", "record", "name", "at", "seq"])
+
+        def rest() -> Iterator[pa.RecordBatch]:
+            if place is not None and (held or name is not None):
+                yield piece("".join(held))
+
+        for batch in batches:
+            for file, block, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if (file, block) != place:
+                    yield from rest()
+                    place, record, name, at, held, size = (file, block), 0, None, 0, [], 0
+                if line.startswith(">"):
+                    yield from rest()
+                    record, at, held, size = record + 1, 0, [], 0
+                    name = (line[1:].split() or [""])[0]
+                    continue
+                bare = "".join(line.split())
+                held.append(bare)
+                size += len(bare)
+                if size >= chunk:
+                    whole = "".join(held)
+                    for first in range(0, size - size % chunk, chunk):
+                        yield piece(whole[first : first + chunk])
+                        at += chunk
+                    held, size = [whole[size - size % chunk :]] if size % chunk else [], size % chunk
+        yield from rest()
+
+    pieces = written(lines.mapInArrow(cut, "file long, block long, record long, name string, at long, seq string"))
+    # What each split hands on: the name and length of its last record.
+    records = pieces.groupBy("file", "block", "record").agg(F.max("name").alias("name"), F.sum(F.length("seq")).alias("n"))
+    splits = records.groupBy("file", "block").agg(F.max_by("name", "record").alias("name"), F.max_by("n", "record").alias("n"))
+    along = W.partitionBy("file").orderBy("block")
+    named = splits.withColumn("group", F.count("name").over(along)).withColumn("sum", F.sum("n").over(W.partitionBy("file", "group").orderBy("block")))
+    given = named.select("file", "block", F.lag("sum", 1, 0).over(along).alias("base"), F.last("name", True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias("going_on"))
+    placed = pieces.join(given, ["file", "block"])
+    chrom = F.when(F.col("record") > 0, F.col("name")).otherwise(F.col("going_on"))
+    offset = F.col("at") + F.when(F.col("record") > 0, 0).otherwise(F.col("base"))
+    return placed.filter((F.col("seq") != "") & chrom.isNotNull()).select(chrom.alias("chrom"), offset.alias("offset"), "seq")
 
 
 def clean_runs(sequence: DataFrame) -> DataFrame:

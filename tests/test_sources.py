@@ -2,6 +2,7 @@ import gzip
 import http.server
 import json
 import os
+import random
 import struct
 import threading
 import zlib
@@ -61,6 +62,29 @@ def test_fasta_runs_cross_chunks(spark, tmp_path):
         text.window_sequences(windows.withColumn("end", F.lit(20).cast("long")), sequence).collect()
 
 
+def test_fasta_records_go_on_over_splits(spark, tmp_path):
+    rng = random.Random(6)
+    want = {}
+    for number in range(2):
+        lines = ["no header yet"]
+        for name, n in ((f"a{number}", 3000), (f"b{number}", 0), (f"c{number}", 17), (f"d{number}", 5000), (f"e{number}", 60)):
+            want[name] = "".join(rng.choice("ACGTNacgt") for _ in range(n))
+            lines += [f">{name} more words", *(want[name][i : i + 60] for i in range(0, n, 60)), ""]
+        (tmp_path / f"g{number}.fa").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for chunk in (64, 1000, 1 << 20):
+            got = {}
+            for r in sorted(text.read_fasta(spark, str(tmp_path), chunk).collect(), key=lambda r: (r["chrom"], r["offset"])):
+                assert 0 < len(r["seq"]) <= chunk and r["offset"] == len(got.get(r["chrom"], ""))
+                got[r["chrom"]] = got.get(r["chrom"], "") + r["seq"]
+            assert got == {k: v for k, v in want.items() if v}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_manifests_and_shards(spark, tmp_path):
     tsv = tmp_path / "t.txt"
     tsv.write_text("index\tidentifier\tfile\tclip\tclip_soft\tscale\tsum_stat\tstrand_pair\tdescription\n0\ta\t/x/atac/catlas/A.b.bw\t\t\t1\tmean\t0\td\n1\tb\tshort\n2\ta\t/x/atac/catlas/C.bw\t\t\t1\tmean\t0\td\n")
