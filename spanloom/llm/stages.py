@@ -1,5 +1,5 @@
 """Cut points of long jobs: tables in the cluster's shared folder."""
 
-from spanloom.session import written
+from spanloom.session import discard, written
 
-__all__ = ["written"]
+__all__ = ["discard", "written"]

@@ -23,6 +23,7 @@ windows mostly share one, so they travel as one short snippet.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ SHARD_WORDS = 100_000
 #: a shard of its own hash. The list of hot ones is broadcast and kept to a fixed
 #: size by a higher limit where there are more.
 HOT_DOCUMENTS, HOT_LIST = 20_000, 1_000_000
+#: Bytes of text for each bucket of minimisers, and for each four shards.
+BUCKET_BYTES = 4 << 20
 #: Bytes of text from which snippets are made distinct at once.
 SNIPPET_BYTES = 8 << 20
 NULL_ID = -(2**63)
@@ -148,18 +151,20 @@ class SuffixAutomaton:
 
 
 def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    """The id orders documents; a hash of id and text names a row."""
+    number, content = F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(NULL_ID)), F.col(f"`{text}`").cast("binary")
+    return docs.select(F.xxhash64(number, content).alias("row_key"), number.alias("doc_id"), content.alias("text"))
 
 
 def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(doc_id, anchor, n_docs) of minimisers that two documents or more have;
-    ``n_docs`` is null but for one row without ``doc_id`` for each hot one."""
+    """(row_key, anchor, n_docs) of minimisers that two rows or more have;
+    ``n_docs`` is null but for one row without ``row_key`` for each hot one."""
     limit = HOT_DOCUMENTS
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            ids = np.asarray(batch.column(0))
+            ids = np.asarray(batch.column("row_key"))
             for start, texts in text_slices(batch, "text"):
                 hashes, starts = words.of([raw.split() for raw in texts])
                 first, _, anchors = minimisers(hashes, starts, length)
@@ -210,14 +215,14 @@ def _shared_anchors(rows: DataFrame, length: int, buckets: int) -> DataFrame:
         docs = np.concatenate((o, join(owners, True, np.int64)))
         return pa.table(
             {
-                "doc_id": pa.concat_arrays([pa.array(docs), pa.nulls(len(hot), pa.int64())]),
+                "row_key": pa.concat_arrays([pa.array(docs), pa.nulls(len(hot), pa.int64())]),
                 "anchor": pa.array(found),
                 "n_docs": pa.concat_arrays([pa.nulls(len(docs), pa.int64()), pa.array(total, pa.int64())]),
             }
         )
 
     sent = rows.mapInArrow(send, "bucket long, anchors binary, owners binary, sizes binary, known boolean")
-    return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, anchor long, n_docs long")
+    return sent.groupBy("bucket").applyInArrow(meet, "row_key long, anchor long, n_docs long")
 
 
 def _hot_anchors(shared: DataFrame) -> np.ndarray:
@@ -231,12 +236,12 @@ def _hot_anchors(shared: DataFrame) -> np.ndarray:
 def _snippets(joined: DataFrame, length: int, shards: int, hot) -> DataFrame:
     """The snippets of shared minimisers: with ``shards``, each distinct one of a
     slice as (shard, key, doc_id, anchor, words), the smallest document named;
-    without, every one as (key, doc_id, first_window)."""
+    without, every one as (key, doc_id, row_key, first_window)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            ids, shared = np.asarray(batch.column(0)), batch.column(2)
+            ids, rows, shared = np.asarray(batch.column("doc_id")), np.asarray(batch.column("row_key")), batch.column("anchors")
             for start, texts in text_slices(batch, "text", SNIPPET_BYTES):
                 hashes, starts = words.of([raw.split() for raw in texts])
                 first, last, anchor = minimisers(hashes, starts, length)
@@ -255,7 +260,7 @@ def _snippets(joined: DataFrame, length: int, shards: int, hot) -> DataFrame:
                 keys, docs = snippet_keys(hashes, first, last, length), ids[start + owner]
                 anchor = np.where(apart, keys, anchor)
                 if not shards:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(docs), pa.array(first - starts[owner])], names=["key", "doc_id", "first_window"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(docs), pa.array(rows[start + owner]), pa.array(first - starts[owner])], names=["key", "doc_id", "row_key", "first_window"])
                     continue
                 order = np.lexsort((docs, keys))
                 order = order[np.concatenate(([True], keys[order][1:] != keys[order][:-1]))]
@@ -265,7 +270,7 @@ def _snippets(joined: DataFrame, length: int, shards: int, hot) -> DataFrame:
                 content = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer((hashes[flat] >> np.uint64(32)).astype(np.uint32))])
                 yield pa.RecordBatch.from_arrays([pa.array(((anchor[order] >> np.uint64(8)) % np.uint64(shards)).astype(np.int64)), pa.array(keys[order].astype(np.int64)), pa.array(docs[order]), pa.array(anchor[order].astype(np.int64)), content], names=["shard", "key", "doc_id", "anchor", "words"])
 
-    return joined.mapInArrow(run, "shard long, key long, doc_id long, anchor long, words binary" if shards else "key long, doc_id long, first_window long")
+    return joined.mapInArrow(run, "shard long, key long, doc_id long, anchor long, words binary" if shards else "key long, doc_id long, row_key long, first_window long")
 
 
 def _first_documents(snippets: DataFrame, length: int) -> DataFrame:
@@ -313,24 +318,27 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", l
     Words are runs of ``[^\\x20\\x09-\\x0D]``, unchanged; kept words are joined by
     one space. Windows are judged on the input. Null and empty texts have no
     words; texts under ``length`` words lose none; rows that repeat a ``doc_id``
-    are the same document, so neither is before the other; a null ``doc_id`` is
-    smaller than any other. Further columns are ignored.
+    are the same document, so neither is before the other, and each is judged by
+    its own text; a null ``doc_id`` is smaller than any other. An empty table
+    gives no row. Further columns are ignored.
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _rows(docs, id, text)
-    found = written(_shared_anchors(rows, length, 2 * tasks))
+    # What a bucket and a shard hold is bounded by bytes of text, at every size.
+    pieces = math.ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BUCKET_BYTES)
+    found = written(_shared_anchors(rows, length, max(2 * tasks, pieces)))
     hot = spark.sparkContext.broadcast(_hot_anchors(found))
-    shared = found.filter(F.col("n_docs").isNull()).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    joined = rows.join(shared, "doc_id").select("doc_id", "text", "anchors")
-    firsts = _first_documents(_snippets(joined, length, 4 * tasks, hot), length)
+    shared = found.filter(F.col("n_docs").isNull()).groupBy("row_key").agg(F.collect_set("anchor").alias("anchors"))
+    joined = rows.join(shared, "row_key").select("row_key", "doc_id", "text", "anchors")
+    firsts = _first_documents(_snippets(joined, length, max(4 * tasks, 4 * pieces), hot), length)
     answers = (
         _snippets(joined, length, 0, hot)
         .join(firsts, "key")
-        .select("doc_id", "first_window", F.filter(F.transform("firsts", lambda d, i: F.when(d < F.col("doc_id"), i)), lambda i: i.isNotNull()).alias("gone"))
+        .select("doc_id", "row_key", "first_window", F.filter(F.transform("firsts", lambda d, i: F.when(d < F.col("doc_id"), i)), lambda i: i.isNotNull()).alias("gone"))
         .filter(F.size("gone") > 0)
-        .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list(F.transform("gone", lambda i: F.col("first_window") + i))).alias("windows"))
+        .groupBy("row_key")
+        .agg(F.flatten(F.collect_set(F.transform("gone", lambda i: F.col("first_window") + i))).alias("windows"))
     )
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,5 +364,5 @@ def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", l
                     kept.append(b" ".join(left if gone.is_valid else words))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    out = rows.join(answers, "doc_id", "left").select("doc_id", "text", "windows").mapInArrow(rewrite, "doc_id long, n_words long, n_removed long, kept binary")
+    out = rows.join(answers, "row_key", "left").select("doc_id", "text", "windows").mapInArrow(rewrite, "doc_id long, n_words long, n_removed long, kept binary")
     return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"))
