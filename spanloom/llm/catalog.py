@@ -19,6 +19,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat_format": reference_sql.OP1,
     "op3_line_frequency": reference_sql.OP3,
+    "op6_spaced_seeds": reference_sql.OP6,
     "op7_jaccard_forest": reference_sql.OP7,
     "op8_suffix_automata": reference_sql.OP8,
     "op10_license_scan": reference_sql.OP10,

@@ -86,8 +86,27 @@ OP10 = rf"""
 with t as (select template, license, {_SCANNED} as w from (values {_LICENSES}) v(template, license, text)),
 ts as (select template, license, len({_SHINGLES}) as n, unnest({_SHINGLES}) as s from t),
 ds as (select doc_id, unnest({_SHINGLES}) as s from (select doc_id, {_SCANNED} as w from documents)),
-found as (select doc_id, template, license, round(count(distinct s) / n, 6) as containment from ds join ts using (s) group by doc_id, template, license, n having round(count(distinct s) / n, 6) >= 0.8),
+found as (select doc_id, template, license, n, round(count(distinct s) / n, 6) as containment from ds join ts using (s) group by doc_id, template, license, n having round(count(distinct s) / n, 6) >= 0.8),
 rivals as (select a.template, b.template as rival from ts a join ts b on a.s = b.s and a.template <> b.template group by a.template, b.template, a.n having count(*) >= 0.8 * a.n),
-best as (select * from found f where not exists (select 1 from rivals r join found g on g.template = r.rival and g.doc_id = f.doc_id where r.template = f.template and g.containment > f.containment))
+best as (select * from found f where not exists (select 1 from rivals r join found g on g.template = r.rival and g.doc_id = f.doc_id where r.template = f.template and (g.containment > f.containment or g.containment = f.containment and g.n > f.n)))
 select doc_id, license, count(*) as n_templates, max(containment) as containment from best group by doc_id, license
 """
+
+_FOLDED = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+OP6 = rf"""
+with d as (select doc_id, {_FOLDED} as w from documents), b as (select item_id, {_FOLDED} as w from benchmark),
+dw as (select doc_id, len(w) as doc_size, unnest(w) as word, unnest(range(len(w))) as i from d),
+bw as (select item_id, len(w) as item_size, least(13, len(w)) as size, case when len(w) >= 13 then 2 else 2 * len(w) // 13 end as allowed, unnest(w) as word, unnest(range(len(w))) as j from b),
+m as (select doc_id, item_id, i - j as shift, i, size, allowed, greatest(i - j, 0) as low, least(doc_size, i - j + item_size) as high from dw join bw using (word)),
+close as (select doc_id, item_id, shift from m group by all having count(*) >= any_value(size - allowed)),
+same as (select m.* from m join close using (doc_id, item_id, shift)),
+windows as (
+  select doc_id, item_id, shift, any_value(size) as size, i - k as start from same, range(0, 13) r(k)
+  where k < size and i - k >= low and i - k + size <= high group by doc_id, item_id, shift, i - k having count(*) >= any_value(size - allowed)),
+covered as (select distinct doc_id, item_id, shift, start + k as i from windows, range(0, 13) r(k) where k < size),
+found as (
+  select c.doc_id, c.item_id, c.shift, min(c.i) as first_word, count(*) as n_words, count(s.i) as n_same
+  from covered c left join same s on s.doc_id = c.doc_id and s.item_id = c.item_id and s.shift = c.shift and s.i = c.i group by c.doc_id, c.item_id, c.shift),
+best as (select *, row_number() over (partition by doc_id, item_id order by n_same desc, first_word, shift) as k from found)
+select doc_id, item_id, first_word, n_words, n_same from best where k = 1
+"""
