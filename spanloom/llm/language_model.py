@@ -27,6 +27,7 @@ pair or word, the sweep and the model before it.
 from __future__ import annotations
 
 import gc
+import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,21 +35,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.arrays import mixed, text_slices
-from spanloom.llm.stages import written
+from spanloom.llm.stages import discard, written
 
-BLOCK_BYTES = 16 << 20
+#: Bytes of text of a block; a task holds some twenty times as much at once.
+BLOCK_BYTES = 12 << 20
+#: Bytes of text for each bucket of words and pairs.
+BUCKET_BYTES = 8 << 20
 #: Symbols of the spelling: 256 bytes and one for "outside" (start, end of word).
 OUT, SYMBOLS = 256, 257
 SPELL_DISCOUNT, SPELL_STRENGTH, WORD_STRENGTH, PAIR_STRENGTH = 0.5, 1.0, 10.0, 1.0
 #: Contexts with this many tokens, and one in ``HOT_SHARE`` of all, are cut up.
 HOT_TOKENS, HOT_SHARE = 1 << 16, 4096
 #: Sweeps in all, and those left out of the averages.
-SWEEPS, BURN_IN = 3, 1
-#: Customers seated one by one; later ones in groups that grow by a tenth.
+SWEEPS, BURN_IN = 4, 2
+#: Customers seated one by one (31 at most); later ones in growing groups.
 SINGLE = 24
 
 
@@ -68,26 +73,45 @@ def uniform(keys: np.ndarray, *salt: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) / 2**53
 
 
-def seat(counts: np.ndarray, new_mass: np.ndarray, discount: float, keys: np.ndarray, sweep: int) -> np.ndarray:
-    """Tables of each dish after its ``counts`` customers sat down.
+def seat(counts: np.ndarray, new_mass: np.ndarray, discount: float, keys: np.ndarray, sweep: int, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(tables, openings) of each dish after its ``counts`` customers sat down;
+    ``openings`` has a bit for each of the first customers that opened a table.
 
-    The first opens a table; a later one opens another with probability
-    ``new_mass / (new_mass + seated - discount * tables)``. Past ``SINGLE``
-    customers a group takes the probability at its start.
+    The seating of a dish with ``SINGLE`` customers or fewer is a Metropolis step
+    on that of the ``last`` sweep. The proposal seats them one by one, a new
+    table with probability ``m / (m + seated - discount * tables)``, ``m`` being
+    ``new_mass``. A seating's weight given the other dishes is ``m`` for each new
+    table and ``seated - discount * tables`` for each other customer, so weight
+    over proposal is the product of ``m + seated - discount * tables``, and the
+    ratio of these products accepts it. The step leaves the distribution of Gibbs
+    sampling by single customers as it is. Further customers of a dish are drawn
+    in groups that grow by a tenth, with the probability at the group's start.
     """
     tables = np.minimum(counts, 1).astype(np.float64)
+    openings = np.zeros(len(counts), np.uint32)
+    before = tables.copy()
+    gain = np.ones(len(counts))
     live = np.flatnonzero(counts > 1)
     seated, step = 1, 0
     while len(live):
         size = 1 if seated < SINGLE else max(1, seated // 10)
         group = np.minimum(size, counts[live] - seated)
-        t = tables[live]
-        chance = new_mass[live] / (new_mass[live] + seated - discount * t)
-        tables[live] = t + np.floor(group * chance + uniform(keys[live], sweep, step))
+        t, m = tables[live], new_mass[live]
+        whole = m + seated - discount * t
+        opened = np.floor(group * m / whole + uniform(keys[live], sweep, step))
+        tables[live] = t + opened
+        if seated < SINGLE:
+            openings[live] |= opened.astype(np.uint32) << np.uint32(seated)
+            if last is not None:
+                gain[live] *= whole / (m + seated - discount * before[live])
+                before[live] += last[live] >> np.uint32(seated) & np.uint32(1)
         seated += size
         step += 1
         live = live[counts[live] > seated]
-    return np.minimum(tables, counts)
+    if last is not None:
+        stays = (counts <= SINGLE) & (uniform(keys, sweep, -1) >= gain)
+        tables[stays], openings[stays] = before[stays], last[stays]
+    return np.minimum(tables, counts), openings
 
 
 @dataclass
@@ -143,7 +167,7 @@ def spelling_sweep(cells: np.ndarray, counts: np.ndarray, last: Spelling, sweep:
     two = np.zeros((len(seen), SYMBOLS))
     tables2 = np.zeros_like(two)
     rough = np.bincount(at, np.minimum(counts, 1), len(seen))
-    tables2[at, symbol] = seat(counts, (strength + d * rough[at]) * last.one[context % SYMBOLS, symbol], d, keys, sweep)
+    tables2[at, symbol] = seat(counts, (strength + d * rough[at]) * last.one[context % SYMBOLS, symbol], d, keys, sweep)[0]
     two[at, symbol] = counts
     one = np.zeros((SYMBOLS, SYMBOLS))
     np.add.at(one, seen % SYMBOLS, tables2)
@@ -151,7 +175,7 @@ def spelling_sweep(cells: np.ndarray, counts: np.ndarray, last: Spelling, sweep:
     below = np.full(SYMBOLS, 1 / SYMBOLS)
     tables1 = np.zeros(SYMBOLS * SYMBOLS)
     open1 = (one > 0).sum(axis=1)[flat // SYMBOLS]
-    tables1[flat] = seat(one.ravel()[flat].astype(np.int64), (strength + d * open1) * below[flat % SYMBOLS], d, mixed(flat.astype(np.uint64) + np.uint64(1 << 40)), sweep)
+    tables1[flat] = seat(one.ravel()[flat].astype(np.int64), (strength + d * open1) * below[flat % SYMBOLS], d, mixed(flat.astype(np.uint64) + np.uint64(1 << 40)), sweep)[0]
     tables1 = tables1.reshape(SYMBOLS, SYMBOLS)
     none = tables1.sum(axis=0)
     tables0 = np.minimum(none, 1)
@@ -191,23 +215,37 @@ class Known:
 
     def seated(self, states: list[State]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(tables of pairs, customers of words, tables of words) by sweep."""
-        customers, tables = self.totals, np.minimum(self.totals, 1).astype(np.float64)
+        customers, tables, seating = self.totals, np.minimum(self.totals, 1).astype(np.float64), None
         for sweep, state in enumerate(states):
             spelled = 10.0 ** state.spelling.log10(self.words, self.lengths)
             new_mass = (WORD_STRENGTH + state.discount * state.tables) * spelled
             p = (customers - state.discount * tables + new_mass) / (WORD_STRENGTH + state.customers)
-            pairs = seat(self.counts, (PAIR_STRENGTH + state.pair_discount * self.types) * p[self.at], state.pair_discount, self.keys, sweep)
+            pairs, seating = seat(self.counts, (PAIR_STRENGTH + state.pair_discount * self.types) * p[self.at], state.pair_discount, self.keys, sweep, seating)
             customers = self.totals - np.bincount(self.at, self.counts - pairs, len(self.totals)).astype(np.int64)
-            tables = seat(customers, new_mass, state.discount, self.hashes, sweep)
+            tables, _ = seat(customers, new_mass, state.discount, self.hashes, sweep)
             yield pairs, customers, tables
 
 
+def packed(values: np.ndarray | bytes) -> bytes:
+    """Compressed, all first bytes of the numbers before all second ones."""
+    if isinstance(values, np.ndarray):
+        values = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+    return zstandard.compress(values, 1)
+
+
+def unpacked(raw: bytes, kind: type = np.float64) -> np.ndarray:
+    whole = np.frombuffer(zstandard.decompress(raw) if raw else b"", np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(whole.reshape(size, -1).T).reshape(-1).view(kind)
+
+
 def _joined(words: list[bytes]) -> tuple[bytes, np.ndarray]:
     return b"".join(words), np.fromiter(map(len, words), np.uint32, len(words))
 
 
 def _split(words: bytes, lengths: np.ndarray) -> list[bytes]:
     ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    words = unpacked(words, np.uint8).tobytes()
     return [words[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -236,7 +274,7 @@ def _blocks(docs: DataFrame, id: str, text: str, learn: Column) -> DataFrame:
                 counts = np.bincount(flat[mask], minlength=len(codes)).astype(np.uint32)
                 words, lengths = _joined(list(codes))
                 values = (ids[start : start + len(texts)], learns[start : start + len(texts)], sizes, flat, words, lengths, counts)
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *[pa.array([v if isinstance(v, bytes) else v.tobytes()], pa.binary()) for v in values]], names=["block", "ids", "learns", "sizes", "codes", "words", "lengths", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in values]], names=["block", "ids", "learns", "sizes", "codes", "words", "lengths", "counts"])
 
     return rows.mapInArrow(run, BLOCK_SCHEMA)
 
@@ -253,7 +291,7 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, words, lengths, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                lengths, counts = np.frombuffer(lengths, np.uint32), np.frombuffer(counts, np.uint32)
+                lengths, counts = unpacked(lengths, np.uint32), unpacked(counts, np.uint32)
                 listed = _split(words, lengths)
                 hashes = _hashes(listed)
                 bucket = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -262,21 +300,21 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
                 for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
                     if y > x:
                         own = order[x:y]
-                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([block], pa.int64()), *[pa.array([v], pa.binary()) for v in (hashes[own].tobytes(), counts[own].tobytes(), b"".join([listed[i] for i in own]), lengths[own].tobytes())]], names=["bucket", "block", "hashes", "counts", "words", "lengths"])
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([block], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in (hashes[own], counts[own], b"".join([listed[i] for i in own]), lengths[own])]], names=["bucket", "block", "hashes", "counts", "words", "lengths"])
 
     def meet(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        hashes = [unpacked(x, np.uint64) for x in table.column("hashes").to_pylist()]
         found, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()])
+        counts = np.concatenate([unpacked(x, np.uint32) for x in table.column("counts").to_pylist()])
         totals = np.bincount(inverse, counts, len(found)).astype(np.int64)
         cuts = np.cumsum([0, *map(len, hashes)])
-        lengths = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("lengths").to_pylist()])
-        whole = b"".join(table.column("words").to_pylist())
+        lengths = np.concatenate([unpacked(x, np.uint32) for x in table.column("lengths").to_pylist()])
+        whole = b"".join([unpacked(x, np.uint8).tobytes() for x in table.column("words").to_pylist()])
         ends = np.cumsum(lengths, dtype=np.int64)
         known = np.flatnonzero(totals > 0)
         place = np.full(len(found), -1, np.int32)
         place[known] = np.arange(len(known))
-        answers = [place[inverse[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        answers = [packed(place[inverse[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
         at = first[known]
         vocabulary = b"".join([whole[a:b] for a, b in zip((ends[at] - lengths[at]).tolist(), ends[at].tolist())])
         bucket = table.column("bucket")[0].as_py()
@@ -286,9 +324,9 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
                 "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
                 "bucket": pa.array([bucket] * (n + 1), pa.int64()),
                 "at": pa.array([*answers, None], pa.binary()),
-                "totals": pa.array([None] * n + [totals[known].tobytes()], pa.binary()),
-                "words": pa.array([None] * n + [vocabulary], pa.binary()),
-                "lengths": pa.array([None] * n + [lengths[at].tobytes()], pa.binary()),
+                "totals": pa.array([None] * n + [packed(totals[known])], pa.binary()),
+                "words": pa.array([None] * n + [packed(vocabulary)], pa.binary()),
+                "lengths": pa.array([None] * n + [packed(lengths[at])], pa.binary()),
             }
         )
 
@@ -302,7 +340,7 @@ def _totals(vocabulary: DataFrame) -> tuple[int, int, int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for totals in batch.column(0).to_pylist():
-                n = np.frombuffer(totals, np.int64)
+                n = unpacked(totals, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (n.sum(), len(n), (n == 1).sum(), (n == 2).sum())], names=["n", "v", "once", "twice"])
 
     row = vocabulary.select("totals").mapInArrow(run, "n long, v long, once long, twice long").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once", "twice")]).first()
@@ -316,10 +354,10 @@ def _frequent(vocabulary: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for totals, words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-                counts = np.frombuffer(totals, np.int64)
+                counts = unpacked(totals, np.int64)
                 hot = np.flatnonzero(counts >= least)
                 if len(hot):
-                    listed = _split(words, np.frombuffer(lengths, np.uint32))
+                    listed = _split(words, unpacked(lengths, np.uint32))
                     yield pa.RecordBatch.from_arrays([pa.array(_hashes([listed[i] for i in hot]).astype(np.int64)), pa.array(counts[hot])], names=["word", "n"])
 
     rows = vocabulary.select("totals", "words", "lengths").mapInArrow(run, "word long, n long").toArrow()
@@ -354,19 +392,32 @@ class Pairs:
     def of(cls, codes: np.ndarray, hashes: np.ndarray, buckets: int, hot: np.ndarray, parts: np.ndarray) -> Pairs:
         # Texts end with code 0, so the token before a first word is that end.
         by_hash = np.argsort(hashes)
-        rank = np.empty(len(hashes), np.int64)
-        rank[by_hash] = np.arange(len(hashes))
-        ranks = rank[codes]
-        keys, inverse = np.unique(np.concatenate((rank[:1], ranks[:-1])) << 32 | ranks, return_inverse=True)
-        context, follower = by_hash[keys >> 32], by_hash[keys & 0xFFFFFFFF]
+        rank = np.empty(len(hashes), np.uint64)
+        rank[by_hash] = np.arange(len(hashes), dtype=np.uint64)
+        keys = rank[codes]
+        keys[1:] |= keys[:-1] << np.uint64(32)
+        keys[:1] |= rank[:1] << np.uint64(32)
+        inverse, keys = _numbered(keys)
+        context, follower = by_hash[(keys >> np.uint64(32)).astype(np.int64)], by_hash[(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)]
         split = _looked_up(hot, parts.astype(np.uint64), hashes, np.ones(len(hashes), np.uint64))[context]
         bucket = ((hashes[context] % np.uint64(buckets) + _pair_keys(hashes[context], hashes[follower]) % split) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        moved = np.empty(len(order), np.int64)
-        moved[order] = np.arange(len(order))
+        moved = np.empty(len(order), np.int32)
+        moved[order] = np.arange(len(order), dtype=np.int32)
         return cls(context[order], follower[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), moved[inverse])
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each key, distinct keys in order), with few arrays at a time."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    inverse = np.empty(len(keys), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return inverse, keys[new]
+
+
 def _heads(values: np.ndarray) -> np.ndarray:
     """Where runs of equal values start."""
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
@@ -382,20 +433,21 @@ def _meet_pairs(blocks: DataFrame, buckets: int, hot: np.ndarray, parts: np.ndar
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, learns, sizes, codes, words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-                hashes = _hashes(_split(words, np.frombuffer(lengths, np.uint32)))
-                pairs = Pairs.of(np.frombuffer(codes, np.uint32), hashes, buckets, *held.value)
-                mask = np.repeat(np.frombuffer(learns, bool), np.frombuffer(sizes, np.uint32))
+                hashes = _hashes(_split(words, unpacked(lengths, np.uint32)))
+                pairs = Pairs.of(unpacked(codes, np.uint32), hashes, buckets, *held.value)
+                mask = np.repeat(unpacked(learns, bool), unpacked(sizes, np.uint32))
                 counts = np.bincount(pairs.inverse[mask], minlength=len(pairs.context)).astype(np.uint32)
                 for b, (x, y) in enumerate(zip(pairs.cuts[:-1], pairs.cuts[1:])):
                     if y > x:
                         own = pairs.context[x:y]
                         heads = _heads(own)
-                        values = (hashes[own[heads]], np.diff(heads, append=y - x).astype(np.uint32), hashes[pairs.follower[x:y]], counts[x:y])
-                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([block], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in values]], names=["bucket", "block", "contexts", "degrees", "followers", "counts"])
+                        spelled, which = np.unique(hashes[pairs.follower[x:y]], return_inverse=True)
+                        values = (hashes[own[heads]], np.diff(heads, append=y - x).astype(np.uint32), spelled, which.astype(np.uint32), counts[x:y])
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([block], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in values]], names=["bucket", "block", "contexts", "degrees", "followers", "which", "counts"])
 
     def meet(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        given = read("followers", np.uint64)
+        read = lambda name, kind: [unpacked(x, kind) for x in table.column(name).to_pylist()]
+        given = [spelled[which] for spelled, which in zip(read("followers", np.uint64), read("which", np.uint32))]
         followers, degrees = np.concatenate(given), np.concatenate(read("degrees", np.uint32))
         names, which = np.unique(np.concatenate(read("contexts", np.uint64)), return_inverse=True)
         spelled, word = np.unique(followers, return_inverse=True)
@@ -411,14 +463,14 @@ def _meet_pairs(blocks: DataFrame, buckets: int, hot: np.ndarray, parts: np.ndar
             {
                 "block": pa.array([*(r[0] for r in rows), None], pa.int64()),
                 "bucket": pa.array([bucket] * (n + 1), pa.int64()),
-                "at": pa.array([*(r[1].tobytes() for r in rows), None], pa.binary()),
-                **{name: pa.array([None] * n + [v.tobytes()], pa.binary()) for name, v in zip(("contexts", "degrees", "types", "totals", "repeated", "followers"), store)},
+                "at": pa.array([*(packed(r[1]) for r in rows), None], pa.binary()),
+                **{name: pa.array([None] * n + [packed(v)], pa.binary()) for name, v in zip(("contexts", "degrees", "types", "totals", "repeated", "followers"), store)},
                 "once": pa.array([0] * n + [int((totals == 1).sum())], pa.int64()),
                 "twice": pa.array([0] * n + [int((totals == 2).sum())], pa.int64()),
             }
         )
 
-    sent = blocks.select("block", "learns", "sizes", "codes", "words", "lengths").mapInArrow(send, "bucket long, block long, contexts binary, degrees binary, followers binary, counts binary")
+    sent = blocks.select("block", "learns", "sizes", "codes", "words", "lengths").mapInArrow(send, "bucket long, block long, contexts binary, degrees binary, followers binary, which binary, counts binary")
     return sent.groupBy("bucket").applyInArrow(meet, PAIR_SCHEMA)
 
 
@@ -437,7 +489,7 @@ def _hot_types(store: DataFrame, hot: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for contexts, types in zip(*(c.to_pylist() for c in batch.columns)):
-                names, n = np.frombuffer(contexts, np.uint64), np.frombuffer(types, np.uint32)
+                names, n = unpacked(contexts, np.uint64), unpacked(types, np.uint32)
                 own = np.isin(names, held.value)
                 yield pa.RecordBatch.from_arrays([pa.array(names[own].astype(np.int64)), pa.array(n[own].astype(np.float64))], names=["word", "n"])
 
@@ -451,13 +503,13 @@ def _known(vocabulary: DataFrame, store: DataFrame, buckets: int, hot: np.ndarra
     """The vocabulary with the repeated pairs of its words, a row for a bucket;
     ``sources`` and ``places`` say where the pairs came from."""
     held = store.sparkSession.sparkContext.broadcast((hot, types))
-    names = ("contexts", "followers", "counts", "types", "places")
+    names, kinds = ("contexts", "followers", "counts", "types", "places"), (np.uint64, np.uint64, np.uint32, np.uint64, np.uint32)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for source, contexts, degrees, types, totals, repeated, followers in zip(*(c.to_pylist() for c in batch.columns)):
-                contexts, degrees, totals, repeated, followers = np.frombuffer(contexts, np.uint64), np.frombuffer(degrees, np.uint32), np.frombuffer(totals, np.uint32), np.frombuffer(repeated, np.uint32), np.frombuffer(followers, np.uint64)
-                types = _looked_up(*held.value, contexts, np.frombuffer(types, np.uint32).astype(np.float64))
+                contexts, degrees, totals, repeated, followers = unpacked(contexts, np.uint64), unpacked(degrees, np.uint32), unpacked(totals, np.uint32), unpacked(repeated, np.uint32), unpacked(followers, np.uint64)
+                types = _looked_up(*held.value, contexts, unpacked(types, np.uint32).astype(np.float64))
                 context = np.repeat(np.arange(len(contexts)), degrees)[repeated]
                 bucket = (followers % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -466,15 +518,15 @@ def _known(vocabulary: DataFrame, store: DataFrame, buckets: int, hot: np.ndarra
                     if y > x:
                         own = order[x:y]
                         values = (contexts[context[own]], followers[own], totals[repeated[own]], types[context[own]].astype(np.uint64), repeated[own])
-                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([source], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in values]], names=["bucket", "source", *names])
+                        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([source], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in values]], names=["bucket", "source", *names])
 
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next(r for r in rows if r["source"] is None)
         pairs = sorted((r for r in rows if r["source"] is not None), key=lambda r: r["source"])
         sources = np.array([r["source"] for r in pairs], np.int64)
-        sizes = np.array([len(r["places"]) // 4 for r in pairs], np.int64)
-        values = {"totals": own["totals"], "words": own["words"], "lengths": own["lengths"], **{n: b"".join([r[n] for r in pairs]) for n in names}, "sources": sources.tobytes(), "sizes": sizes.tobytes()}
+        sizes = np.array([len(unpacked(r["places"], np.uint32)) for r in pairs], np.int64)
+        values = {"totals": own["totals"], "words": own["words"], "lengths": own["lengths"], **{n: packed(np.concatenate([np.empty(0, k), *(unpacked(r[n], k) for r in pairs)])) for n, k in zip(names, kinds)}, "sources": packed(sources), "sizes": packed(sizes)}
         order = [f.split()[0] for f in KNOWN_SCHEMA.split(", ")[1:]]
         return pa.table({"bucket": pa.array([own["bucket"]], pa.int64()), **{n: pa.array([values[n]], pa.binary()) for n in order}})
 
@@ -486,11 +538,11 @@ def _known(vocabulary: DataFrame, store: DataFrame, buckets: int, hot: np.ndarra
 def _known_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Known]]:
     for batch in batches:
         for row in batch.to_pylist():
-            lengths, contexts, followers = np.frombuffer(row["lengths"], np.uint32), np.frombuffer(row["contexts"], np.uint64), np.frombuffer(row["followers"], np.uint64)
+            lengths, contexts, followers = unpacked(row["lengths"], np.uint32), unpacked(row["contexts"], np.uint64), unpacked(row["followers"], np.uint64)
             if len(lengths):
                 # Words are in the order of their hashes.
                 hashes = _hashes(_split(row["words"], lengths))
-                yield row, Known(np.frombuffer(row["totals"], np.int64), np.frombuffer(row["words"], np.uint8), lengths, hashes, np.searchsorted(hashes, followers), _pair_keys(contexts, followers), np.frombuffer(row["counts"], np.uint32).astype(np.int64), np.frombuffer(row["types"], np.uint64).astype(np.float64))
+                yield row, Known(unpacked(row["totals"], np.int64), unpacked(row["words"], np.uint8), lengths, hashes, np.searchsorted(hashes, followers), _pair_keys(contexts, followers), unpacked(row["counts"], np.uint32).astype(np.int64), unpacked(row["types"], np.uint64).astype(np.float64))
 
 
 def _known_mass(vocabulary: DataFrame, spellings: list[Spelling]) -> float:
@@ -500,7 +552,7 @@ def _known_mass(vocabulary: DataFrame, spellings: list[Spelling]) -> float:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-                flat, sizes = np.frombuffer(words, np.uint8), np.frombuffer(lengths, np.uint32)
+                flat, sizes = unpacked(words, np.uint8), unpacked(lengths, np.uint32)
                 yield pa.RecordBatch.from_arrays([pa.array([float(sum((10.0 ** s.log10(flat, sizes)).sum() for s in held.value) / len(held.value))])], names=["mass"])
 
     return vocabulary.select("words", "lengths").mapInArrow(run, "mass double").agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0]
@@ -547,12 +599,12 @@ def _settled(known: DataFrame, states: list[State], kept: list[int], new_table:
             total = np.mean([states[s + 1].customers for s in kept])
             spelled = np.mean([10.0 ** states[s + 1].spelling.log10(part.words, part.lengths) for s in kept], axis=0)
             p = (customers - states[0].discount * tables) / (WORD_STRENGTH + total) + new_table * spelled
-            yield rows(0, [row["bucket"]], [row["totals"]], [p.tobytes()], None, None)
-            sources, sizes, places = (np.frombuffer(row[c], k) for c, k in (("sources", np.int64), ("sizes", np.int64), ("places", np.uint32)))
+            yield rows(0, [row["bucket"]], [row["totals"]], [packed(p)], None, None)
+            sources, sizes, places = (unpacked(row[c], k) for c, k in (("sources", np.int64), ("sizes", np.int64), ("places", np.uint32)))
             cuts = np.cumsum([0, *sizes])
             if len(sources):
-                yield rows(1, sources.tolist(), [places[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], [pairs[x:y].astype(np.float32).tobytes() for x, y in zip(cuts[:-1], cuts[1:])], None, None)
-            contexts = np.frombuffer(row["contexts"], np.uint64)
+                yield rows(1, sources.tolist(), [packed(places[x:y]) for x, y in zip(cuts[:-1], cuts[1:])], [packed(pairs[x:y].astype(np.float32)) for x, y in zip(cuts[:-1], cuts[1:])], None, None)
+            contexts = unpacked(row["contexts"], np.uint64)
             own = np.isin(contexts, hot)
             names, inverse = np.unique(contexts[own], return_inverse=True)
             if len(names):
@@ -566,7 +618,7 @@ ANSWER_SCHEMA = "block long, kind int, bucket long, a binary, b binary"
 
 def _answered(kind: int, table: pa.Table, answers: list[tuple]) -> pa.Table:
     bucket = table.column("bucket")[0].as_py()
-    return pa.table({"block": pa.array([r[0] for r in answers], pa.int64()), "kind": pa.array([kind] * len(answers), pa.int32()), "bucket": pa.array([bucket] * len(answers), pa.int64()), **{c: pa.array([r[k].tobytes() for r in answers], pa.binary()) for k, c in ((1, "a"), (2, "b"))}})
+    return pa.table({"block": pa.array([r[0] for r in answers], pa.int64()), "kind": pa.array([kind] * len(answers), pa.int32()), "bucket": pa.array([bucket] * len(answers), pa.int64()), **{c: pa.array([packed(r[k]) for r in answers], pa.binary()) for k, c in ((1, "a"), (2, "b"))}})
 
 
 def _word_answers(met: DataFrame, settled: DataFrame, unseen: float) -> DataFrame:
@@ -575,8 +627,8 @@ def _word_answers(met: DataFrame, settled: DataFrame, unseen: float) -> DataFram
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next((r for r in rows if r["block"] is None), {"a": b"", "b": b""})
-        counts, p = np.append(np.frombuffer(own["a"], np.int64), 0), np.append(np.frombuffer(own["b"]), unseen)
-        answers = [(r["block"], np.frombuffer(r["at"], np.int32)) for r in rows if r["block"] is not None]
+        counts, p = np.append(unpacked(own["a"], np.int64), 0), np.append(unpacked(own["b"]), unseen)
+        answers = [(r["block"], unpacked(r["at"], np.int32)) for r in rows if r["block"] is not None]
         return _answered(0, table, [(block, counts[at], p[at]) for block, at in answers])
 
     asked = met.filter(F.col("block").isNotNull()).select("block", "bucket", "at")
@@ -591,18 +643,18 @@ def _pair_answers(pairs: DataFrame, settled: DataFrame, discount: float, types:
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next(r for r in rows if r["totals"] is not None)
-        contexts, degrees, totals = np.frombuffer(own["contexts"], np.uint64), np.frombuffer(own["degrees"], np.uint32), np.frombuffer(own["totals"], np.uint32)
+        contexts, degrees, totals = unpacked(own["contexts"], np.uint64), unpacked(own["degrees"], np.uint32), unpacked(own["totals"], np.uint32)
         tables = np.minimum(totals, 1).astype(np.float64)
         for r in rows:
             if r["a"] is not None:
-                tables[np.frombuffer(r["a"], np.uint32)] = np.frombuffer(r["b"], np.float32)
+                tables[unpacked(r["a"], np.uint32)] = unpacked(r["b"], np.float32)
         context = np.repeat(np.arange(len(contexts)), degrees)
         whole = _looked_up(*held.value, contexts, np.bincount(context, tables, len(contexts)))
         kept = (totals - discount * tables).astype(np.float32)
         answers = []
         for r in rows:
             if r["at"] is not None:
-                at = np.cumsum(np.frombuffer(r["at"], np.uint32), dtype=np.int64)
+                at = np.cumsum(unpacked(r["at"], np.uint32), dtype=np.int64)
                 answers.append((r["block"], kept[at], whole[context[at][_heads(context[at])]]))
         return _answered(1, table, answers)
 
@@ -628,7 +680,9 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lear
     learned row the spelling is uniform. Ids are taken as long.
     """
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # What a bucket holds is bounded by bytes of text, at every size.
+    volume = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(volume / BUCKET_BYTES))
     blocks = written(_blocks(docs, id, text, learn))
     met = written(_meet(blocks, buckets))
     vocabulary = met.filter(F.col("words").isNotNull())
@@ -655,7 +709,9 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lear
     settled = written(_settled(known, states, kept, new_table, hot))
     _released(spark)
     types = types + _hot_sums(settled.filter("kind = 2").select("word", "n"), hot)
-    answers = _word_answers(met, settled, unseen).unionByName(_pair_answers(pairs, settled, pair_discount, types, hot))
+    answers = written(_word_answers(met, settled, unseen).unionByName(_pair_answers(pairs, settled, pair_discount, types, hot)))
+    _released(spark)
+    discard(met, pairs, known, settled)  # what follows reads the blocks and their answers
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "a", "b")).alias("answers"))
     joined = blocks.join(answers, "block").select("ids", "sizes", "codes", "words", "lengths", "answers")
     cut = spark.sparkContext.broadcast((hot, parts))
@@ -664,11 +720,11 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lear
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, sizes, codes, words, lengths, given = (c[row].as_py() for c in batch.columns)
-                sizes, codes, lengths = np.frombuffer(sizes, np.uint32).astype(np.int64), np.frombuffer(codes, np.uint32), np.frombuffer(lengths, np.uint32)
+                sizes, codes, lengths = unpacked(sizes, np.uint32).astype(np.int64), unpacked(codes, np.uint32), unpacked(lengths, np.uint32)
                 hashes = _hashes(_split(words, lengths))
                 order = np.argsort((hashes % np.uint64(buckets)).astype(np.int64), kind="stable")
                 given.sort(key=lambda a: (a["kind"], a["bucket"]))
-                read = lambda kind, c, t: np.concatenate([np.frombuffer(a[c], t) for a in given if a["kind"] == kind])
+                read = lambda kind, c, t: np.concatenate([unpacked(a[c], t) for a in given if a["kind"] == kind])
                 counts, p = np.empty(len(hashes), np.int64), np.empty(len(hashes))
                 counts[order], p[order] = read(0, "a", np.int64), read(0, "b", np.float64)
                 base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
@@ -680,7 +736,7 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", lear
                 after = np.log10(np.maximum(after, 1e-300))
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 total = lambda x: np.add.reduceat(x, starts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, np.int64)), pa.array(sizes), pa.array(total((counts > 0)[codes].astype(np.int64))), pa.array(total(base[codes])), pa.array(total(after[own.inverse]))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(unpacked(ids, np.int64)), pa.array(sizes), pa.array(total((counts > 0)[codes].astype(np.int64))), pa.array(total(base[codes])), pa.array(total(after[own.inverse]))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     out = joined.mapInArrow(score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
