@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_automata": queries.op8_suffix_automata,
     "op9_bpe": queries.op9_bpe,
     "op10_license_scan": queries.op10_license_scan,
+    "op11_token_alignment": queries.op11_token_alignment,
 }
 ORACLE_SQL = {
     "op1_chat_format": reference_sql.OP1,

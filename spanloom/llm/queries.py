@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanloom.llm.alignment import align_tokenizers
 from spanloom.llm.bpe import encode_decode
 from spanloom.llm.chat import fold_events, format_conversations, read_back, unescape
 from spanloom.llm.decontaminate import find_overlaps
@@ -115,3 +116,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), *models, outputs=("groups_sha256",))
