@@ -16,6 +16,7 @@ QUERIES = {
     "op9_bpe": queries.op9_bpe,
     "op10_license_scan": queries.op10_license_scan,
     "op11_token_alignment": queries.op11_token_alignment,
+    "op12_lexical_search": queries.op12_lexical_search,
 }
 ORACLE_SQL = {
     "op1_chat_format": reference_sql.OP1,
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op7_jaccard_forest": reference_sql.OP7,
     "op8_suffix_automata": reference_sql.OP8,
     "op10_license_scan": reference_sql.OP10,
+    "op12_lexical_search": reference_sql.OP12,
 }

@@ -21,6 +21,7 @@ from spanloom.llm.line_rules import line_frequency_rules
 from spanloom.llm.near import near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.llm.quality import document_features, fit, remainder, score_documents
+from spanloom.llm.search import search_documents
 from spanloom.llm.substrings import remove_repeats
 from spanloom.session import table
 
@@ -121,3 +122,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return align_tokenizers(table(spark, sf_dir, "documents"), *models, outputs=("groups_sha256",))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

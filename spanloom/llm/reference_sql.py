@@ -110,3 +110,24 @@ found as (
 best as (select *, row_number() over (partition by doc_id, item_id order by n_same desc, first_word, shift) as k from found)
 select doc_id, item_id, first_word, n_words, n_same from best where k = 1
 """
+
+OP12 = r"""
+with d as (select row_number() over () as r, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+q as (select row_number() over () as i, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from benchmark),
+words as (select r, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+asked as (
+  select i, term, count(*) as k
+  from (select i, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from q) group by i, term),
+tf as (select r, term, count(*) as tf from words group by r, term),
+size as (select r, count(*) as n from words group by r),
+s as (select count(*) as docs, coalesce(sum(n), 0)::bigint as all_terms from size),
+w as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w from tf, s group by term),
+m as (select r, 75 + ((25 * n * docs) // all_terms) as m from size, s),
+scored as (
+  select i, r, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from asked join w using (term) join tf using (term) join m using (r) group by i, r),
+ranked as (
+  select item_id, row_number() over (partition by i order by score desc, doc_id nulls last)::integer as rank, doc_id, score
+  from scored join d using (r) join q using (i) where score > 0)
+select * from ranked where rank <= 20
+"""
