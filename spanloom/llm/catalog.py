@@ -17,6 +17,7 @@ QUERIES = {
     "op10_license_scan": queries.op10_license_scan,
     "op11_token_alignment": queries.op11_token_alignment,
     "op12_lexical_search": queries.op12_lexical_search,
+    "op13_secret_scan": queries.op13_secret_scan,
 }
 ORACLE_SQL = {
     "op1_chat_format": reference_sql.OP1,

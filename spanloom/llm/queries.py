@@ -22,6 +22,7 @@ from spanloom.llm.near import near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
 from spanloom.llm.quality import document_features, fit, remainder, score_documents
 from spanloom.llm.search import search_documents
+from spanloom.llm.secret_scan import scan_secrets
 from spanloom.llm.substrings import remove_repeats
 from spanloom.session import table
 
@@ -126,3 +127,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).drop("found")
