@@ -54,32 +54,52 @@ def window_signal(windows: DataFrame, signal: DataFrame, mask: DataFrame, bin_si
 
 def transformed(runs: DataFrame, tracks: DataFrame, limit: float = HALF_MAX, strict: bool = True) -> DataFrame:
     """Scaled, powered and capped values of runs; ``tracks`` has ``track_id,
-    factor, sum_stat``. ``capped`` marks the runs above the limit."""
+    factor, sum_stat``. ``uncapped`` is the value before the cap, and ``capped``
+    marks the runs above the limit."""
     value = transform_value(F.col("value").cast("float"), F.col("factor"), F.col("sum_stat"), strict)
-    joined = runs.join(tracks.select("track_id", "factor", "sum_stat"), "track_id").withColumn("value", value)
-    return joined.withColumn("capped", F.col("value") > limit).withColumn("value", guard_finite(cap(F.col("value"), limit)))
+    joined = runs.join(tracks.select("track_id", "factor", "sum_stat"), "track_id").withColumn("uncapped", value)
+    return joined.withColumn("capped", F.col("uncapped") > limit).withColumn("value", guard_finite(cap(F.col("uncapped"), limit)))
+
+
+def _extremes(low: Column, high: Column, covered: Column, bp: Column) -> tuple[Column, Column]:
+    """The extremes with the zeros between runs, where any position has none."""
+    gap = F.coalesce(covered, F.lit(0)) < bp
+    zero = F.lit(0.0).cast("float")
+    return F.when(gap, F.least(low, zero)).otherwise(low), F.when(gap, F.greatest(high, zero)).otherwise(high)
 
 
 def track_statistics(runs: DataFrame, window_bp: Column | int) -> DataFrame:
     """(track_id, capped_values, low, high): positions above the cap, and the
-    extremes with the zeros between runs counted in where any position has none."""
+    extremes before the cap."""
     bp = F.lit(window_bp) if isinstance(window_bp, int) else window_bp
     lengths = F.col("r_end") - F.col("r_start")
-    sums = runs.groupBy("track_id").agg(F.sum(F.when(F.col("capped"), lengths).otherwise(0)).alias("capped_values"), F.min("value").alias("low"), F.max("value").alias("high"), F.sum(lengths).alias("covered"))
-    gap = F.col("covered") < bp
-    return sums.select("track_id", "capped_values", F.when(gap, F.least("low", F.lit(0.0))).otherwise(F.col("low")).alias("low"), F.when(gap, F.greatest("high", F.lit(0.0))).otherwise(F.col("high")).alias("high"))
+    sums = runs.groupBy("track_id").agg(F.sum(F.when(F.col("capped"), lengths).otherwise(0)).alias("capped_values"), F.min("uncapped").alias("low"), F.max("uncapped").alias("high"), F.sum(lengths).alias("covered"))
+    low, high = _extremes(F.col("low"), F.col("high"), F.col("covered"), bp)
+    return sums.select("track_id", "capped_values", low.alias("low"), high.alias("high"))
 
 
-def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame) -> DataFrame:
+def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statistics: bool = False) -> DataFrame:
     """``(window_index, track_index, values array<float>)`` for every window and
     track, half-rounded; positions without a run are 0.
 
     The product of windows and tracks is the output's own size; runs join it on
-    their keys, and one row is one window of one track.
+    their keys, and one row is one window of one track. With ``statistics`` a row
+    also carries ``capped_values, low, high`` of its positions before the cap, so
+    they come out of the same pass over the signal.
     """
     pairs = windows.select("window_index", "start", "end").crossJoin(tracks.select("track_index", "track_id"))
-    own = runs.groupBy("window_index", "track_id").agg(F.collect_list("r_start").alias("starts"), F.collect_list("r_end").alias("ends"), F.collect_list(F.col("value").cast("float")).alias("levels"))
-    joined = pairs.join(own, ["window_index", "track_id"], "left").select("window_index", "track_index", "start", "end", "starts", "ends", "levels")
+    lengths = F.col("r_end") - F.col("r_start")
+    made = [F.collect_list("r_start").alias("starts"), F.collect_list("r_end").alias("ends"), F.collect_list(F.col("value").cast("float")).alias("levels")]
+    if statistics:
+        made += [F.sum(F.when(F.col("capped"), lengths).otherwise(0)).alias("capped_values"), F.min("uncapped").alias("low"), F.max("uncapped").alias("high"), F.sum(lengths).alias("covered")]
+    own = runs.groupBy("window_index", "track_id").agg(*made)
+    joined = pairs.join(own, ["window_index", "track_id"], "left")
+    further: list[str] = []
+    if statistics:
+        low, high = _extremes(F.col("low"), F.col("high"), F.col("covered"), F.col("end") - F.col("start"))
+        joined = joined.withColumns({"capped_values": F.coalesce("capped_values", F.lit(0).cast("long")), "low": low.cast("float"), "high": high.cast("float")})
+        further = ["capped_values", "low", "high"]
+    joined = joined.select("window_index", "track_index", "start", "end", "starts", "ends", "levels", *further)
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +120,11 @@ def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame) -> Dat
                 with np.errstate(over="ignore"):
                     half = values.astype(np.float16).astype(np.float32)
                 listed = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(half))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), listed], names=["window_index", "track_index", "values"])
+                kept = [batch.column(k).slice(first, last - first) for k in (0, 1, *range(7, batch.num_columns))]
+                yield pa.RecordBatch.from_arrays([*kept[:2], listed, *kept[2:]], names=["window_index", "track_index", "values", *further])
                 first = last
 
-    return joined.mapInArrow(fill, f"window_index {kinds['window_index']}, track_index {kinds['track_index']}, values array<float>")
+    return joined.mapInArrow(fill, ", ".join([f"window_index {kinds['window_index']}", f"track_index {kinds['track_index']}", "values array<float>", *[f"{c} {kinds[c]}" for c in further]]))
 
 
 def valid_masks(windows: DataFrame, mask: DataFrame) -> DataFrame:

@@ -85,6 +85,12 @@ def read_shard(spark: SparkSession, path: str, split: str, number: int | None =
     return found
 
 
+def read_shards(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """All shards of a manifest. With ``lines`` a column ``line`` grows along the file."""
+    rows = spark.read.schema(SHARD).option("mode", "FAILFAST").json(path)
+    return rows.withColumn("line", F.monotonically_increasing_id()) if lines else rows
+
+
 def read_target_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated target manifest with a header, numbered by its first column."""
     rows = spark.read.csv(path, sep="\t", header=True, schema=TARGET_MANIFEST, enforceSchema=False)
@@ -191,6 +197,6 @@ def read_bedgraph(spark: SparkSession, path: str) -> DataFrame:
 
 
 def present_files(spark: SparkSession, path: str) -> DataFrame:
-    """(name, length) of the files under ``path``; contents are not read."""
+    """(name, length, path) of the files under ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), "length")
+    return files.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), "length", "path")

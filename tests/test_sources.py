@@ -116,7 +116,7 @@ def test_sinks(spark, tmp_path):
     assert [json.loads(x) for p in (tmp_path / "j").glob("part-*") for x in p.read_text().splitlines()] == [{"a": None, "b": 1}]
 
 
-def write_bigwig(path, chroms, blocks, total):
+def write_bigwig(path, chroms, blocks, total, end=9):
     """A small little-endian file with one-level trees; blocks of bedGraph type."""
     key = max(map(len, chroms))
     tree = struct.pack("<IIIIQQ", bigwig.TREE_MAGIC, 8, key, 8, len(chroms), 0) + struct.pack("<BBH", 1, 0, len(chroms))
@@ -135,7 +135,7 @@ def write_bigwig(path, chroms, blocks, total):
     index_at = data_at + len(data)
     index = struct.pack("<IIQIIIIQII", bigwig.INDEX_MAGIC, 8, len(blocks), 0, 0, 9, 9, index_at, 1, 0) + struct.pack("<BBH", 1, 0, len(blocks))
     for number, offset, size in places:
-        index += struct.pack("<IIIIQQ", number, 0, number, 9, offset, size)
+        index += struct.pack("<IIIIQQ", number, 0, number, end, offset, size)
     head = struct.pack("<IHHQQQHHQQIQ", bigwig.MAGIC, 4, 0, tree_at, data_at, index_at, 0, 0, 0, 64, 4096, 0)
     path.write_bytes(head + struct.pack("<Qdddd", 1, 0, 0, total, 0) + tree + data + index)
 
@@ -148,7 +148,7 @@ def test_bigwig(spark, tmp_path):
     assert rows(bigwig.read_bigwig_totals(spark, str(tmp_path / "t1.bw"))) == [("t1", 12.5)]
     assert rows(bigwig.read_bigwig_sizes(spark, str(tmp_path / "t1.bw"))) == [("t1", "chr1", 500), ("t1", "chr22", 80)]
     assert rows(bigwig.readable_bigwigs(spark, str(tmp_path))) == [("t1", True), ("t2", False)]
-    assert dict(text.present_files(spark, str(tmp_path)).collect())["t2.bw"] == 126
+    assert {r["name"]: r["length"] for r in text.present_files(spark, str(tmp_path)).collect()}["t2.bw"] == 126
 
 
 def test_bigwig_by_ranges(spark, tmp_path):
@@ -166,7 +166,8 @@ def test_bigwig_by_ranges(spark, tmp_path):
     want = [r for r in whole if r[1] in regions and r[2] < regions[r[1]][1] and r[3] > regions[r[1]][0]]
     assert rows(bigwig.read_bigwig(spark, str(tmp_path), regions)) == want == rows(bigwig.read_bigwig(spark, str(tmp_path), regions, ranged=False))
     file = bigwig.BigWigFile(bigwig.RangedFile(str(tmp_path / "b.bw")))
-    assert len(list(file.blocks(file.extents(regions)))) == 8
+    sorted_regions = {c: ([a], [b]) for c, (a, b) in regions.items()}
+    assert len(list(file.entries(file.extents(sorted_regions)))) == 8
 
 
 def test_bedgraph(spark, tmp_path):
