@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import numeric as N
 from spanloom.functions import text as T
+from spanloom.operators import index as J
 from spanloom.operators import intervals as I
 from spanloom.operators import manifests as M
+from spanloom.operators import scan as X
 from spanloom.operators import signal as S
 from spanloom.operators import splits as P
 from spanloom.operators import status as Z
@@ -72,6 +74,19 @@ def union_merge(spark, sf):
     return I.union_merge(_spans(spark, sf, "click"), _spans(spark, sf, "purchase"), ["user_id"])
 
 
+@query(_merged_sql(SPANS))
+def merge_scan(spark, sf):
+    """The merge whose tasks hold stretches of sets, not whole sets."""
+    return X.merge_scanned(_spans(spark, sf).select("user_id", "start", "end"), ["user_id"])
+
+
+@query(_merged_sql(f"select event_type, start * 1000 + user_id as start, \"end\" * 1000 - 1799000 + user_id as \"end\" from ({SPANS})", "event_type"))
+def merge_few_sets(spark, sf):
+    """Five sets of many short intervals, spread over all tasks."""
+    spans = _spans(spark, sf).select("event_type", (F.col("start") * 1000 + F.col("user_id")).alias("start"), (F.col("end") * 1000 - 1_799_000 + F.col("user_id")).alias("end"))
+    return X.merge_scanned(spans, ["event_type"])
+
+
 HOURS = 7200
 WINDOWS_SQL = f"""
 with spans as ({SPANS}),
@@ -93,6 +108,13 @@ def overlap_bp(spark, sf):
     return _windows(spark, sf)
 
 
+@query(WINDOWS_SQL + " select * from o")
+def overlap_by_index(spark, sf):
+    """The same sums by binary search in the mask, without an exchange of windows."""
+    runs = _spans(spark, sf).groupBy("user_id").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return J.overlap_bp_by_index(I.tile(runs, HOURS, 3600), union_merge(spark, sf), ["user_id"], "bad_bp")
+
+
 @query(WINDOWS_SQL + f" select *, bad_bp / {HOURS} as bad_fraction from o where bad_bp < 0.5 * {HOURS}")
 def window_filter(spark, sf):
     return I.filter_by_overlap(_windows(spark, sf), 0.5, "bad_bp")
@@ -144,6 +166,15 @@ def mask_spans(spark, sf):
     return I.mask_spans(table(spark, sf, "events"), ["user_id"], "event_id", F.col("value") > 100)
 
 
+@query("""
+with p as (select user_id, event_id, value > 100 as flag, row_number() over (partition by user_id order by event_id) as place from events),
+h as (select *, place - row_number() over (partition by user_id order by place) as island from p where flag)
+select user_id, min(place) as "first", max(place) as "last", count(*) as n from h group by user_id, island""")
+def mask_spans_scan(spark, sf):
+    """Spans of a mask over rows that are numbered in parallel."""
+    return X.mask_spans_scanned(table(spark, sf, "events"), ["user_id"], ["event_id"], F.col("value") > 100)
+
+
 STATISTIC = "case event_type when 'click' then 'sum' when 'view' then 'mean' else 'sum_sqrt' end"
 
 
@@ -517,6 +548,16 @@ def _levels(spark, sf):
     return levels.filter("depth > 0").select("track_id", "chrom", "start", "end", F.round("level", 3).alias("value"))
 
 
+def _dense_inputs(spark, sf, target, statistic):
+    """Windows of an hour, tracks, and the transformed runs of the tracks on them."""
+    signal, mask = _levels(spark, sf), _mask(spark, sf)
+    windows = _signal(spark, sf).select("chrom", F.floor(F.col("start") / 3600).alias("hour")).distinct()
+    windows = windows.select("chrom", (F.col("hour") * 3600).alias("start"), (F.col("hour") * 3600 + 3600).alias("end"), (F.col("hour") * 1_000_000 + F.col("chrom")).alias("window_index"))
+    tracks = M.numbered(signal.select("track_id").distinct(), ["track_id"], "track_index").withColumn("sum_stat", F.lit(statistic))
+    factors = S.factors(S.header_totals(signal), target)
+    return windows, tracks, S.transformed(S.window_signal(windows, signal, mask, 3600), tracks.join(factors, "track_id"))
+
+
 @query(LEVELS_SQL + """,
 f as (select event_type, 1e6 / sum(level * ("end" - start)) as factor from runs group by event_type),
 t as (select r.event_type, user_id, start, "end", least(pow(greatest((level::float * factor)::float, 0), 0.75)::float, 65504) as y from runs r join f using (event_type)),
@@ -536,12 +577,7 @@ from w cross join tracks left join g on g.user_id = w.user_id and g.hour = w.hou
 def dense_targets(spark, sf):
     """Dense half-rounded arrays of every window of an hour and every track, as
     sums that depend on each value and its place."""
-    signal, mask = _levels(spark, sf), _mask(spark, sf)
-    windows = _signal(spark, sf).select("chrom", F.floor(F.col("start") / 3600).alias("hour")).distinct()
-    windows = windows.select("chrom", (F.col("hour") * 3600).alias("start"), (F.col("hour") * 3600 + 3600).alias("end"), (F.col("hour") * 1_000_000 + F.col("chrom")).alias("window_index"))
-    tracks = M.numbered(signal.select("track_id").distinct(), ["track_id"], "track_index").withColumn("sum_stat", F.lit("sum_sqrt"))
-    factors = S.factors(S.header_totals(signal), 1e6)
-    runs = S.transformed(S.window_signal(windows, signal, mask, 3600), tracks.join(factors, "track_id"))
+    windows, tracks, runs = _dense_inputs(spark, sf, 1e6, "sum_sqrt")
     dense = S.dense_targets(windows, tracks, runs)
 
     def sums(batches):
@@ -554,12 +590,32 @@ def dense_targets(spark, sf):
     return digests.withColumn("mass", F.round("mass", 2)).withColumn("moment", F.round("moment", 0))
 
 
+@query(LEVELS_SQL + """,
+f as (select event_type, 1e9 / sum(level * ("end" - start)) as factor from runs group by event_type),
+t as (select r.event_type, user_id, start, "end", (level::float * factor)::float as y from runs r join f using (event_type)),
+w as (select distinct user_id, start // 3600 as hour from x),
+c as (select t.event_type, greatest(t.start, hour * 3600) as start, least(t."end", hour * 3600 + 3600) as "end", y, t.user_id, row_number() over () as id
+  from w join t on t.user_id = w.user_id and t.start < hour * 3600 + 3600 and t."end" > hour * 3600),
+p as (select id, any_value(event_type) as event_type, any_value(y) as y,
+  any_value(c."end" - c.start) - coalesce(sum(least(c."end", k."end") - greatest(c.start, k.start)) filter (k.start is not null), 0) as bp
+  from c left join k on k.user_id = c.user_id and k.start < c."end" and k."end" > c.start group by id)
+select event_type as track_id, sum(case when y > 65504 then bp else 0 end)::bigint as capped_values, 0.0::double as low, round(max(y)::double, 1) as high from p where bp > 0 group by event_type""")
+def batch_extremes(spark, sf):
+    """Capped positions and the extremes before the cap, from the pass that writes
+    dense rows; the target is high, so that values pass the cap."""
+    windows, tracks, runs = _dense_inputs(spark, sf, 1e9, "sum")
+    dense = S.dense_targets(windows, tracks, runs, statistics=True).drop("values")
+    stats = dense.groupBy("track_index").agg(F.sum("capped_values").alias("capped_values"), F.min("low").cast("double").alias("low"), F.round(F.max("high").cast("double"), 1).alias("high"))
+    return stats.join(tracks.select("track_index", "track_id"), "track_index").select("track_id", "capped_values", "low", "high")
+
+
 @query()
 def resumable_batches(spark, sf):
     """Micro-batches with a commit log, stopped once and resumed."""
     import uuid
 
-    from spanloom.session import checkpoint_dir
+    from spanloom.plans.process import delete
+    from spanloom.session import checkpoint_dir, written
     from spanloom.streaming.resumable import process, results
 
     base = f"{checkpoint_dir(spark)}/resumable-{uuid.uuid4().hex}"
@@ -568,7 +624,9 @@ def resumable_batches(spark, sf):
     work = lambda batch: batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
     process(spark, f"{base}/source", events.schema, f"{base}/out", work, stop_after=2)
     process(spark, f"{base}/source", events.schema, f"{base}/out", work)
-    return results(spark, f"{base}/out").groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("value"), 2).alias("value"))
+    done = written(results(spark, f"{base}/out"))
+    delete(spark, base)
+    return done.groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("value"), 2).alias("value"))
 
 
 ORACLE_SQL["resumable_batches"] = "select event_type, count(*) as n, round(sum(value), 2) as value from events group by event_type"
