@@ -1,8 +1,9 @@
-"""Command line: ``python -m spanloom regions|tracks|shards|index|process|status ...``."""
+"""Command line: ``python -m spanloom regions|tracks|download|shards|index|process|status ...``."""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from spanloom.functions.numeric import TARGET_TOTAL
 from spanloom.operators.manifests import build_tracks, numbered
 from spanloom.operators.splits import SEED, build_shards
 from spanloom.operators.status import repair_manifest, status_counts
+from spanloom.plans.download import Sites
+from spanloom.plans.download import download as fetch_tracks
 from spanloom.plans.process import exists, output_status, process_shard, process_shards, required_files, shard_windows
 from spanloom.plans.regions import MOST_BAD, STRIDE, WINDOW, find_windows
 from spanloom.session import written
@@ -67,6 +70,19 @@ def process(spark: SparkSession, a: argparse.Namespace) -> None:
     print(name, process_shard(spark, chosen, listed, sequence, signal, masks, f"{a.output_root}/{a.split}/{name}", **settings))
 
 
+def download(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Fetch the missing files of a manifest; exit code 2 where some fail."""
+    settings = {}
+    if a.sites:  # a JSON object of addresses in place of the public ones
+        lines = spark.read.text(a.sites, wholetext=True).first()["value"]
+        settings["sites"] = Sites(**{k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(lines).items()})
+    failures = written(fetch_tracks(spark, read_tracks(spark, a.tracks), a.output_dir, connections=a.connections, deep_scan=a.deep_scan, **settings))
+    n = sinks.write_failures(failures, f"{a.output_dir.rstrip('/')}/download_failures")
+    print("failures", n)
+    if n:
+        raise SystemExit(2)
+
+
 def status(spark: SparkSession, a: argparse.Namespace) -> None:
     """Counts by state of the shards of a manifest, from their outputs; the shards
     to run again go to a manifest of JSON lines."""
@@ -93,6 +109,7 @@ def parser() -> argparse.ArgumentParser:
     command(regions, ("--fasta", need), ("--unmappable", need), ("--blacklist", need), ("--window-size", number(int, WINDOW)), ("--stride", number(int, STRIDE)), ("--max-bad-fraction", number(float, MOST_BAD)), ("--output", need), one_file)
     command(tracks, ("--manifest", need), ("--output", need), one_file)
     command(shards, ("--regions", need), ("--output", need), ("--target-shards", number(int, 1000)), ("--seed", number(int, SEED)), ("--exact-shuffle", {"action": argparse.BooleanOptionalAction, "default": True}), one_file)
+    command(download, ("--tracks", need), ("--output-dir", need), ("--connections", number(int, 30)), ("--deep-scan", {"action": "store_true"}), ("--sites", {}))
     command(index, ("--fasta", need), ("--output", {}))
     command(status, ("--shards", need), ("--output-root", need), ("--repair", {}), ("--everything", {"action": "store_true"}))
     command(

@@ -3,6 +3,7 @@ are put together in the store from the rows of their ranges."""
 
 from __future__ import annotations
 
+import http.client
 import time
 import urllib.error
 import urllib.request
@@ -15,25 +16,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import byte_ranges
+from spanloom.sources.ranged import store
 
 TRIES, TIMEOUT = 4, 120
 
 
-def request(url: str, first: int | None = None, last: int | None = None, tries: int = TRIES):
-    """(status, headers, body) with growing pauses between tries."""
+#: Statuses that another try can change, besides those of servers.
+PASSING = (408, 425, 429)
+#: Bytes of a body that are held at once.
+CHUNK_BYTES = 1 << 20
+
+
+def transient(error: Exception) -> bool:
+    """Whether asking again can help: not where the address is known to be wrong."""
+    return not isinstance(error, urllib.error.HTTPError) or error.code in PASSING or error.code >= 500
+
+
+def opened(url: str, first: int | None = None, last: int | None = None, tries: int = TRIES):
+    """An answer to read from, with growing pauses between tries."""
     headers = {} if first is None else {"Range": f"bytes={first}-{'' if last is None else last}"}
     for n in range(tries):
         try:
-            with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=TIMEOUT) as answer:
+            return urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=TIMEOUT)
+        except (urllib.error.URLError, OSError) as error:
+            if n == tries - 1 or not transient(error):
+                raise
+            time.sleep(min(10, 2**n))
+
+
+def request(url: str, first: int | None = None, last: int | None = None, tries: int = TRIES):
+    """(status, headers, body); a body that breaks off is asked for again."""
+    for n in range(tries):
+        try:
+            with opened(url, first, last, tries - n) as answer:
                 return answer.status, dict(answer.headers), answer.read()
-        except (urllib.error.URLError, OSError):
-            if n == tries - 1:
+        except (urllib.error.URLError, OSError, http.client.HTTPException) as error:
+            if n == tries - 1 or not transient(error):
                 raise
             time.sleep(min(10, 2**n))
 
 
-def probe(urls: DataFrame, tries: int = TRIES) -> DataFrame:
-    """(url, reachable, ranged, size) by a request for one byte."""
+def by_host(rows: DataFrame, url: str, slots: int) -> DataFrame:
+    """Rows dealt so that a host is asked by ``slots`` tasks at once at most."""
+    host = F.regexp_extract(url, "^[a-z]+://([^/]*)", 1)
+    return rows.repartition(host, F.pmod(F.xxhash64(url), F.lit(slots)))
+
+
+def bodies(urls: DataFrame, slots: int = 4, tries: int = TRIES) -> DataFrame:
+    """(url, body, error) of small answers: index pages, metadata, manifests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for url in batch.column(0).to_pylist():
+                body, error = None, None
+                try:
+                    body = request(url, tries=tries)[2].decode("utf-8", "replace")
+                except (urllib.error.URLError, OSError, ValueError, http.client.HTTPException) as e:
+                    error = f"{url}: {e}"
+                yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([body], pa.string()), pa.array([error], pa.string())], names=["url", "body", "error"])
+
+    return by_host(urls.select("url").distinct(), "url", slots).mapInArrow(run, "url string, body string, error string")
+
+
+def probe(urls: DataFrame, tries: int = 1) -> DataFrame:
+    """(url, reachable, ranged, size) by a request for one byte, asked once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,3 +152,44 @@ def save(parts: DataFrame, names: DataFrame, folder: str) -> DataFrame:
         yield from ended()
 
     return ordered.mapInArrow(run, "url string, path string, size long")
+
+
+def stream_to_store(requests: DataFrame, slots: int = 4, tries: int = TRIES) -> DataFrame:
+    """(name, part, error): ranges written to files of their own in the store.
+
+    ``requests`` has ``name, url, part, start, stop, path`` (no start: the whole
+    body). Bodies go from the answer to the store a megabyte at a time and never
+    through rows. A range that ends early is asked for again; what still fails is
+    an error of its row, and its file is removed.
+    """
+
+    def one(url: str, start: int | None, stop: int | None, path: str) -> str | None:
+        system, place = store(path)
+        for n in range(tries):
+            try:
+                size = 0
+                with opened(url, start, stop, tries - n) as answer, system.open_output_stream(place) as out:
+                    if start is not None and answer.status != 206:
+                        raise ValueError("the server sent no range")
+                    while chunk := answer.read(CHUNK_BYTES):
+                        out.write(chunk)
+                        size += len(chunk)
+                if start is not None and size != stop - start + 1:
+                    raise OSError(f"{size} bytes of {stop - start + 1}")
+                if not size:
+                    raise ValueError("an empty body")
+                return None
+            except (urllib.error.URLError, OSError, ValueError, http.client.HTTPException) as error:
+                if n == tries - 1 or isinstance(error, ValueError) or not transient(error):
+                    return f"{url}: {error}"
+                time.sleep(min(10, 2**n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, url, part, start, stop, path in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), pa.array([one(url, start, stop, path)], pa.string())], names=["name", "part", "error"])
+
+    asked = requests.select("name", "url", "part", "start", "stop", "path")
+    host = F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
+    dealt = asked.repartition(host, F.pmod(F.xxhash64("url", "part"), F.lit(slots)))
+    return dealt.mapInArrow(run, "name string, part long, error string")

@@ -98,14 +98,19 @@ def read_target_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_expected_names(spark: SparkSession, path: str, contains: str = "/atac/catlas/") -> DataFrame:
-    """(identifier, stem): manifest rows with as many fields as the header whose
-    file lies under ``contains``; the last row of an identifier wins."""
+    """``expected_names`` of the manifest file ``path``."""
+    return expected_names(spark.read.text(path).withColumn("place", F.monotonically_increasing_id()), contains)
+
+
+def expected_names(lines: DataFrame, contains: str = "/atac/catlas/") -> DataFrame:
+    """(identifier, stem) of a manifest's lines (``place, value``): rows with as
+    many fields as the header whose file lies under ``contains``; the last row of
+    an identifier wins."""
     from spanloom.functions.text import file_stem
 
-    lines = spark.read.text(path).withColumn("place", F.monotonically_increasing_id())
-    header = spark.read.text(path).first()
-    if header is None:
-        raise ValueError(f"empty manifest {path}")
+    header = lines.orderBy("place").first()
+    if header is None or not header["value"]:
+        raise ValueError("the manifest is empty")
     names = header["value"].split("\t")
     rows = lines.select("place", F.split("value", "\t", -1).alias("f")).filter(F.size("f") == len(names))
     rows = rows.filter(F.get("f", F.lit(0)) != names[0]).select("place", F.get("f", F.lit(names.index("identifier"))).alias("identifier"), F.get("f", F.lit(names.index("file"))).alias("file"))
