@@ -23,18 +23,30 @@ def commit_log(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema("batch long, rows long").parquet(f"{path}/*")
 
 
-def process(spark: SparkSession, source: str, schema: StructType, out: str, work: Callable[[DataFrame], DataFrame], files_per_batch: int = 1, stop_after: int | None = None) -> int:
+def process(spark: SparkSession, source: str, schema: StructType, out: str, work: Callable[[DataFrame], DataFrame], files_per_batch: int = 1, stop_after: int | None = None, stop_marker: str | None = None) -> int:
     """Work through the Parquet files of ``source`` that no batch has taken yet;
-    returns the number of batches run. ``stop_after`` ends the run between two
-    batches, as a request to stop does."""
-    ran = 0
+    returns the number of batches run.
+
+    The run ends between two batches after ``stop_after`` of them, or when a file
+    ``stop_marker`` is there: a scheduler that is about to take the machine away
+    writes it, a batch that has begun ends with its commit, and the next run goes
+    on from there. Any other end is an error and is raised.
+    """
+    ran, stopped = 0, False
+    marker = None if stop_marker is None else spark._jvm.org.apache.hadoop.fs.Path(stop_marker)
 
     class Stopped(Exception):
         pass
 
-    def one(batch: DataFrame, number: int) -> None:
-        nonlocal ran
+    def requested() -> bool:
         if stop_after is not None and ran >= stop_after:
+            return True
+        return marker is not None and marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+    def one(batch: DataFrame, number: int) -> None:
+        nonlocal ran, stopped
+        if requested():
+            stopped = True
             raise Stopped
         done = work(batch)
         done.write.mode("overwrite").parquet(f"{out}/data/batch={number}")
@@ -47,7 +59,7 @@ def process(spark: SparkSession, source: str, schema: StructType, out: str, work
     try:
         query.awaitTermination()
     except Exception:
-        if stop_after is None or ran < stop_after:
+        if not stopped:
             raise
     return ran
 

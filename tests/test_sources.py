@@ -242,6 +242,46 @@ def test_resumed_batches_add_nothing(spark, tmp_path):
     assert commit_log(spark, out).agg(F.sum("rows")).first()[0] == 40
 
 
+def test_a_marker_stops_between_batches_and_errors_are_raised(spark, tmp_path):
+    source, out, marker = str(tmp_path / "in"), str(tmp_path / "out"), tmp_path / "stop"
+    spark.range(40).repartition(4).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    calls = []
+
+    def work(batch):
+        calls.append(1)
+        if len(calls) == 2:
+            marker.write_text("")  # a request that comes while a batch runs
+        if len(calls) == 4:
+            raise ValueError("a broken batch")
+        return batch
+
+    assert process(spark, source, schema, out, work, stop_marker=str(marker)) == 2 and commit_log(spark, out).count() == 2
+    assert process(spark, source, schema, out, work, stop_marker=str(marker)) == 0
+    marker.unlink()
+    with pytest.raises(Exception, match="broken"):
+        process(spark, source, schema, out, work, stop_after=9, stop_marker=str(marker))
+    assert process(spark, source, schema, out, work) == 1
+    assert sorted(r["id"] for r in results(spark, out).collect()) == list(range(40))
+
+
+def test_golden_slice(spark):
+    """Windows with the covered positions that are stored with them, and the mask
+    around them; both are slices of published files."""
+    from spanloom.operators.index import overlap_bp_by_index
+    from spanloom.operators.intervals import merge_intervals, overlap_bp
+    from spanloom.operators.scan import merge_scanned
+
+    folder = os.path.join(os.path.dirname(__file__), "golden")
+    regions = text.read_bed(spark, f"{folder}/regions.bed")
+    stored = {(r[0], int(r[1]), int(r[2])): int(r[3]) for r in (line.split("\t") for line in open(f"{folder}/regions.bed") if not line.startswith("#"))}
+    mask = text.read_bed(spark, f"{folder}/mask.bed", "strict", text.CHROMS)
+    for merged in (merge_intervals(mask, ["chrom"]), merge_scanned(mask, ["chrom"])):
+        for found in (overlap_bp(regions, merged, ["chrom"]), overlap_bp_by_index(regions, merged, ["chrom"])):
+            assert {(r["chrom"], r["start"], r["end"]): r["overlap_bp"] for r in found.collect()} == stored
+    assert len(stored) == 24 and sum(v > 0 for v in stored.values()) >= 12
+
+
 def test_golden_regions(spark):
     from spanloom.operators.intervals import merge_intervals, overlap_bp
 
