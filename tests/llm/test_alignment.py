@@ -2,15 +2,17 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from spanloom.llm import alignment
 from spanloom.llm.alignment import align_tokenizers
 
 BYTE_LEVEL, PIECE_MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-STRANGE = ["", None, " ", "\n", "a  b \t\r\n c ", "ends in space ", "x▁y", "<|endoftext|> </s><s> <unk> <0x41>", "é é \U0001f600 日本語テキスト 　x", "a\x00b", "aaaa" * 900, "don't 12345 ---- __init__"]
+STRANGE = ["", None, " ", "\n", "a  b \t\r\n c ", "ends in space ", "x▁y", "<|endoftext|> </s><s> <unk> <0x41>", "é é \U0001f600 日本語テキスト 　x", "a\x00b", "aaaa" * 900, "don't 12345 ---- __init__", "a\n b", "a \n b\n  c", "word\n\n", "x\x1c y\x85 z", "\u2003 a\u00a0 b", "  \t a  ", "s \r\n\r\n s", "\n \n x \n", "a" + " " * 300 + "b" + "\n" * 50]
 
 
 def plain(texts):
@@ -81,3 +83,19 @@ def test_no_rows_and_one_very_long_text(spark):
     r = align_tokenizers(spark.createDataFrame([(1, long)], "doc_id long, text string"), BYTE_LEVEL, PIECE_MODEL, outputs=("groups",)).collect()[0]
     assert r["n_links"] == r["n_a"] + r["n_b"] - r["n_groups"] and r["groups"].count(";") == r["n_groups"] - 1
     assert sum(len(side.split(",")) for g in r["groups"].split(";") for side in g.split("|")) == r["n_a"] + r["n_b"]
+
+
+def test_chunks_are_aligned_like_whole_texts():
+    with open(BYTE_LEVEL, encoding="utf-8") as a, open(PIECE_MODEL, "rb") as b:
+        apart = alignment.Aligner(a.read(), b.read())
+    rng = random.Random(2)
+    characters = "ab \n\t'1.é\u3000\x1c\u2581"
+    texts = ["".join(rng.choice(characters) for _ in range(rng.randrange(0, 40))).encode() for _ in range(3000)]
+    split = alignment._Slice(apart, texts, True, True)
+    assert apart.chunks is alignment.CHUNK and all("".join(alignment.CHUNK.findall(" " + t.decode())) == " " + t.decode() for t in texts)
+    apart.chunks = alignment.WHOLE
+    apart._forget()
+    whole = alignment._Slice(apart, texts, True, True)
+    assert split.groups == whole.groups and split.counts == whole.counts and split.digests == whole.digests
+    pairs = [{i: sorted(s.pairs[np.frombuffer(x, np.int32)].tolist()) for i, x in enumerate(s.links)} for s in (split, whole)]
+    assert pairs[0] == pairs[1]
