@@ -6,6 +6,10 @@ the tokens, counted in bytes, go into one dictionary end -> index for each side;
 the sorted intersection of their keys slices both id lists into groups, and each
 slice is expanded into its links, the pairs of tokens whose bytes overlap.
 
+No token of either side goes on from a character into a space behind it, so a text
+falls into chunks there that are encoded and aligned apart. Chunks are mostly single
+words and repeat; a task aligns each one once and keeps it.
+
 Counts of id pairs are taken over the whole corpus. A task counts the pairs of a
 slice of texts before anything is sent, so what is shuffled is a row for each
 distinct pair of a slice, and a text's links travel as positions in the table of
@@ -16,10 +20,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -29,20 +35,25 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spanloom.llm.arrays import text_slices
-from spanloom.llm.bpe import PATTERN, PIECE_CACHE, byte_symbols
+from spanloom.llm.bpe import PATTERN, byte_symbols
 from spanloom.llm.stages import written
 
 #: Fixed value: how a sentencepiece model writes a space.
 SPACE = "▁"
-#: Longer pieces are encoded each time they come up.
-KEPT_CHARS = 200
+#: Chunks and characters of chunks that a task keeps; it starts anew beyond them.
+CHUNKS, CHUNK_CHARS = 250_000, 16 << 20
+#: New chunks aligned at once.
+ADDED = 1 << 15
 
 
-class ByteLevel:
-    """Side A: ids of a byte-level BPE; strings of special tokens are plain text.
+#: A text's chunks: each begins with a space that follows no white space, and the
+#: last one has the white space at the end.
+CHUNK = re.compile(r" \s*\S+(?:[^\S ]\s*\S+)*(?:\s+\Z)?| \s*\Z")
+WHOLE = re.compile(r".+", re.DOTALL)
 
-    The library's model merges a piece; pieces repeat, so a task keeps them.
-    """
+
+class ByteLevel:
+    """Side A: ids of a byte-level BPE; strings of special tokens are plain text."""
 
     def __init__(self, content: str):
         data = json.loads(content)
@@ -53,44 +64,38 @@ class ByteLevel:
         for token, i in data["model"]["vocab"].items():
             self.bytes_of[i] = bytes(of_symbol[c] for c in token) if all(c in of_symbol for c in token) else token.encode()
         self.pieces = regex.compile(PATTERN)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        known, ids = self.known, []
-        for piece in self.pieces.findall(" " + text):
-            found = known.get(piece)
-            if found is None:
-                shown = piece.encode().decode("latin-1").translate(self.symbols)
-                found = tuple([token.id for token in self.model.tokenize(shown)])
-                if len(known) >= PIECE_CACHE:
-                    known.clear()
-                if len(piece) <= KEPT_CHARS:
-                    known[piece] = found
-            ids += found
-        return ids
+
+    def encode(self, chunk: str) -> list[int]:
+        """Ids of a chunk with its space."""
+        shown = [piece.encode().decode("latin-1").translate(self.symbols) for piece in self.pieces.findall(chunk)]
+        return [token.id for piece in shown for token in self.model.tokenize(piece)]
 
 
 class Pieces:
-    """Side B: ids of a sentencepiece model, which adds the space itself."""
+    """Side B: ids of a sentencepiece model, which adds the first space itself."""
 
     def __init__(self, model: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         self.bytes_of = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        #: Whether chunks have the ids that they have inside a text: no piece has a
+        #: space after another character, and white space stays as it is.
+        self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces) and b"".join(self.bytes_of[i] for i in self.model.encode("a  b ")) == b" a  b "
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        return self.model.encode([chunk[1:] for chunk in chunks], num_threads=1)
 
 
 def slices(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of each side lie before each common end, in order."""
     index_a, index_b = dict(zip(ends_a.tolist(), count(1))), dict(zip(ends_b.tolist(), count(1)))
     common = sorted(index_a.keys() & index_b.keys())
-    return np.array([index_a[end] for end in common], np.int64), np.array([index_b[end] for end in common], np.int64)
+    before = (np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
+    return next(before), next(before)
 
 
-def expanded(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> np.ndarray:
-    """The links of all slices, as A id * 2**32 + B id.
+def expanded(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, cuts_a: np.ndarray) -> np.ndarray:
+    """The links of all slices in order, each as A id * 2**32 + B id.
 
     Two overlapping tokens share the bytes up to the first end of the two, so each
     end inside a slice closes one link, and the common end of a slice closes its
@@ -100,43 +105,91 @@ def expanded(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: n
     inner[cuts_a - 1] = False
     first_b = np.searchsorted(ends_b, ends_a[inner])
     first_a = np.searchsorted(ends_a, ends_b)
-    return np.concatenate((ids_a[inner] << 32 | ids_b[first_b], ids_a[first_a] << 32 | ids_b))
+    links = np.concatenate((ids_a[inner] << 32 | ids_b[first_b], ids_a[first_a] << 32 | ids_b))
+    return links[np.argsort(np.concatenate((ends_a[inner], ends_b)), kind="stable")]
 
 
 class Separated:
     """Decimal ids with what follows them, for ``a1,a2|b1;a3|b2,b3``."""
 
     def __init__(self, ids: int):
-        self.text = [f"{i}{mark}" for i in range(ids) for mark in ",|;"]
+        self.text = [f"{i}{mark}" for i in range(ids) for mark in (",", "|", ";", "\n")]
 
-    def groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
-        """The groups with their ids in order: each slice's A ids, then its B ids."""
+    def groups(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray, last: np.ndarray) -> list[str]:
+        """The groups with their ids in order, a text for each run of slices;
+        ``last`` are the runs' last tokens of B."""
         sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
-        codes_a, codes_b = ids_a * 3, ids_b * 3
+        codes_a, codes_b = ids_a * 4, ids_b * 4
         codes_a[cuts_a - 1] += 1
         codes_b[cuts_b - 1] += 2
+        codes_b[last] += 1
         codes = np.empty(len(ids_a) + len(ids_b), np.int64)
         codes[np.arange(len(ids_a)) + np.repeat(cuts_b - sizes_b, sizes_a)] = codes_a
         codes[np.arange(len(ids_b)) + np.repeat(cuts_a, sizes_b)] = codes_b
-        return "".join(map(self.text.__getitem__, codes.tolist()))[:-1]
+        return "".join(map(self.text.__getitem__, codes.tolist())).split("\n")[:-1]
 
 
 class Aligner:
-    """Both tokenizers of a task."""
+    """Both tokenizers of a task, and the chunks that it has aligned so far."""
 
     def __init__(self, vocabulary: str, model: bytes):
         self.a, self.b = ByteLevel(vocabulary), Pieces(model)
         self.sizes_a, self.sizes_b = (np.array(list(map(len, side.bytes_of))) for side in (self.a, self.b))
         self.separated = Separated(max(len(self.sizes_a), len(self.sizes_b)))
+        self.chunks = CHUNK if self.b.apart else WHOLE
+        self._forget()
 
-    def tokens(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides; none where a side does not give a text back."""
-        nothing = np.empty(0, np.int64), np.empty(0, np.int64)
-        decoded = [raw.decode("utf-8", "replace") for raw in texts]
-        for raw, text, ids_b in zip(texts, decoded, self.b.encode(decoded)):
-            ids_a, whole = self.a.encode(text) if raw else [], b" " + raw
-            same = raw and b"".join(map(self.a.bytes_of.__getitem__, ids_a)) == whole and b"".join(map(self.b.bytes_of.__getitem__, ids_b)) == whole
-            yield (np.array(ids_a, np.int64), np.array(ids_b, np.int64)) if same else nothing
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        #: Tokens of A and of B, and groups, of each chunk; -1 where it has none.
+        self.counts = np.empty((0, 3), np.int64)
+        self.groups: list[str] = []
+        self.links: list[bytes] = []
+        self.chars = 0
+
+    def _add(self, chunks: list[str]) -> None:
+        """Align new chunks, laid behind one another."""
+        all_a, all_b, whole = [], [], np.ones(len(chunks), bool)
+        piece_a, piece_b = self.a.bytes_of.__getitem__, self.b.bytes_of.__getitem__
+        for k, (chunk, ids_b) in enumerate(zip(chunks, self.b.encode(chunks))):
+            ids_a, raw = self.a.encode(chunk), chunk.encode()
+            self.chars += len(chunk)
+            if b"".join(map(piece_a, ids_a)) != raw or b"".join(map(piece_b, ids_b)) != raw:  # a text with it has no tokens
+                ids_a, ids_b, whole[k] = [], [], False
+            all_a.append(ids_a)
+            all_b.append(ids_b)
+        counts = np.array([list(map(len, all_a)), list(map(len, all_b)), [0] * len(chunks)], np.int64).T
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (all_a, all_b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        cuts_a, cuts_b = slices(ends_a, ends_b)
+        reached = np.searchsorted(cuts_b, np.cumsum(counts[:, 1]), "right")  # every chunk ends in a cut
+        counts[:, 2] = np.diff(reached, prepend=0)
+        links = expanded(ids_a, ids_b, ends_a, ends_b, cuts_a)
+        last = (np.cumsum(counts[:, 1]) - 1)[whole]
+        groups = iter(self.separated.groups(ids_a, ids_b, cuts_a, cuts_b, last))
+        self.groups += [next(groups) if filled else "" for filled in whole.tolist()]
+        borders = np.concatenate(([0], np.cumsum(counts[:, 0] + counts[:, 1] - counts[:, 2]))) * 8
+        raw_links, places = links.tobytes(), borders.tolist()
+        self.links += [raw_links[i:j] for i, j in zip(places, places[1:])]
+        counts[~whole] = -1
+        self.number.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks))))
+        self.counts = np.concatenate((self.counts, counts))
+
+    def numbers(self, texts: list[bytes]) -> list[list[int]]:
+        """The chunks of each text by number; none where a text has no tokens."""
+        if len(self.number) > CHUNKS or self.chars > CHUNK_CHARS:
+            self._forget()
+        cut = []
+        for raw in texts:
+            text = raw.decode("utf-8", "replace")
+            cut.append(self.chunks.findall(" " + text) if raw and text.encode() == raw else [])
+        number = self.number
+        new = list({chunk: None for chunks in cut for chunk in chunks if chunk not in number})
+        for first in range(0, len(new), ADDED):
+            self._add(new[first : first + ADDED])
+        lost = set(np.flatnonzero(self.counts[:, 0] < 0).tolist())
+        found = [list(map(number.__getitem__, chunks)) for chunks in cut]
+        return [[] if lost and not lost.isdisjoint(own) else own for own in found]
 
 
 _loaded: dict[tuple, Aligner] = {}
@@ -146,27 +199,26 @@ class _Slice:
     """Texts of a slice, aligned: their rows, their links and the distinct pairs."""
 
     def __init__(self, aligner: Aligner, texts: list[bytes], with_groups: bool, with_digest: bool):
-        self.counts: list[tuple[int, int, int, int]] = []
-        self.groups: list[str] = []
-        self.digests: list[str] = []
-        links = []
-        for ids_a, ids_b in aligner.tokens(texts):
-            ends_a, ends_b = np.cumsum(aligner.sizes_a[ids_a]), np.cumsum(aligner.sizes_b[ids_b])
-            cuts_a, cuts_b = slices(ends_a, ends_b)
-            links.append(expanded(ids_a, ids_b, ends_a, ends_b, cuts_a, cuts_b))
-            self.counts.append((len(ids_a), len(ids_b), len(cuts_a), len(links[-1])))
-            groups = aligner.separated.groups(ids_a, ids_b, cuts_a, cuts_b) if len(ids_a) and (with_groups or with_digest) else ""
-            self.groups.append(groups if with_groups else "")
-            self.digests.append(hashlib.sha256(groups.encode()).hexdigest() if groups and with_digest else "")
-        keys, where, self.times = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
-        frequent_first = np.argsort(-self.times, kind="stable")
-        place = np.empty(len(keys), np.int32)
-        place[frequent_first] = np.arange(len(keys), dtype=np.int32)
-        self.pairs, self.times = keys[frequent_first], self.times[frequent_first]
-        where, start, self.links = place[where.ravel()], 0, []
-        for linked in links:
-            self.links.append(np.sort(where[start : start + len(linked)]).tobytes())
-            start += len(linked)
+        numbers = aligner.numbers(texts)
+        groups = [";".join(map(aligner.groups.__getitem__, own)) for own in numbers] if with_groups or with_digest else []
+        self.groups = groups if with_groups else [""] * len(texts)
+        self.digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups] if with_digest else [""] * len(texts)
+        sizes = np.array(list(map(len, numbers)))
+        # Links of the distinct chunks, with their pairs' places in the slice's table.
+        # Few pairs are distinct, so a hash table finds them faster than a sort.
+        which, chunks = pd.factorize(np.fromiter(chain.from_iterable(numbers), np.int64, int(sizes.sum())))
+        raw = [aligner.links[k] for k in chunks]
+        places, self.pairs = pd.factorize(np.frombuffer(b"".join(raw), np.int64))
+        n_links = np.array([len(r) // 8 for r in raw], np.int64)
+        repeated = np.bincount(which, minlength=len(chunks))
+        self.times = np.bincount(places, np.repeat(repeated, n_links), len(self.pairs)).astype(np.int64)
+        begins = np.cumsum(n_links) - n_links
+        own_links = n_links[which]
+        at = np.repeat(begins[which] - (np.cumsum(own_links) - own_links), own_links) + np.arange(int(own_links.sum()))
+        of_text = np.repeat(np.arange(len(texts)), sizes)
+        totals = [np.bincount(of_text, values[which], len(texts)).astype(np.int64) for values in (*aligner.counts[chunks].T, n_links)]
+        self.counts = list(zip(*(t.tolist() for t in totals)))
+        self.links = [np.sort(own).tobytes() for own in np.split(places[at].astype(np.int32), np.cumsum(totals[3])[:-1])]
 
 
 #: Rows of the written table: those of texts, and those of a slice's distinct pairs.
