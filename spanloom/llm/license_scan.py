@@ -1,15 +1,18 @@
 """License scans: MinHash bands over text windows retrieve templates, exact
 shingle containment verifies them.
 
-A template is cut into disjoint pieces of ``PIECE`` of its five-word shingles (one
-of one shingle, if it has no more). A text that lacks a fifth of the shingles or
-less keeps some piece whole: there are more pieces than missing shingles. Text
-windows of ``PIECE + STRIDE - 1`` shingles every ``STRIDE`` hold any such piece, so
-the Jaccard similarity of window and piece is ``PIECE / (PIECE + STRIDE - 1)`` or
-more; ``bands_for`` gives the number of single-row bands that collide with the
-target probability (with a stride of one: one band, with certainty). The band
-values are met with those of the templates inside the row; only retrieved
-templates make rows, which are held exactly against all shingles of the text.
+1. The five-word shingles of all texts meet the distinct shingles of all templates
+   in a broadcast table. Only these hits go on; a text without one has no license.
+2. Overlapping windows of ``WINDOW`` places lie over a text, one every ``STRIDE``;
+   a template is cut into disjoint pieces of ``PIECE`` shingles. Any piece that is
+   whole in a text lies in a window whole, so window and piece have a Jaccard
+   similarity of ``PIECE / WINDOW`` or more, and one of the ``BANDS`` single-row
+   MinHash bands agrees with the probability that ``bands_for`` was asked for. A
+   text that lacks a fifth of the shingles or less keeps some piece whole, as there
+   are more pieces than missing shingles. Templates too short for that have each of
+   their shingles for a key.
+3. Retrieved templates are held exactly against the hits, which are all of their
+   shingles that the text has.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.native import let, run_keys
+from spanloom.llm.stages import written
 
 SHINGLE = 5
 
@@ -97,11 +101,14 @@ def bands_for(similarity: float, target: float) -> int:
     return 1 if similarity >= 1 else math.ceil(math.log(1 - target) / math.log(1 - similarity))
 
 
-#: Shingles of a piece, and of the step between text windows. With pieces of two, a
-#: template of n shingles has n // 2 of them, more than the n // 5 that may lack.
-PIECE, STRIDE = 2, 1
+#: Shingles of a piece, and of the step between text windows. With pieces of three a
+#: template of ``n`` shingles has ``n // 3`` of them, more than the ``n // 5`` that may
+#: lack, from ``LEAST`` shingles on.
+PIECE, STRIDE, LEAST = 3, 2, 6
 WINDOW = PIECE + STRIDE - 1
-BANDS = bands_for(PIECE / WINDOW, 0.99)
+BANDS = bands_for(PIECE / WINDOW, 1 - 1e-6)
+#: Templates whose shingles may be broadcast: 12 bytes each.
+MOST_SHINGLES = 4_000_000
 
 
 def read_templates(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
@@ -121,22 +128,10 @@ def shingle_hashes(tokens: Column) -> Column:
     return run_keys(F.transform(tokens, lambda w: F.xxhash64(w)), SHINGLE)
 
 
-def _permuted(hashes: Column, band: int) -> Column:
-    """The hashes in the order of one band; band 0 takes them as they are."""
-    return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band))) if band else hashes
-
-
-def _minima(row: Column, size: int, stride: int) -> Column:
-    """Least value of each run of ``size``; runs at the end may be shorter."""
-    least = row
-    for step in range(1, size):
-        least = F.zip_with(least, F.slice(row, F.lit(step + 1), F.greatest(F.size(row) - step, F.lit(0))), lambda a, b: F.least(a, b))
-    return least if stride == 1 else F.filter(least, lambda _, i: i % stride == 0)
-
-
-def window_keys(hashes: Column) -> Column:
-    """Band values of all windows of a text: single shingles, then long windows."""
-    return F.concat(hashes, *[let(_permuted(hashes, band), lambda row: _minima(row, WINDOW, STRIDE)) for band in range(BANDS)])
+def band_keys(hashes: Column) -> Column:
+    """The least value of a set of shingles in the order of each band, marked with
+    the band."""
+    return F.array(*[F.xxhash64(F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))), F.lit(band)) for band in range(BANDS)])
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
@@ -146,21 +141,28 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
 
 
 def template_keys(table: DataFrame) -> DataFrame:
-    """(template, band_key) of every piece of every template."""
+    """(template, key) of every band of every piece; of short templates (template,
+    shingle)."""
     starts = F.sequence(F.lit(1), F.size("hashes") - PIECE + 1, F.lit(PIECE))
+    pieces = F.transform(starts, lambda at: band_keys(F.slice("hashes", at, F.lit(PIECE))))
+    keys = F.when(F.size("hashes") >= LEAST, F.flatten(pieces)).otherwise(F.col("hashes"))
+    return table.filter(F.size("hashes") > 0).select("template", F.explode(F.array_distinct(keys)).alias("key")).distinct()
 
-    def minima(row: Column) -> Column:
-        return F.transform(starts, lambda at: F.array_min(F.slice(row, at, F.lit(PIECE))))
 
-    long = F.flatten(F.array(*[let(_permuted(F.col("hashes"), band), minima) for band in range(BANDS)]))
-    return table.filter(F.size("hashes") > 0).select("template", F.explode(F.array_distinct(F.when(F.size("hashes") >= PIECE, long).otherwise(F.col("hashes")))).alias("band_key"))
+def text_keys(hits: DataFrame) -> DataFrame:
+    """(row_key, key) of the windows of a text, and of its single hits."""
+    windows = F.sequence(F.greatest(F.ceil((F.col("pos") - WINDOW + 1) / STRIDE), F.lit(0)).cast("int"), F.floor(F.col("pos") / STRIDE).cast("int"))
+    least = [F.min(F.xxhash64("shingle", F.lit(band))).alias(f"band_{band}") for band in range(BANDS)]
+    met = hits.select("row_key", "shingle", F.explode(windows).alias("window")).groupBy("row_key", "window").agg(*least)
+    keys = met.select("row_key", F.explode(F.array(*[F.xxhash64(f"band_{band}", F.lit(band)) for band in range(BANDS)])).alias("key"))
+    return keys.unionByName(hits.select("row_key", F.col("shingle").alias("key"))).distinct()
 
 
 def rival_templates(table: DataFrame, min_containment: float) -> DataFrame:
     """(template, rivals): templates that contain this one nearly whole."""
     each = table.select("template", F.size("hashes").alias("n"), F.explode("hashes").alias("shingle"))
     other = each.select(F.col("template").alias("rival"), "shingle")
-    shared = each.join(F.broadcast(other), "shingle").filter("rival <> template").groupBy("template", "rival", "n").count()
+    shared = each.join(other, "shingle").filter("rival <> template").groupBy("template", "rival", "n").count()
     return shared.filter(F.col("count") >= min_containment * F.col("n")).groupBy("template").agg(F.collect_set("rival").alias("rivals"))
 
 
@@ -170,31 +172,33 @@ def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", mi
 
     Where nearly equal templates match one text (versions of a license, a sentence
     and its license), those with a smaller share than a rival, or an equal one of
-    a shorter template, are left out. ``min_containment`` is 0.7 or
-    more, else a text may lack a shingle of every piece. Null, blank and short
-    texts have no windows and give no row; rows that repeat a ``doc_id`` count as
-    one document, those with a null id too; an empty table gives no row; further
-    columns are ignored. The templates are a fixed parameter, so neither their
-    keys in the plan nor their broadcast grow with the data.
+    a shorter template, are left out. ``min_containment`` is 0.8 or more, else a
+    text may lack a shingle of every piece. Null, blank and short texts have no
+    shingles and give no row; rows that repeat a ``doc_id`` count as one document,
+    those with a null id too; an empty table gives no row; further columns are
+    ignored. ``templates`` may be thousands of whole license texts, as
+    ``read_templates`` gives them; more than ``MOST_SHINGLES`` distinct shingles
+    are joined without a broadcast.
     """
-    if min_containment < 0.7:
-        raise ValueError("min_containment must be 0.7 or more")
-    known = template_table(docs.sparkSession, templates)
-    keys: dict[int, list[int]] = {}
-    for row in template_keys(known).collect():  # fixed by the templates
-        keys.setdefault(row["band_key"], []).append(row["template"])
-    wanted = F.array(*[F.lit(k) for k in sorted(keys)]).cast("array<bigint>")
-    owners = F.array(*[F.array(*[F.lit(t) for t in keys[k]]) for k in sorted(keys)]).cast("array<array<bigint>>")
-    hashed = docs.select(F.col(f"`{id}`").alias("doc_id"), shingle_hashes(scan_words(F.col(f"`{text}`"))).alias("hashes"))
-    met = hashed.select("doc_id", "hashes", F.array_intersect(wanted, window_keys(F.col("hashes"))).alias("met")).filter(F.size("met") > 0)
-    templates_met = F.array_distinct(F.flatten(F.transform("met", lambda k: F.get(owners, (F.array_position(wanted, k) - 1).cast("int")))))
-    retrieved = met.select("doc_id", "hashes", F.explode(templates_met).alias("template"))
-    details = known.join(rival_templates(known, min_containment), "template", "left").select("template", "license", F.col("hashes").alias("wanted"), F.coalesce("rivals", F.array().cast("array<bigint>")).alias("rivals"))
-    share = F.round(F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted"), 6)
-    verified = retrieved.join(F.broadcast(details), "template").select("doc_id", "license", "template", "rivals", F.size("wanted").alias("n"), share.alias("containment")).filter(F.col("containment") >= min_containment)
+    if min_containment < 0.8:
+        raise ValueError("min_containment must be 0.8 or more")
+    known = written(template_table(docs.sparkSession, templates))
+    each = known.select("template", F.explode("hashes").alias("shingle"))
+    distinct = written(each.select("shingle").distinct())
+    wanted = F.broadcast(distinct) if distinct.count() <= MOST_SHINGLES else distinct
+    content = F.col(f"`{text}`")
+    hashed = docs.select(F.col(f"`{id}`").alias("doc_id"), F.xxhash64(F.col(f"`{id}`"), content).alias("row_key"), F.posexplode(shingle_hashes(scan_words(content))).alias("pos", "shingle"))
+    # Hits are the part of the corpus that is license text; all else works on them.
+    hits = written(hashed.join(wanted, "shingle", "left_semi"))
+    retrieved = text_keys(hits).join(template_keys(known), "key").select("row_key", "template").distinct()
+    found = hits.select("doc_id", "row_key", "shingle").distinct().join(each, "shingle").join(retrieved, ["row_key", "template"])
+    counted = found.groupBy("doc_id", "row_key", "template").agg(F.count(F.lit(1)).alias("n_met"))
+    sizes = known.select("template", "license", F.size("hashes").alias("n")).join(rival_templates(known, min_containment), "template", "left").withColumn("rivals", F.coalesce("rivals", F.array().cast("array<bigint>")))
+    share = F.round(F.col("n_met") / F.col("n"), 6)
+    verified = counted.join(sizes, "template").withColumn("containment", share).filter(F.col("containment") >= min_containment)
     # At most one entry for a template of the fixed table.
-    found = verified.groupBy("doc_id").agg(F.collect_set(F.struct("template", "license", "rivals", "n", "containment")).alias("found"))
+    matched = verified.groupBy("doc_id").agg(F.collect_set(F.struct("template", "license", "rivals", "n", "containment")).alias("found"))
     better = lambda x, y: (y["containment"] > x["containment"]) | (y["containment"] == x["containment"]) & (y["n"] > x["n"])
     best = F.filter("found", lambda x: ~F.exists("found", lambda y: F.array_contains(x["rivals"], y["template"]) & better(x, y)))
-    kept = found.select("doc_id", F.explode(best).alias("x")).select("doc_id", "x.license", "x.containment")
+    kept = matched.select("doc_id", F.explode(best).alias("x")).select("doc_id", "x.license", "x.containment")
     return kept.groupBy("doc_id", "license").agg(F.count(F.lit(1)).alias("n_templates"), F.max("containment").alias("containment"))

@@ -1,5 +1,7 @@
 import datetime
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -224,8 +226,26 @@ def test_licenses_by_brute_force(spark):
 
 
 def test_bands_guarantee_retrieval():
-    assert 1 - (1 - L.PIECE / L.WINDOW) ** L.BANDS >= 0.99
+    assert 1 - (1 - L.PIECE / L.WINDOW) ** L.BANDS >= 1 - 1e-6
     assert L.bands_for(1.0, 0.99) == 1
+    for n in range(L.LEAST, 400):  # more pieces than shingles that may lack
+        assert n // L.PIECE > n - math.ceil(0.8 * n)
+        assert all(any(k * L.STRIDE <= at and at + L.PIECE <= k * L.STRIDE + L.WINDOW for k in range(n)) for at in range(0, n - L.PIECE + 1, 7))
+
+
+def test_texts_at_the_limit_and_many_long_templates(spark):
+    """Every text keeps four fifths of one of 300 long templates, or just under."""
+    rng = random.Random(6)
+    templates = [(f"L{k}", " ".join(f"t{rng.randrange(5000)}" for _ in range(1000))) for k in range(300)]
+    texts = []
+    for k in range(60):
+        words = templates[k * 5][1].split()
+        for place in range(0, 1000, 25 if k % 2 else 20):  # each changed word takes five of the 996 shingles
+            words[place + 2] = f"x{place}"
+        texts.append(" ".join(["before", *words, "behind"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]) for r in L.scan_licenses(docs.repartition(4), templates=templates).collect()}
+    assert got == {(k, f"L{k * 5}") for k in range(1, 60, 2)}
 
 
 @pytest.mark.parametrize("name", ["op2_feistel_pseudonyms", "op3_line_frequency", "op10_license_scan"])
