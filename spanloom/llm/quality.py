@@ -170,6 +170,21 @@ def score_documents(docs: DataFrame, model: QualityModel, *, id: str = "doc_id",
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def score_features(features: DataFrame, model: QualityModel, *, threshold: float = 0.7) -> DataFrame:
+    """``score_documents`` of rows of ``document_features``, whose texts are not
+    read again."""
+    held = features.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array(batch.column(1).flatten()).reshape(batch.num_rows, len(NAMES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held.value.score(rows))], names=["doc_id", "score"])
+
+    kind = features.schema["doc_id"].dataType.simpleString()
+    scored = features.select("doc_id", "features").mapInArrow(run, f"doc_id {kind}, score double")
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
 def keep_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` (all columns) that score ``threshold`` or more; a null
     text scores as an empty one, and a model without labels scores 0.5."""

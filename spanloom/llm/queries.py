@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -20,9 +21,10 @@ from spanloom.llm.license_scan import scan_licenses
 from spanloom.llm.line_rules import line_frequency_rules
 from spanloom.llm.near import near_duplicates
 from spanloom.llm.pseudonyms import pseudonymise
-from spanloom.llm.quality import document_features, fit, remainder, score_documents
+from spanloom.llm.quality import document_features, fit, remainder, score_features
 from spanloom.llm.search import search_documents
 from spanloom.llm.secret_scan import scan_secrets
+from spanloom.llm.stages import written
 from spanloom.llm.substrings import remove_repeats
 from spanloom.session import table
 
@@ -73,7 +75,11 @@ KEY_SETTING, TRIAL_KEY = "spark.spanloom.pseudonym.key", "trial"
 
 
 def pseudonym_key(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_SETTING, TRIAL_KEY)
+    """The key of the setting; a warning where it is unset."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if key is None:
+        logging.getLogger(__name__).warning("%s is not set: the pseudonyms of this run can be undone by anybody", KEY_SETTING)
+    return TRIAL_KEY if key is None else key
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,10 +92,10 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    features = written(document_features(table(spark, sf_dir, "documents")))
     part = remainder("doc_id", 4)
-    model = fit(document_features(docs), table(spark, sf_dir, "labels"), ridge_rows=part.isin(0, 1), calibration_rows=part == 3)
-    scored = score_documents(docs, model)
+    model = fit(features, table(spark, sf_dir, "labels"), ridge_rows=part.isin(0, 1), calibration_rows=part == 3)
+    scored = score_features(features, model)
     return scored.select("doc_id", (part == 2).alias("held_out"), "score", "predicted")
 
 

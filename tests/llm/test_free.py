@@ -16,7 +16,7 @@ from spanloom.llm.chat import escape, fold_events, format_conversations, read_ba
 from spanloom.llm.components import connected_components
 from spanloom.llm.language_model import score_texts
 from spanloom.llm.near import keep_first, near_duplicates
-from spanloom.llm.quality import document_features, fit, isotonic, remainder, score_documents
+from spanloom.llm.quality import document_features, fit, isotonic, remainder, score_documents, score_features
 from spanloom.llm.substrings import SuffixAutomaton, remove_repeats
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -112,6 +112,7 @@ def test_classifier_separates_and_handles_empties(spark):
     part = remainder("doc_id", 4)
     model = fit(document_features(docs), labels, ridge_rows=part.isin(0, 1), calibration_rows=part == 3)
     rows = score_documents(docs, model).collect()
+    assert sorted(map(tuple, score_features(document_features(docs), model).collect())) == sorted(map(tuple, rows))
     assert len(rows) == len(texts) and all(0 <= r["score"] <= 1 for r in rows)
     held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 and r["doc_id"] < 300]
     assert sum(r["predicted"] == (r["doc_id"] < 150) for r in held) / len(held) > 0.95
