@@ -125,3 +125,35 @@ def mask_spans_scanned(rows: DataFrame, by: list[str], order: list[str], flag: C
     within = numbered.filter("__flag").alias("n").join(begins.alias("b"), [F.col("n.split") == F.col("b.split"), *[F.col(f"n.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]])
     hits = within.select(*[F.col(f"n.{c}").alias(c) for c in by], (F.col("place") - F.col("__begin")).alias("start"), (F.col("place") - F.col("__begin") + 1).alias("end"))
     return merge_scanned(hits, by).select(*by, (F.col("start") + 1).alias("first"), F.col("end").alias("last"), (F.col("end") - F.col("start")).alias("n"))
+
+
+def prefix_sums(rows: DataFrame, by: list[str], order: str, values: list[str]) -> DataFrame:
+    """``rows`` with ``<value>_sum``, the running sums of each set in ``order`` with
+    the row's own value, and ``next``, the ``order`` of the row after it in its set.
+
+    Rows are ranged over all tasks by set and order and written once. Each task
+    sums its own stretch; sums and first places of the stretches, a row for each
+    stretch and set, carry over what lies before and behind. ``order`` is distinct
+    within a set.
+    """
+    held = written(rows.repartitionByRange(*by, order).sortWithinPartitions(*by, order).withColumn("__part", F.spark_partition_id()))
+    stretches = held.groupBy("__part", *by).agg(*[F.sum(v).alias(f"__{v}") for v in values], F.min(order).alias("__first"))
+    along = W.partitionBy(*by).orderBy("__part")
+    before = along.rowsBetween(W.unboundedPreceding, -1)
+    carried = stretches.select("__part", *by, *[F.coalesce(F.sum(f"__{v}").over(before), F.lit(0)).alias(f"__{v}") for v in values], F.lead("__first").over(along).alias("__next"))
+    met = held.alias("h").join(carried.alias("c"), [F.col(f"h.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("__part", *by)]).select("h.*", *[f"c.__{v}" for v in values], "c.__next")
+    local = W.partitionBy("__part", *by).orderBy(order)
+    sums = {f"{v}_sum": F.sum(v).over(local.rowsBetween(W.unboundedPreceding, W.currentRow)) + F.col(f"__{v}") for v in values}
+    done = met.withColumns({**sums, "next": F.coalesce(F.lead(order).over(local), F.col("__next"))})
+    return done.drop("__part", "__next", *[f"__{v}" for v in values])
+
+
+def levels(spans: DataFrame, by: list[str], value: str = "value") -> DataFrame:
+    """Overlapping spans as disjoint runs ``(..., start, end, value)`` that carry the
+    sum of the values of all spans over them; a run ends where a span begins or
+    ends. Empty spans add nothing."""
+    edge = lambda place, sign: F.struct(F.col(place).alias("start"), F.lit(sign).alias("depth"), (F.col(value) * sign).alias("level"))
+    edges = spans.filter(F.col("end") > F.col("start")).select(*by, F.explode(F.array(edge("start", 1), edge("end", -1))).alias("e"))
+    steps = edges.groupBy(*by, F.col("e.start").alias("start")).agg(F.sum("e.depth").alias("depth"), F.sum("e.level").alias("level"))
+    summed = prefix_sums(steps, by, "start", ["depth", "level"])
+    return summed.filter("depth_sum > 0").select(*by, "start", F.col("next").alias("end"), F.col("level_sum").alias(value))

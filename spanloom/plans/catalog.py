@@ -548,6 +548,12 @@ def _levels(spark, sf):
     return levels.filter("depth > 0").select("track_id", "chrom", "start", "end", F.round("level", 3).alias("value"))
 
 
+@query(LEVELS_SQL + """ select event_type as track_id, user_id as chrom, start, "end", level as value from runs""")
+def signal_levels(spark, sf):
+    """Overlapping spans as runs of summed values, by sums over stretches of sets."""
+    return X.levels(_signal(spark, sf), ["track_id", "chrom"]).withColumn("value", F.round("value", 3))
+
+
 def _dense_inputs(spark, sf, target, statistic):
     """Windows of an hour, tracks, and the transformed runs of the tracks on them."""
     signal, mask = _levels(spark, sf), _mask(spark, sf)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import mask_spans, merge_intervals
-from spanloom.operators.scan import mask_spans_scanned, merge_scanned
+from spanloom.operators.scan import levels, mask_spans_scanned, merge_scanned, prefix_sums
 
 
 def plain(rows, gap=0):
@@ -64,3 +64,33 @@ def test_spans_of_a_mask(spark):
     frame = spark.createDataFrame(rows, "k string, i long, hit boolean")
     want = sorted(map(tuple, mask_spans(frame, ["k"], "i", F.col("hit")).select("k", "first", "last", "n").collect()))
     assert sorted(map(tuple, mask_spans_scanned(frame.repartition(5), ["k"], ["i"], F.col("hit")).collect())) == want
+
+
+def test_running_sums_over_stretches(spark):
+    rng = random.Random(10)
+    rows = [(rng.choice(["a", "b", None]), i, rng.randrange(-5, 9)) for i in range(500)]
+    frame = spark.createDataFrame(rows, "k string, i long, x long").repartition(4)
+    want = []
+    for key in ("a", "b", None):
+        own = [r for r in rows if r[0] == key]
+        want += [(key, i, x, sum(r[2] for r in own[: n + 1]), own[n + 1][1] if n + 1 < len(own) else None) for n, (_, i, x) in enumerate(own)]
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = prefix_sums(frame, ["k"], "i", ["x"]).select("k", "i", "x", "x_sum", "next").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_levels_position_by_position(spark):
+    rng = random.Random(11)
+    spans = [(rng.choice("ab"), s, s + rng.randrange(0, 12), rng.randrange(1, 5)) for s in (rng.randrange(120) for _ in range(60))]
+    runs = levels(spark.createDataFrame(spans, "k string, start long, end long, value long"), ["k"]).collect()
+    got = {(r["k"], p): r["value"] for r in runs for p in range(r["start"], r["end"])}
+    want = {}
+    for k, s, e, v in spans:
+        for p in range(s, e):
+            want[k, p] = want.get((k, p), 0) + v
+    assert got == want and len(got) == sum(r["end"] - r["start"] for r in runs)
