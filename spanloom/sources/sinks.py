@@ -45,6 +45,7 @@ def publish_lines(lines: DataFrame, path: str, header: str | None = None) -> Non
                         with system.open_input_stream(file.path) as part:
                             while held := part.read(COPY_BYTES):
                                 out.write(held)
+                system.create_dir(target.rpartition("/")[0], recursive=True)
                 system.move(hidden, target)
         yield pa.RecordBatch.from_arrays([pa.array([True])], names=["done"])
 
