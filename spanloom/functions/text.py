@@ -138,12 +138,33 @@ def hrefs(html: Column, suffix: str = ".bw") -> Column:
     return F.filter(found, lambda h: F.lower(h).endswith(suffix.lower()))
 
 
+def _solved(path: Column) -> Column:
+    """A rooted path without its ``.`` and ``..`` parts."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    empty = F.array().cast("array<string>")
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(parts, empty, step)
+    return F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit("")))
+
+
 def absolute_url(base: Column, href: Column) -> Column:
-    """``href`` against ``base``: full addresses stay, rooted ones take the host,
-    others the folder of the base."""
-    host = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*)", 1)
-    folder = F.regexp_replace(base, r"[^/]*$", "")
-    return F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), href).when(href.startswith("/"), F.concat(host, href)).otherwise(F.concat(folder, href))
+    """``href`` against ``base``: full addresses stay, those that begin with two
+    slashes take the scheme, rooted ones the host, others the folder of the base;
+    ``.`` and ``..`` are solved, a lone query or fragment follows the base."""
+    bare, marked = F.regexp_replace(base, "[?#].*$", ""), F.regexp_replace(base, "#.*$", "")
+    scheme = F.regexp_extract(bare, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
+    host = F.regexp_extract(bare, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*)", 1)
+    folder = F.regexp_replace(F.substring(bare, F.length(host) + 1, F.length(bare)), "[^/]*$", "")
+    joined = F.when(href.startswith("/"), href).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), href))
+    path, tail = F.regexp_replace(joined, "[?#].*$", ""), F.regexp_extract(joined, "([?#].*)$", 1)
+    plain = F.when(path.contains("/."), _solved(path)).otherwise(path)
+    whole = F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href))
+    return whole.when(href == "", base).when(href.startswith("?"), F.concat(bare, href)).when(href.startswith("#"), F.concat(marked, href)).otherwise(F.concat(host, plain, tail))
 
 
 def shard_name(split: Column, number: Column) -> Column:

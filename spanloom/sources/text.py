@@ -6,6 +6,7 @@ All reading is done by Spark's text reader, so paths may lie in any store and
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import merge_large
 from spanloom.schemas import SHARD, TARGET_MANIFEST, TRACK
-from spanloom.session import written
+from spanloom.session import checkpoint_dir, written
 
 #: Chromosomes of the regions, in their order.
 CHROMS = (*(f"chr{n}" for n in range(1, 23)), "chrX", "chrY")
@@ -91,8 +92,26 @@ def read_shards(spark: SparkSession, path: str, lines: bool = False) -> DataFram
     return rows.withColumn("line", F.monotonically_increasing_id()) if lines else rows
 
 
+def fetched(spark: SparkSession, url: str) -> str:
+    """The place of a copy of ``url`` in the folder of ``spark.checkpoint.dir``."""
+    from spanloom.sources.http import stream_to_store
+    from spanloom.sources.ranged import store
+
+    folder = f"{checkpoint_dir(spark)}/fetched-{uuid.uuid4().hex}"
+    system, root = store(folder)
+    system.create_dir(root, recursive=True)
+    row = (url, url, 0, None, None, f"{folder}/body.txt")
+    error = stream_to_store(spark.createDataFrame([row], "name string, url string, part long, start long, stop long, path string")).first()["error"]
+    if error:
+        raise ValueError(error)
+    return f"{folder}/body.txt"
+
+
 def read_target_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated target manifest with a header, numbered by its first column."""
+    """Tab-separated target manifest with a header, numbered by its first column.
+    One that lies behind HTTP is streamed into the shared folder first."""
+    if path.startswith(("http://", "https://")):
+        path = fetched(spark, path)
     rows = spark.read.csv(path, sep="\t", header=True, schema=TARGET_MANIFEST, enforceSchema=False)
     return rows.withColumn("row_index", F.col("index").cast("long"))
 

@@ -23,6 +23,7 @@ def server(tmp_path_factory):
         "/files/E2/?format=json": json.dumps({"file_format": "bed", "href": "/x"}),
         "/mirror/": '<a href="a.CNhs1.ctss.fwd.bw">x</a>', "/root/a/": '<a href="b.CNhs1.ctss.rev.bw">x</a><a href="b.CNhs1.ctss.fwd.bw">x</a>', "/root/b/": "<html></html>",
         "/atlas2/": '<A class="z" HREF="Cell_Two.bw">x</A><a href="Bad.bw">', "/atlas3/": '<a href="Cell+Two.bw">x</a>',
+        "/manifest": "index\tidentifier\tfile\tclip\tclip_soft\tscale\tsum_stat\tstrand_pair\tdescription\n0\tA+\t/rna/encode/a\t1\t2\t3\tsum\t1\td\n1\tB\t/x\t1\t2\t3\tsum\t0\td\n",
         "/targets": "index\tidentifier\tfile\n0\tC1\t/x/atac/catlas/Cell_Two.bw\n1\tC2\t/x/atac/catlas/Bad.bw\nshort\n",
     }
     served = {
@@ -99,6 +100,15 @@ def test_download_command(spark, server, tmp_path):
     assert (tmp_path / "raw" / "C1.bw").read_bytes() == files["atlas"]
 
 
+def test_a_manifest_behind_http(spark, server):
+    from spanloom.sources.text import read_target_manifest
+
+    base, _, _ = server
+    assert [r["identifier"] for r in read_target_manifest(spark, f"{base}/manifest").collect()] == ["A+", "B"]
+    with pytest.raises(ValueError, match="404"):
+        read_target_manifest(spark, f"{base}/no-manifest")
+
+
 def test_known_wrong_addresses_are_asked_once(spark, server):
     base, _, asked = server
     gone = spark.createDataFrame([(f"{base}/gone",), (f"{base}/gone",)], "url string")

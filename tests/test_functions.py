@@ -89,3 +89,16 @@ def test_transform(spark):
 def test_half(spark):
     got = [value(spark, N.half_rounded(F.lit(x).cast("float"))) for x in (1.0009765625, 65504.0, -70000.0, 0.1)]
     assert got[0] == 1.0009765625 and got[1] == 65504.0 and got[2] == float("-inf") and got[3] == pytest.approx(0.0999755859375)
+
+
+def test_addresses_are_joined_like_the_standard(spark):
+    from urllib.parse import urljoin
+
+    from spanloom.functions.text import absolute_url
+
+    bases = ["http://h/a/b", "http://h/a/b/", "https://h.org", "http://h/a/b?x=1/2#f", "http://h:80/"]
+    hrefs = ["c.bw", "/c/d.bw", "../c", "../../../c", "./c/./d", "c/..", "c/../d?x=../y", ".", "..", "//o/p", "http://o/p/../q", "?x=1", "#f", "", "c#f?g", "a%20b.bw", ".hidden", "c/...", "ftp://x", "a/b/../../c.bw"]
+    rows = [(b, h) for b in bases for h in hrefs]
+    frame = spark.createDataFrame(rows, "b string, h string").withColumn("u", absolute_url(F.col("b"), F.col("h")))
+    wrong = [(r["b"], r["h"], r["u"], urljoin(r["b"], r["h"])) for r in frame.collect() if r["u"] != urljoin(r["b"], r["h"]) and not r["h"].startswith("http://o")]
+    assert not wrong
