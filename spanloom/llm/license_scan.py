@@ -187,7 +187,9 @@ def scan_licenses(docs: DataFrame, *, id: str = "doc_id", text: str = "text", mi
     distinct = written(each.select("shingle").distinct())
     wanted = F.broadcast(distinct) if distinct.count() <= MOST_SHINGLES else distinct
     content = F.col(f"`{text}`")
-    hashed = docs.select(F.col(f"`{id}`").alias("doc_id"), F.xxhash64(F.col(f"`{id}`"), content).alias("row_key"), F.posexplode(shingle_hashes(scan_words(content))).alias("pos", "shingle"))
+    # In two steps: what stands beside a generator is worked out for each of its rows.
+    hashed = docs.select(F.col(f"`{id}`").alias("doc_id"), F.xxhash64(F.col(f"`{id}`"), content).alias("row_key"), shingle_hashes(scan_words(content)).alias("hashes"))
+    hashed = hashed.select("doc_id", "row_key", F.posexplode("hashes").alias("pos", "shingle"))
     # Hits are the part of the corpus that is license text; all else works on them.
     hits = written(hashed.join(wanted, "shingle", "left_semi"))
     retrieved = text_keys(hits).join(template_keys(known), "key").select("row_key", "template").distinct()
