@@ -7,10 +7,11 @@ only at the sink, one (window, track) row at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,15 +79,9 @@ def track_statistics(runs: DataFrame, window_bp: Column | int) -> DataFrame:
     return sums.select("track_id", "capped_values", low.alias("low"), high.alias("high"))
 
 
-def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statistics: bool = False) -> DataFrame:
-    """``(window_index, track_index, values array<float>)`` for every window and
-    track, half-rounded; positions without a run are 0.
-
-    The product of windows and tracks is the output's own size; runs join it on
-    their keys, and one row is one window of one track. With ``statistics`` a row
-    also carries ``capped_values, low, high`` of its positions before the cap, so
-    they come out of the same pass over the signal.
-    """
+def _dense_runs(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statistics: bool) -> tuple[DataFrame, list[str]]:
+    """A row for every window and track with its runs as arrays, and the names of
+    the columns of ``statistics``."""
     pairs = windows.select("window_index", "start", "end").crossJoin(tracks.select("track_index", "track_id"))
     lengths = F.col("r_end") - F.col("r_start")
     made = [F.collect_list("r_start").alias("starts"), F.collect_list("r_end").alias("ends"), F.collect_list(F.col("value").cast("float")).alias("levels")]
@@ -99,8 +94,47 @@ def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statis
         low, high = _extremes(F.col("low"), F.col("high"), F.col("covered"), F.col("end") - F.col("start"))
         joined = joined.withColumns({"capped_values": F.coalesce("capped_values", F.lit(0).cast("long")), "low": low.cast("float"), "high": high.cast("float")})
         further = ["capped_values", "low", "high"]
-    joined = joined.select("window_index", "track_index", "start", "end", "starts", "ends", "levels", *further)
+    return joined.select("window_index", "track_index", "start", "end", "starts", "ends", "levels", *further), further
+
+
+def dense_statistics(windows: DataFrame, tracks: DataFrame, runs: DataFrame) -> DataFrame:
+    """``(window_index, track_index, capped_values, low, high)`` as ``dense_targets``
+    gives them, where the values themselves are not asked for: no row is filled."""
+    joined, further = _dense_runs(windows, tracks, runs, True)
+    return joined.select("window_index", "track_index", *further)
+
+
+def _filled(begins: np.ndarray, cuts: np.ndarray, starts: pa.ListArray, ends: pa.ListArray, levels: pa.ListArray) -> np.ndarray:
+    """The half-rounded values of rows, one after another from ``cuts``. Rounding is
+    pointwise and keeps 0, so it is done once for each run."""
+    values = np.zeros(int(cuts[-1]), np.float32)
+    sizes = pa.compute.list_value_length(starts).fill_null(0).to_numpy(zero_copy_only=False)
+    shift = np.repeat(cuts[:-1] - begins, sizes)
+    first, stop = (np.asarray(c.flatten()) + shift for c in (starts, ends))
+    with np.errstate(over="ignore"):
+        half = np.asarray(levels.flatten()).astype(np.float16).astype(np.float32)
+    for a, b, level in zip(first.tolist(), stop.tolist(), half.tolist()):
+        values[a:b] = level
+    return values
+
+
+def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statistics: bool = False, digest: tuple[str, Callable[[np.ndarray, np.ndarray], list[pa.Array]]] | None = None) -> DataFrame:
+    """``(window_index, track_index, values array<float>)`` for every window and
+    track, half-rounded; positions without a run are 0.
+
+    The product of windows and tracks is the output's own size; runs join it on
+    their keys, and one row is one window of one track. With ``statistics`` a row
+    also carries ``capped_values, low, high`` of its positions before the cap, so
+    they come out of the same pass over the signal. ``digest`` is the schema of
+    columns that take the place of ``values`` and what makes them of the values of
+    some rows, one after another, and the rows' borders: the values are filled and
+    used in the same task and do not pass between it and Spark.
+    """
+    joined, further = _dense_runs(windows, tracks, runs, statistics)
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
+    made, work = digest or ("values array<float>", lambda values, cuts: [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))])
+    schema = ", ".join([f"window_index {kinds['window_index']}", f"track_index {kinds['track_index']}", made, *[f"{c} {kinds[c]}" for c in further]])
+    names = ["window_index", "track_index", *[c.split()[0] for c in made.split(", ")], *further]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,21 +144,12 @@ def dense_targets(windows: DataFrame, tracks: DataFrame, runs: DataFrame, statis
                 ends = np.cumsum(stops[first:] - begins[first:])
                 last = first + max(1, int(np.searchsorted(ends, DENSE_VALUES, "right")))
                 cuts = np.concatenate(([0], ends[: last - first]))
-                values = np.zeros(int(cuts[-1]), np.float32)
-                for row in range(first, last):
-                    starts = batch.column(4)[row]
-                    if starts.is_valid:
-                        shift = int(cuts[row - first] - begins[row])
-                        for a, b, level in zip(starts.as_py(), batch.column(5)[row].as_py(), batch.column(6)[row].as_py()):
-                            values[a + shift : b + shift] = level
-                with np.errstate(over="ignore"):
-                    half = values.astype(np.float16).astype(np.float32)
-                listed = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(half))
+                values = _filled(begins[first:last], cuts, *(batch.column(k).slice(first, last - first) for k in (4, 5, 6)))
                 kept = [batch.column(k).slice(first, last - first) for k in (0, 1, *range(7, batch.num_columns))]
-                yield pa.RecordBatch.from_arrays([*kept[:2], listed, *kept[2:]], names=["window_index", "track_index", "values", *further])
+                yield pa.RecordBatch.from_arrays([*kept[:2], *work(values, cuts), *kept[2:]], names=names)
                 first = last
 
-    return joined.mapInArrow(fill, ", ".join([f"window_index {kinds['window_index']}", f"track_index {kinds['track_index']}", "values array<float>", *[f"{c} {kinds[c]}" for c in further]]))
+    return joined.mapInArrow(fill, schema)
 
 
 def valid_masks(windows: DataFrame, mask: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -88,3 +89,20 @@ def test_regions_to_tensors(spark):
     assert row["sequence"] == [4, 4, 0, 1] and row["valid"] == [True, True, False, False]
     assert not math.isnan(out["tracks"].first()["factor"])
     assert [v > 0 for v in out["targets"].first()["values"]] == [True, True, False, False]
+
+
+def test_digests_are_made_where_rows_are_filled(spark, tables):
+    """Values that are only summed up do not leave the task, and equal those that do."""
+    signal, mask = tables
+    windows = spark.createDataFrame([(0, "c", 0, 8), (1, "c", 8, 13), (2, "x", 0, 4)], "window_index long, chrom string, start long, end long")
+    tracks = spark.createDataFrame([(0, "t", "sum"), (1, "u", "sum_sqrt")], "track_index int, track_id string, sum_stat string")
+    factors = spark.createDataFrame([("t", 2.0), ("u", 1.0)], "track_id string, factor double")
+    runs = S.transformed(S.window_signal(windows, signal, mask, 4), tracks.join(factors, "track_id"))
+    whole = S.dense_targets(windows, tracks, runs, statistics=True)
+    sums = lambda values, cuts: [pa.array([float(values[a:b].sum()) for a, b in zip(cuts, cuts[1:])]), pa.array([int(b - a) for a, b in zip(cuts, cuts[1:])])]
+    digests = S.dense_targets(windows, tracks, runs, digest=("mass double, n long", sums))
+    assert {tuple(r) for r in digests.collect()} == {(r["window_index"], r["track_index"], sum(r["values"]), len(r["values"])) for r in whole.collect()}
+    stats = ["window_index", "track_index", "capped_values", "low", "high"]
+    only = S.dense_statistics(windows, tracks, runs)
+    assert {tuple(r) for r in only.collect()} == {tuple(r) for r in whole.select(stats).collect()}
+    assert "MapInArrow" not in only._jdf.queryExecution().executedPlan().toString()
