@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.operators.intervals import overlap_bp
+from spanloom.session import written
 
 #: Intervals that are sent to every task, 24 bytes each and their keys; larger sets
 #: are joined on bins.
@@ -27,19 +28,20 @@ class IntervalIndex:
     """Sorted starts, ends and sums of each set of disjoint intervals."""
 
     def __init__(self, keys: list[tuple], starts: np.ndarray, ends: np.ndarray):
-        self.sets: dict[tuple, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.starts, self.ends, self.sums = starts, ends, np.concatenate(([0], np.cumsum(ends - starts)))
+        self.sets: dict[tuple, tuple[int, int]] = {}
         first = 0
         for k in range(1, len(keys) + 1):
             if k == len(keys) or keys[k] != keys[first]:
-                own = slice(first, k)
-                self.sets[keys[first]] = starts[own], ends[own], np.concatenate(([0], np.cumsum(ends[own] - starts[own])))
+                self.sets[keys[first]] = first, k
                 first = k
 
     def covered(self, key: tuple, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Positions of each ``[start, end)`` that the set covers."""
         if key not in self.sets:
             return np.zeros(len(starts), np.int64)
-        lows, highs, sums = self.sets[key]
+        own = slice(*self.sets[key])
+        lows, highs, sums = self.starts[own], self.ends[own], self.sums[own] - self.sums[own.start]
 
         def before(places: np.ndarray) -> np.ndarray:
             at = np.searchsorted(lows, places, "right") - 1
@@ -51,15 +53,16 @@ class IntervalIndex:
 
 def overlap_bp_by_index(windows: DataFrame, merged: DataFrame, by: list[str], name: str = "overlap_bp", most: int = MOST_INDEXED) -> DataFrame:
     """``overlap_bp`` by an index of ``merged`` that all tasks hold, where it has
-    at most ``most`` intervals (they are counted while they are fetched); by the
-    join on bins where it has more. Nulls in ``by`` meet nothing."""
+    at most ``most`` intervals; by the join on bins where it has more. They are
+    written down and counted in parallel first, and a larger set is not fetched.
+    Nulls in ``by`` meet nothing."""
     valid = merged.filter(F.col("end") > F.col("start")).select(*by, F.col("start").cast("long"), F.col("end").cast("long"))
     for key in by:
         valid = valid.filter(F.col(f"`{key}`").isNotNull())
-    held = valid.limit(most + 1).toArrow()
-    if held.num_rows > most:
-        return overlap_bp(windows, merged, by, name)
-    held = held.sort_by([(c, "ascending") for c in (*by, "start")])
+    valid = written(valid)
+    if valid.count() > most:
+        return overlap_bp(windows, valid, by, name, large=True)
+    held = valid.toArrow().sort_by([(c, "ascending") for c in (*by, "start")])
     keys = list(zip(*(held.column(c).to_pylist() for c in by))) if by else [()] * held.num_rows
     index = windows.sparkSession.sparkContext.broadcast(IntervalIndex(keys, held.column("start").to_numpy(), held.column("end").to_numpy()))
     places = [windows.columns.index(c) for c in (*by, "start", "end")]

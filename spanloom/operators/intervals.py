@@ -71,11 +71,41 @@ def overlap_pairs(windows: DataFrame, intervals: DataFrame, by: list[str], bin_s
     return met.filter(overlap & own).drop("bin")
 
 
-def overlap_bp(windows: DataFrame, merged: DataFrame, by: list[str], name: str = "overlap_bp", bin_size: int = BIN) -> DataFrame:
+def _masks(merged: DataFrame, by: list[str], bin_size: int, reach: int) -> DataFrame:
+    """``(by..., __bin, __mask)``: the intervals of each set that windows of at most
+    ``reach`` positions can meet which start in the bin. They are disjoint, so there
+    are fewer than positions of a bin and its reach."""
+    bins = F.sequence(F.floor((F.col("start") - reach) / bin_size), F.floor((F.col("end") - 1) / bin_size))
+    held = merged.filter(F.col("end") > F.col("start")).withColumn("__bin", F.explode(bins))
+    return held.groupBy(*by, "__bin").agg(F.collect_list(F.struct("start", "end")).alias("__mask"))
+
+
+def _covered() -> Column:
+    """Positions of ``[start, end)`` that the intervals of ``__mask`` cover."""
+    part = lambda m: F.greatest(F.least(m["end"], F.col("end")) - F.greatest(m["start"], F.col("start")), F.lit(0)).cast("long")
+    zero = F.lit(0).cast("long")
+    return F.when(F.col("__mask").isNull(), zero).otherwise(F.coalesce(F.aggregate("__mask", zero, lambda acc, m: acc + part(m)), zero))
+
+
+def overlap_bp(windows: DataFrame, merged: DataFrame, by: list[str], name: str = "overlap_bp", bin_size: int = BIN, large: bool = False) -> DataFrame:
     """Every window with the number of positions that ``merged`` covers; 0 where
     nothing overlaps. Windows are told apart by ``by``, ``start`` and ``end``;
     repeated windows keep their rows.
 
+    A window of up to ``bin_size`` meets the intervals near the bin it starts in as
+    one row, so it is exchanged once, with its further columns, and neither sorted
+    (if ``merged`` is said to be ``large``) nor aggregated. Longer ones are summed
+    over their bins.
+    """
+    long = F.coalesce(F.col("end") - F.col("start") > bin_size, F.lit(False))
+    masks = _masks(merged, by, bin_size, bin_size)
+    near = windows.filter(~long).withColumn("__bin", F.floor(F.col("start") / bin_size)).join(masks.hint("shuffle_hash") if large else masks, [*by, "__bin"], "left")
+    return near.withColumn(name, _covered()).select(*windows.columns, name).unionByName(_overlap_long(windows.filter(long), merged, by, name, bin_size))
+
+
+def _overlap_long(windows: DataFrame, merged: DataFrame, by: list[str], name: str, bin_size: int) -> DataFrame:
+    """``overlap_bp`` of windows over several bins.
+
     Equal windows are counted first. An outer join on bins keeps a window without
     any overlap, so one aggregation ends it; only windows with further columns
     are joined to the sums.
@@ -95,6 +125,25 @@ def overlap_bp(windows: DataFrame, merged: DataFrame, by: list[str], name: str =
     return sums.withColumn("__n", F.explode(F.array_repeat("__n", F.col("__n").cast("int")))).select(*windows.columns, name)
 
 
+def tile_overlap_bp(runs: DataFrame, size: int, stride: int, merged: DataFrame, by: list[str], name: str = "overlap_bp", bin_size: int = BIN) -> DataFrame:
+    """``overlap_bp(tile(runs, size, stride), merged, by, name)`` in which runs meet
+    the intervals, cut to the windows that start in one bin, and the windows are
+    made behind the join: no window is exchanged."""
+    if size <= 0 or stride <= 0:
+        raise ValueError("size and stride must be positive")
+    width = max(bin_size, size)
+    rest = [c for c in runs.columns if c not in ("start", "end")]
+    whole = lambda x: F.floor(x).cast("long")
+    fitting = runs.filter(F.col("end") - F.col("start") >= size).select(*rest, F.col("start").cast("long").alias("__from"), (F.col("end") - size).cast("long").alias("__last"))
+    cut = fitting.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("__from") / width), F.floor(F.col("__last") / width))))
+    skipped = F.greatest(-whole((F.col("__from") - F.col("__bin") * width) / stride), F.lit(0))
+    cut = cut.select(*rest, "__bin", (F.col("__from") + skipped * stride).alias("__from"), F.least(F.col("__last"), (F.col("__bin") + 1) * width - 1).alias("__last"))
+    met = cut.filter("__from <= __last").join(_masks(merged, by, width, size), [*by, "__bin"], "left")
+    starts = F.explode(F.sequence("__from", "__last", F.lit(stride).cast("long")))
+    tiles = met.select(*rest, "__mask", starts.alias("start")).withColumn("end", F.col("start") + size)
+    return tiles.withColumn(name, _covered()).drop("__mask")
+
+
 def filter_by_overlap(windows: DataFrame, limit: float, bad: str = "overlap_bp") -> DataFrame:
     """Windows whose covered part is strictly under ``limit`` of their length,
     with the fraction as ``bad_fraction``."""
