@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import sequence_codes
 from spanloom.operators import signal as S
-from spanloom.operators.intervals import filter_by_overlap, overlap_bp, tile, union_merge
+from spanloom.operators.intervals import filter_by_overlap, tile_overlap_bp, union_merge
 from spanloom.sources.text import CHROMS, clean_runs, window_sequences
 
 #: Default window, stride and largest masked share.
@@ -21,7 +21,7 @@ def find_windows(sequence: DataFrame, unmappable: DataFrame, blacklist: DataFram
         raise ValueError("the limit is a share")
     mask = union_merge(unmappable, blacklist, ["chrom"])
     runs = clean_runs(sequence.filter(F.col("chrom").isin(*chroms)))
-    windows = overlap_bp(tile(runs, size, stride), mask, ["chrom"], "bad_bp")
+    windows = tile_overlap_bp(runs, size, stride, mask, ["chrom"], "bad_bp")
     return filter_by_overlap(windows, limit, "bad_bp")
 
 

@@ -108,3 +108,22 @@ def test_text_runs_by_the_regular_expression(spark):
         want = sorted((i, *m.span()) for i, t in enumerate(texts) for m in re.finditer(f"{inside}+", t or ""))
         assert got == want
     assert I.text_runs(docs.limit(0), "text", "a").count() == 0
+
+
+def test_tiles_meet_a_mask_before_they_are_made(spark):
+    rng = random.Random(9)
+    spans = [(rng.choice("ab"), s, s + rng.randrange(0, 40)) for s in (rng.randrange(-50, 600) for _ in range(60))]
+    mask = I.merge_intervals(spark.createDataFrame(spans, "k string, start long, end long"), ["k"])
+    runs = [(rng.choice(["a", "b", "c", None]), s, s + rng.randrange(0, 300), i) for i, s in enumerate(rng.randrange(-60, 500) for _ in range(25))]
+    frame = spark.createDataFrame(runs, "k string, start long, end long, x int")
+    covered = {(k, p) for k, s, e in spans for p in range(s, e)}
+    for size, stride, width in ((20, 7, 16), (20, 7, 64), (5, 90, 16), (130, 1, 32)):
+        want = sorted((str(k), x, a, a + size, sum((k, p) in covered for p in range(a, a + size))) for k, s, e, x in runs for a in range(s, e - size + 1, stride))
+        found = I.tile_overlap_bp(frame, size, stride, mask, ["k"], "bad", width)
+        assert sorted((str(r["k"]), r["x"], r["start"], r["end"], r["bad"]) for r in found.collect()) == want
+        # Windows over several bins are summed, all others are looked up once.
+        for large in (False, True):
+            found = I.overlap_bp(I.tile(frame, size, stride), mask, ["k"], "bad", width, large)
+            assert sorted((str(r["k"]), r["x"], r["start"], r["end"], r["bad"]) for r in found.collect()) == want
+    plan = I.tile_overlap_bp(frame, 20, 7, mask, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.partition("Join")[0]
