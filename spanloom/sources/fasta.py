@@ -17,11 +17,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanloom.session import written
 from spanloom.sources.ranged import RangedFile
 
 INDEX = "chrom string, length long, offset long, line_bases long, line_bytes long"
-#: Bytes of a genome that one task scans for an index.
-SPLIT_BYTES = 64 << 20
+#: Bytes of a genome that one task scans for an index, and those it holds at once.
+SPLIT_BYTES, BLOCK_BYTES = 64 << 20, 2 << 20
+#: Bases of one output batch (or one window).
+HELD_BASES = 1 << 20
 #: Windows that start in the same stretch of a file go to one task, in order.
 STRETCH_BYTES = 8 << 20
 
@@ -71,26 +74,35 @@ def _segments(path: str, number: int, split: int) -> list[tuple]:
 
 def make_fasta_index(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:
     """The index of a FASTA file that has none. Lines of a record must be equally
-    long, but for the last one; another record fails when the index is used."""
+    long, but for the last one; another record fails when the index is used.
+
+    A task goes through its ``split`` by blocks. Records inside a block are done
+    there; only the rows at the borders of blocks, two for each, are put together.
+    """
     size = RangedFile(path).size
+    block = min(split, BLOCK_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 7]
         for batch in batches:
-            rows = [row for number in batch.column(0).to_pylist() for row in _segments(path, number, split)]
-            kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 7]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["split", "k", "name", "offset", "line", "width", "bases", "low", "high", "last"])
-
-    splits = max(-(-size // split), 1)
-    segments = spark.range(0, splits, 1, splits).mapInArrow(run, "split long, k long, name string, offset long, line long, width long, bases long, low long, high long, last long")
-    # A row for each record and split: every split hands its last record on.
+            for number in batch.column(0).to_pylist():
+                rows = _segments(path, number, block)
+                whole = [0 < r[1] < rows[-1][1] for r in rows]
+                yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)), pa.array(whole, pa.bool_())], names=["split", "k", "name", "offset", "line", "width", "bases", "low", "high", "last", "whole"])
+
+    blocks, splits = max(-(-size // block), 1), max(-(-size // split), 1)
+    segments = written(spark.range(0, blocks, 1, splits).mapInArrow(run, "split long, k long, name string, offset long, line long, width long, bases long, low long, high long, last long, whole boolean"))
+    uneven = lambda line, final: (F.coalesce("low", line) != line) | (F.coalesce("high", line) != line) | F.when(final, F.coalesce("last", line) > line).otherwise(F.coalesce("last", line) != line)
+    inside = segments.filter("whole").select(F.col("name").alias("chrom"), F.col("bases").alias("length"), "offset", F.col("line").alias("line_bases"), F.when(F.col("line").isNotNull(), F.col("width")).alias("line_bytes"), uneven(F.col("line"), F.lit(True)).alias("odd"))
+    # Every block hands its last record on.
     along = W.orderBy("split", "k")
-    numbered = segments.withColumn("record", F.count("name").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    numbered = segments.filter("not whole").withColumn("record", F.count("name").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)))
     within = W.partitionBy("record").orderBy("split", "k").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     line = F.first("line", True).over(within)
     final = F.struct("split", "k") == F.max(F.struct("split", "k")).over(within)
-    odd = (F.coalesce("low", line) != line) | (F.coalesce("high", line) != line) | F.when(final, F.coalesce("last", line) > line).otherwise(F.coalesce("last", line) != line)
-    judged = numbered.withColumns({"line_bases": line, "line_bytes": F.first(F.when(F.col("line").isNotNull(), F.col("width")), True).over(within), "odd": odd})
+    judged = numbered.withColumns({"line_bases": line, "line_bytes": F.first(F.when(F.col("line").isNotNull(), F.col("width")), True).over(within), "odd": uneven(line, final)})
     records = judged.filter("record > 0").groupBy("record").agg(F.max("name").alias("chrom"), F.sum("bases").alias("length"), F.max("offset").alias("offset"), F.first("line_bases").alias("line_bases"), F.first("line_bytes").alias("line_bytes"), F.bool_or("odd").alias("odd"))
+    records = records.drop("record").unionByName(inside)
     checked = F.when(F.coalesce(F.col("odd"), F.lit(False)), F.raise_error(F.concat(F.lit("lines of different lengths in "), "chrom")).cast("bigint")).otherwise(F.col("length"))
     return records.select("chrom", checked.alias("length"), "offset", F.coalesce("line_bases", F.lit(1).cast("long")).alias("line_bases"), F.coalesce("line_bytes", F.lit(1).cast("long")).alias("line_bytes"))
 
@@ -121,10 +133,14 @@ def read_fasta_windows(spark: SparkSession, path: str, windows: DataFrame, index
         for batch in batches:
             file = file or RangedFile(path)
             places, sizes = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-            for row, (place, size) in enumerate(zip(places, sizes)):  # one window at a time: a window can be long
-                bases = file(place, size).translate(None, b"\r\n")
-                kept = [batch.column(k).slice(row, 1) for k in range(batch.num_columns - 2)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array([bases.decode("ascii")])], names=[*names, "seq"])
+            first, held, total = 0, [], 0
+            for row, (place, size) in enumerate(zip(places, sizes), 1):  # few at a time: a window can be long
+                held.append(file(place, size).translate(None, b"\r\n").decode("ascii"))
+                total += size
+                if total >= HELD_BASES or row == batch.num_rows:
+                    kept = [batch.column(k).slice(first, row - first) for k in range(batch.num_columns - 2)]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(held, pa.string())], names=[*names, "seq"])
+                    first, held, total = row, [], 0
 
     schema = T.StructType([*windows.schema.fields, T.StructField("seq", T.StringType())])
     dealt = requests.repartition(F.floor(F.col("__first") / STRETCH_BYTES)).sortWithinPartitions("__first")

@@ -181,3 +181,14 @@ def test_records_of_uneven_lines_have_no_index(spark, tmp_path):
     (tmp_path / "u.fa").write_text(">a\nACGT\nAC\nACGT\n>b\nAC\nA\n")
     with pytest.raises(PySparkException, match="different lengths"):
         fasta.make_fasta_index(spark, str(tmp_path / "u.fa")).collect()
+
+
+def test_an_index_is_made_by_blocks(spark, tmp_path, monkeypatch):
+    """A task holds a block and not its split; records may cross any border."""
+    path, want = genome(tmp_path)
+    monkeypatch.setattr(fasta, "BLOCK_BYTES", 128)
+    made = fasta.make_fasta_index(spark, path)
+    assert {r["chrom"]: r["length"] for r in made.collect()} == {c: len(s) for c, s in want.items()}
+    assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 0
+    monkeypatch.undo()
+    assert rows(made) == rows(fasta.make_fasta_index(spark, path))
